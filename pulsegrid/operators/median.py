@@ -4,41 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-_SPLITS = 512
+_BINS = 4096
 
 
-def exact_median(df: DataFrame, value: str) -> DataFrame:
+def exact_median(df: DataFrame, value: str, one_task: int = 1_000_000) -> DataFrame:
     """One row, one DOUBLE column ``median`` (NULL for no values).
 
-    The built-in exact median keeps all distinct values in one task.  Here the distinct values
-    are counted first, split points over them cut the axis into bins of similar size, and only
-    the bins that hold the middle ranks are ordered - each bin by itself.
+    The built-in exact median keeps every distinct value in one task.  Here histogram passes
+    with at most 4096 groups narrow the range around the middle until no more than
+    ``one_task`` rows are left in it; only those are ordered.  Each pass divides the range by
+    4096, all other rows are only counted, and small columns need no pass at all.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    marks = [i / _SPLITS for i in range(1, _SPLITS)]
-    splits = counts.agg(F.percentile_approx("v", marks, _SPLITS * 20).alias("s")).scalar()
-    binned = counts.withColumn("bin", F.size(F.filter(F.array_distinct(splits), lambda s: s < F.col("v"))))
-
-    # at most _SPLITS rows from here to "bins"
-    in_order = W.orderBy("bin")
-    bins = (
-        binned.groupBy("bin").agg(F.sum("n").alias("bin_n"))
-        .withColumn("upto", F.sum("bin_n").over(in_order))
-        .withColumn("below", F.col("upto") - F.col("bin_n"))
-        .withColumn("total", F.sum("bin_n").over(W.partitionBy()))
-    )
-    low_rank, high_rank = F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")
-    middle = bins.where((F.col("upto") >= low_rank) & (F.col("below") < high_rank)).select("bin", "below", "total")
-
-    inside = W.partitionBy("bin").orderBy("v")
-    ranked = (
-        binned.join(F.broadcast(middle), "bin")
-        .withColumn("last_rank", F.col("below") + F.sum("n").over(inside))
-        .withColumn("first_rank", F.col("last_rank") - F.col("n") + 1)
-    )
-    holds_low = F.when((F.col("first_rank") <= low_rank) & (F.col("last_rank") >= low_rank), F.col("v"))
-    holds_high = F.when((F.col("first_rank") <= high_rank) & (F.col("last_rank") >= high_rank), F.col("v"))
-    return ranked.agg(((F.max(holds_low).cast("double") + F.max(holds_high).cast("double")) / 2).alias("median"))
+    values = df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+    low, high, total = values.agg(F.min("v"), F.max("v"), F.count("v")).head()
+    first, second = (total + 1) // 2, total // 2 + 1          # the middle ranks, from 1
+    below, inside = 0, total
+    while inside > one_task and low < high:
+        place = F.least(F.floor((F.col("v") - low) / ((high - low) / _BINS)), F.lit(_BINS - 1))
+        bins = (
+            values.where(F.col("v").between(low, high))
+            .groupBy(place.alias("bin"))
+            .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .orderBy("bin")
+            .collect()                                         # at most 4096 rows of counts
+        )
+        holders = []
+        for b in bins:
+            if below < second and below + b["n"] >= first:
+                holders.append((b, below))
+            if below + b["n"] >= second:
+                break
+            below += b["n"]
+        if len(holders) == 2:                                  # the middle lies between two bins
+            low, high = holders[0][0]["high"], holders[1][0]["low"]
+            return df.sparkSession.range(1).select(F.lit((low + high) / 2).alias("median"))
+        (b, below), = holders
+        low, high, inside = b["low"], b["high"], b["n"]
+
+    # at most one_task rows, or copies of a single value
+    counts = values.where(F.col("v").between(low, high)).groupBy("v").agg(F.count("v").alias("n"))
+    upto = F.lit(below) + F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("v"))
+    ranked = counts.withColumn("last", upto).withColumn("first", F.col("last") - F.col("n") + 1)
+
+    def at(rank: int) -> Column:
+        return F.max(F.when(F.lit(rank).between(F.col("first"), F.col("last")), F.col("v")))
+
+    return ranked.agg(((at(first) + at(second)) / 2).alias("median"))
 
 
 def median_of(df: DataFrame, value: str) -> Column:

@@ -74,7 +74,7 @@ def gauge_ratio(df: DataFrame, at: Sequence[Column], metric: str, value: str, pa
         F.max(F.when(F.col(metric) == whole, F.col(value))).alias("whole_value"),
     )
     ratio = F.try_divide(F.col("part_value") * 100, F.col("whole_value"))
-    return peaks.withColumn("ratio", ratio).withColumn("over", F.coalesce(ratio > threshold, F.lit(False)))
+    return peaks.withColumn("ratio", ratio).withColumn("is_over", F.coalesce(ratio > threshold, F.lit(False)))
 
 
 def alert_episodes(
@@ -82,14 +82,14 @@ def alert_episodes(
     series: Sequence[str],
     ts: str,
     predicate: Column,
-    hold_seconds: int,
+    hold_seconds: int | Column,
     *,
     ties: Sequence[str] = (),
     chunk_seconds: int = DAY,
 ) -> DataFrame:
     """Stretches during which ``predicate`` holds without a break, per series.
 
-    ``state`` is PENDING for a stretch shorter than the hold time, FIRING for one that is long
+    ``hold_seconds`` may depend on the series.  ``state`` is PENDING for a stretch shorter than the hold time, FIRING for one that is long
     enough and still open at the end of the data, RESOLVED for one that fired and ended.
     ``last_true`` is the last sample of the stretch, ``resolved_at`` the sample that ended it.
 

@@ -75,12 +75,11 @@ def cluster_summary(df: DataFrame, labels: DataFrame, key: str, rate: str, capac
 
 def cluster_profiles(profiles: DataFrame, labels: DataFrame, key: str, prefix: str = "h") -> DataFrame:
     """Mean profile of every cluster in long form: cluster, hour, rate, entities."""
-    hours = F.explode(F.array(*[F.struct(F.lit(h).alias("hour"), F.col(f"{prefix}{h}").alias("rate")) for h in HOURS]))
     return (
-        profiles.join(labels, key)
-        .select("cluster", hours.alias("_s"))
-        .groupBy("cluster", F.col("_s.hour").alias("hour"))
-        .agg(mean_of("_s.rate").alias("rate"), F.count("_s.rate").alias("n_entities"))
+        as_array(profiles, key, prefix).join(labels, key)
+        .select("cluster", F.posexplode("profile").alias("hour", "rate"))
+        .groupBy("cluster", "hour")
+        .agg(mean_of("rate").alias("rate"), F.count("rate").alias("n_entities"))
     )
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pulsegrid.operators.metrics import alert_episodes, counter_increase, counter_rate, gauge_ratio
+from pulsegrid.operators.metrics import alert_episodes, counter_increase, gauge_ratio
 from pulsegrid.operators.neighbours import DAY
 
 
@@ -60,54 +60,101 @@ RULES = [
               "monitoring", by=("instance", "rule_group"), window_seconds=300),
 ]
 
-_TESTS = {
-    "==": lambda v, t: v == t,
-    ">": lambda v, t: v > t,
-    "<": lambda v, t: v < t,
-}
-
-
-def rule_values(metrics: DataFrame, rule: AlertRule, chunk_seconds: int = DAY) -> DataFrame:
-    """The value a rule looks at: columns ``ts``, the rule's labels and ``value``."""
-    wanted = [rule.metric] + ([rule.metric_of] if rule.metric_of else [])
-    rows = metrics.where(F.col("metric").isin(*wanted))
-    for label, value in rule.where.items():
-        rows = rows.where(F.col("labels")[label] == value)
-    for label in rule.present:
-        rows = rows.where(F.coalesce(F.col("labels")[label], F.lit("")) != "")
-    if rule.shape == "ratio":
-        return gauge_ratio(rows, [F.col("ts")], "metric", "value", rule.metric, rule.metric_of).select(
-            "ts", F.col("ratio").alias("value")
-        )
-    rows = rows.select("ts", *[F.col("labels")[label].alias(label) for label in rule.by],
-                       F.array_sort(F.map_entries("labels")).cast("string").alias("_series"), "value")
-    if rule.shape in ("increase", "rate"):
-        build = counter_increase if rule.shape == "increase" else counter_rate
-        rows = build(rows, ["_series"], "ts", "value", rule.window_seconds, name="_v", chunk_seconds=chunk_seconds)
-        rows = rows.withColumn("value", F.col("_v") * rule.scale)
-    fold = F.sum if rule.fold == "sum" else F.max
-    return rows.groupBy("ts", *rule.by).agg(fold("value").alias("value"))
-
-
-def rule_episodes(metrics: DataFrame, rule: AlertRule, chunk_seconds: int = DAY) -> DataFrame:
-    """Episodes of one rule in the common shape of all rules."""
-    values = rule_values(metrics, rule, chunk_seconds).withColumn("_rule", F.lit(rule.name))
-    test = _TESTS[rule.test](F.col("value"), F.lit(rule.threshold))
-    episodes = alert_episodes(values, ["_rule", *rule.by], "ts", test, rule.hold_seconds, chunk_seconds=chunk_seconds)
-    labels = (
-        F.create_map(*[x for label in rule.by for x in (F.lit(label), F.col(label))])
-        if rule.by else F.create_map().cast("map<string,string>")
-    )
-    return episodes.select(
-        F.lit(rule.name).alias("alertname"), F.lit(rule.severity).alias("severity"),
-        F.lit(rule.component).alias("composant"), labels.alias("labels"),
-        "started_at", "last_true", "resolved_at", "state",
+# Rules are data, so the expressions over them are put together as SQL text: one expression per
+# plan step instead of one call per rule and operator.
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _one_of(column: str, values: Sequence[str]) -> str:
+    return f"{column} IN ({', '.join(_text(v) for v in values)})" if values else "false"
+
+
+def _entries(labels: str) -> str:
+    """A label map in comparable form: its entries sorted by name."""
+    return f"array_sort(map_entries({labels}))"
+
+
+def _applies(rule: AlertRule) -> str:
+    tests = [_one_of("metric", [m for m in (rule.metric, rule.metric_of) if m])]
+    tests += [f"labels[{_text(label)}] = {_text(value)}" for label, value in rule.where.items()]
+    tests += [f"coalesce(labels[{_text(label)}], '') <> ''" for label in rule.present]
+    return " AND ".join(tests)
+
+
+def _hit(rule: AlertRule) -> str:
+    group = _entries(f"map_filter(labels, (name, value) -> {_one_of('name', rule.by)})")
+    return f"CASE WHEN {_applies(rule)} THEN struct({_text(rule.name)} AS rule, {group} AS group) END"
+
+
+def _matched(metrics: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
+    """Samples with the rule that looks at them; a sample used by two rules appears twice.
+
+    One scan serves all the rules, and only their metrics are read from it.
+    """
+    wanted = sorted({m for r in rules for m in (r.metric, r.metric_of) if m})
+    hits = F.expr(f"explode(array_compact(array({', '.join(_hit(r) for r in rules)})))")
+    return (
+        metrics.where(F.expr(_one_of("metric", wanted)))
+        .select("ts", "metric", "labels", "value", hits.alias("_hit"))
+        .select("ts", "metric", "labels", "value", "_hit.rule", "_hit.group")
     )
 
 
+def _per_rule(rules: Sequence[AlertRule], pick: Callable[[AlertRule], str]) -> Column:
+    """A column that depends on the row's rule."""
+    return F.expr(f"CASE rule {' '.join(f'WHEN {_text(r.name)} THEN {pick(r)}' for r in rules)} END")
+
+
+def _folded(rows: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
+    """Combine the series of a group at each time, by sum or maximum as the rule says."""
+    both = rows.groupBy("rule", "group", "ts").agg(F.sum("value").alias("sum"), F.max("value").alias("max"))
+    return both.select("rule", "group", "ts", _per_rule(rules, lambda r: r.fold).alias("value"))
+
+
+def _counter_values(metrics: DataFrame, rules: Sequence[AlertRule], window: int, chunk_seconds: int) -> DataFrame:
+    rows = _matched(metrics, rules).select("rule", "group", "ts", "value", F.expr(_entries("labels")).alias("series"))
+    grown = counter_increase(rows, ["rule", "group", "series"], "ts", "value", window, name="grown",
+                             chunk_seconds=chunk_seconds)
+    shown = _per_rule(rules, lambda r: f"grown * {float(r.scale)}D / {window if r.shape == 'rate' else 1}")
+    return _folded(grown.withColumn("value", shown), rules)
+
+
+def rule_values(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_seconds: int = DAY) -> DataFrame:
+    """What the rules look at: ``rule``, ``group`` (label entries), ``ts``, ``value``.
+
+    Rules of one shape share a plan: one for gauges, one per counter window, one per ratio.
+    """
+    parts = []
+    gauges = [r for r in rules if r.shape == "gauge"]
+    if gauges:
+        parts.append(_folded(_matched(metrics, gauges), gauges))
+    counters = [r for r in rules if r.shape in ("increase", "rate")]
+    for window in sorted({r.window_seconds for r in counters}):
+        parts.append(_counter_values(metrics, [r for r in counters if r.window_seconds == window], window, chunk_seconds))
+    for r in rules:
+        if r.shape == "ratio":
+            at = [F.col(c) for c in ("rule", "group", "ts")]
+            ratios = gauge_ratio(_matched(metrics, [r]), at, "metric", "value", r.metric, r.metric_of)
+            parts.append(ratios.select("rule", "group", "ts", F.col("ratio").alias("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def evaluate_rules(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_seconds: int = DAY) -> DataFrame:
     """Episodes of every rule over the whole metric table."""
-    return reduce(DataFrame.unionByName, [rule_episodes(metrics, r, chunk_seconds) for r in rules])
+    values = rule_values(metrics, rules, chunk_seconds)
+    breached = _per_rule(rules, lambda r: f"value {r.test} {float(r.threshold)}D")
+    hold = _per_rule(rules, lambda r: str(r.hold_seconds))
+    episodes = alert_episodes(values, ["rule", "group"], "ts", breached, hold, chunk_seconds=chunk_seconds)
+    return episodes.select(
+        F.col("rule").alias("alertname"),
+        _per_rule(rules, lambda r: _text(r.severity)).alias("severity"),
+        _per_rule(rules, lambda r: _text(r.component)).alias("composant"),
+        F.map_from_entries("group").alias("labels"),
+        "started_at", "last_true", "resolved_at", "state",
+    )
 
 
 def firing_count(episodes: DataFrame) -> DataFrame:

@@ -50,15 +50,15 @@ def latest_gauges(spark, sf):
 
 
 @query("gauge_ratio", """
-WITH g AS (SELECT date_trunc('hour', ts) AS at, max(value) FILTER (event_type = 'purchase') AS part_value,
+WITH g AS (SELECT date_trunc('hour', ts) AS slot, max(value) FILTER (event_type = 'purchase') AS part_value,
                   max(value) FILTER (event_type = 'signup') AS whole_value
            FROM events WHERE event_type IN ('purchase', 'signup') GROUP BY 1)
-SELECT at, part_value, whole_value, part_value * 100 / nullif(whole_value, 0) AS ratio,
-       coalesce(part_value * 100 / nullif(whole_value, 0) > 80, false) AS over FROM g
+SELECT slot, part_value, whole_value, part_value * 100 / nullif(whole_value, 0) AS ratio,
+       coalesce(part_value * 100 / nullif(whole_value, 0) > 80, false) AS is_over FROM g
 """)
 def ratio(spark, sf):
-    at = F.window("ts", "1 hour").start.alias("at")
-    return gauge_ratio(table(spark, sf, "events"), [at], "event_type", "value", "purchase", "signup")
+    slot = F.window("ts", "1 hour").start.alias("slot")
+    return gauge_ratio(table(spark, sf, "events"), [slot], "event_type", "value", "purchase", "signup")
 
 
 def _episodes_sql(source, by, predicate, hold, order="ts, event_id"):
@@ -73,7 +73,7 @@ islands AS (SELECT {keys}island, min(ts) AS started_at, max(ts) AS last_true,
                    CASE WHEN count(*) = count(following) THEN max(following) END AS resolved_at
             FROM numbered WHERE active GROUP BY {keys}island),
 episodes AS (SELECT {keys}started_at, last_true, resolved_at,
-  CASE WHEN epoch_us(last_true) - epoch_us(started_at) < {hold} * 1000000 THEN 'PENDING'
+  CASE WHEN epoch_us(last_true) - epoch_us(started_at) < {hold * 1_000_000} THEN 'PENDING'
        WHEN resolved_at IS NULL THEN 'FIRING' ELSE 'RESOLVED' END AS state FROM islands)"""
 
 
@@ -88,7 +88,7 @@ def episodes(spark, sf):
 WITH p AS (SELECT event_type, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS before FROM events)
 SELECT event_type, before AS stalled_from, ts AS resumed_at,
        CAST(epoch_us(ts) - epoch_us(before) AS DOUBLE) / 1000000 AS pause_seconds
-FROM p WHERE epoch_us(ts) - epoch_us(before) > 2100 * 1000000
+FROM p WHERE epoch_us(ts) - epoch_us(before) > 2100000000
 """)
 def commit_stalls(spark, sf):
     # 35 minutes without a commit

@@ -110,12 +110,12 @@ def summary(spark, sf):
 
 @query("cluster_profiles", f"""
 WITH {PROFILE_SQL}, {_LABELS_SQL}
-SELECT cluster, CAST(hour AS INTEGER) AS hour, round(avg(rate), 6) AS rate, count(rate) AS n_entities
+SELECT cluster, CAST(hour AS INTEGER) AS hour, round(avg(rate), 10) AS rate, count(rate) AS n_entities
 FROM per_hour JOIN labels USING (user_id) WHERE user_id IN (SELECT user_id FROM kept) GROUP BY 1, 2
 """)
 def mean_profiles(spark, sf):
     out = cluster_profiles(profiles(spark, sf), labels(spark, sf), "user_id")
-    return out.withColumn("rate", F.round("rate", 6))
+    return out.withColumn("rate", F.round("rate", 10))
 
 
 def _part_sql(a, b):

@@ -20,7 +20,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)].copy()
-    text = {c: frame[c].map(lambda v: "∅" if v is None or v is pd.NaT or v != v else str(v)) for c in frame.columns}
+    text = {c: frame[c].map(lambda v: "∅" if v is None or v is pd.NA or v is pd.NaT or v != v else str(v)) for c in frame.columns}
     return pd.DataFrame(text).sort_values(list(frame.columns)).reset_index(drop=True)
 
 
