@@ -17,10 +17,6 @@ ALERT_LINE = (
 )
 
 
-def _under(spark: SparkSession, glob: str):
-    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-
-
 def mixed_folder(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """All Parquet and CSV files below ``path`` as one table with the union of their columns.
 
@@ -29,15 +25,17 @@ def mixed_folder(spark: SparkSession, path: str, schema: str | None = None) -> D
     :func:`source_files`).  Fails if the folder holds neither kind.
     """
     parts = []
-    try:
-        reader = _under(spark, _PARQUET)
-        parts.append((reader.schema(schema) if schema else reader).parquet(path))
-    except AnalysisException as problem:
-        if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-    reader = _under(spark, _CSV).option("header", "true")
-    parts.append((reader.schema(schema) if schema else reader.option("inferSchema", "true")).csv(path))
-    parts = [p for p in parts if p.columns and not _no_files(p)]
+    for kind, glob, options in (("parquet", _PARQUET, {}), ("csv", _CSV, {"header": "true"})):
+        reader = spark.read.format(kind).options(recursiveFileLookup="true", pathGlobFilter=glob, **options)
+        reader = reader.schema(schema) if schema else reader.option("inferSchema", "true")
+        try:
+            part = reader.load(path)
+        except AnalysisException as problem:
+            if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":       # no file of this kind
+                raise
+            continue
+        if part.inputFiles():
+            parts.append(part)
     if not parts:
         raise FileNotFoundError(f"no Parquet or CSV file below {path}")
     table = parts[0]
@@ -46,10 +44,6 @@ def mixed_folder(spark: SparkSession, path: str, schema: str | None = None) -> D
     return table
 
 
-def _no_files(df: DataFrame) -> bool:
-    return not df.inputFiles()
-
-
 def source_files(df: DataFrame) -> list[str]:
     """Sorted list of the files behind a file-based table (metadata only, no data is read)."""
     return sorted(df.inputFiles())
