@@ -8,7 +8,7 @@ from .metrics import (
 )
 from .neighbours import trailing_sum, with_neighbours
 from .profiles import (
-    cluster_dayparts, cluster_profiles, cluster_summary, hourly_demand, hourly_profile, interpolated, standardised,
+    as_array, as_columns, cluster_dayparts, cluster_profiles, cluster_summary, hourly_demand, hourly_profile, interpolated, standardised,
     zone_imbalance,
 )
 from .quality import (
@@ -18,7 +18,7 @@ from .quality import (
 from .series import bucket_series, gap_report, offset_lookup, series_extent, temporal_split
 
 __all__ = [
-    "accepted", "alert_episodes", "alert_history", "bucket_series", "check_contract", "cluster_dayparts",
+    "accepted", "alert_episodes", "alert_history", "as_array", "as_columns", "bucket_series", "check_contract", "cluster_dayparts",
     "cluster_profiles", "cluster_summary", "constraint_violations", "consumer_lag", "content_manifest",
     "counter_increase", "counter_rate", "delivery_audit", "exact_median", "expectation_results", "fill_with_median",
     "first_per_key", "gap_report", "gate_report", "gauge_latest", "gauge_ratio", "hourly_demand", "hourly_profile",

@@ -8,8 +8,6 @@ chunk border take their neighbour from a small table with one row per (series, c
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -42,21 +40,25 @@ def with_neighbours(
     chunk_seconds: int = DAY,
 ) -> DataFrame:
     """Add structs ``previous`` / ``following`` holding ``ts`` and ``values`` of the adjacent rows."""
-    chunk = "_pg_chunk"
+    key, chunk = "_pg_key", "_pg_chunk"
     order = [ts, *ties]
     payload = F.struct(ts, *values)
-    chunked = df.withColumn(chunk, chunk_of(ts, chunk_seconds))
-    inside = W.partitionBy(*series, chunk).orderBy(*order)
+    # The series columns travel as one struct: structs compare equal on missing labels, so plain
+    # equality serves the window, the aggregation and the join alike, and the explicit exchange
+    # below is the only one of the full data - both uses read the same shuffle output.
+    chunked = (
+        df.withColumns({key: F.struct(*series), chunk: chunk_of(ts, chunk_seconds)}).repartition(key, chunk)
+    )
+    inside = W.partitionBy(key, chunk).orderBy(*order)
 
-    borders = chunked.groupBy(*series, chunk).agg(
+    borders = chunked.groupBy(key, chunk).agg(
         F.max_by(payload, F.struct(*order)).alias("_last"),
         F.min_by(payload, F.struct(*order)).alias("_first"),
     )
     # one row per (series, chunk): the number of chunks in the covered period bounds each group
-    across = W.partitionBy(*series).orderBy(chunk)
-    match = [*series, chunk]
+    across = W.partitionBy(key).orderBy(chunk)
     borders = borders.select(
-        *[F.col(c).alias(f"_b_{c}") for c in match],
+        key, chunk,
         F.lag("_last").over(across).alias("_from_before"),
         F.lead("_first").over(across).alias("_from_after"),
     )
@@ -66,13 +68,12 @@ def with_neighbours(
         out = out.withColumn(previous, F.lag(payload).over(inside))
     if following:
         out = out.withColumn(following, F.lead(payload).over(inside))
-    same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in match]
-    out = out.join(borders, reduce(and_, same), "left")
+    out = out.join(borders, [key, chunk], "left")
     if previous:
         out = out.withColumn(previous, F.coalesce(previous, "_from_before"))
     if following:
         out = out.withColumn(following, F.coalesce(following, "_from_after"))
-    return out.drop(chunk, "_from_before", "_from_after", *[f"_b_{c}" for c in match])
+    return out.drop(key, chunk, "_from_before", "_from_after")
 
 
 def trailing_sum(

@@ -30,10 +30,14 @@ def as_array(df: DataFrame, key: str, prefix: str = "h", name: str = "profile")
     return df.select(key, F.array(*[F.col(f"{prefix}{h}") for h in HOURS]).alias(name))
 
 
+def as_columns(df: DataFrame, key: str, prefix: str = "h", name: str = "profile") -> DataFrame:
+    return df.select(key, *[F.get(name, F.lit(h)).alias(f"{prefix}{h}") for h in HOURS])
+
+
 def interpolated(df: DataFrame, key: str, prefix: str = "h") -> DataFrame:
-    """Fill missing hours by a straight line, ends by the nearest hour."""
-    filled = as_array(df, key, prefix).withColumn("profile", fill_profile(F.col("profile")))
-    return filled.select(key, *[F.get("profile", F.lit(h)).alias(f"{prefix}{h}") for h in HOURS])
+    """Profiles as an array column ``profile``, with missing hours filled by a straight line and
+    ends by the nearest hour."""
+    return as_array(df, key, prefix).withColumn("profile", fill_profile(F.col("profile")))
 
 
 def standardised(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -73,10 +77,13 @@ def cluster_summary(df: DataFrame, labels: DataFrame, key: str, rate: str, capac
     )
 
 
-def cluster_profiles(profiles: DataFrame, labels: DataFrame, key: str, prefix: str = "h") -> DataFrame:
-    """Mean profile of every cluster in long form: cluster, hour, rate, entities."""
+def cluster_profiles(profiles: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+    """Mean profile of every cluster in long form: cluster, hour, rate, entities.
+
+    ``profiles`` holds one ``profile`` array per entity.
+    """
     return (
-        as_array(profiles, key, prefix).join(labels, key)
+        profiles.select(key, "profile").join(labels, key)
         .select("cluster", F.posexplode("profile").alias("hour", "rate"))
         .groupBy("cluster", "hour")
         .agg(mean_of("rate").alias("rate"), F.count("rate").alias("n_entities"))

@@ -9,7 +9,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
-from pulsegrid.operators.profiles import HOURS, interpolated, standardised
+from pulsegrid.operators.profiles import HOURS, as_columns, interpolated, standardised
 
 
 def profile_columns(prefix: str = "h") -> list[str]:
@@ -25,7 +25,7 @@ def cluster_entities(
     memory, spilling to disk; each run is distributed over it.
     """
     columns = profile_columns(prefix)
-    ready = standardised(interpolated(profiles, key, prefix), columns)
+    ready = standardised(as_columns(interpolated(profiles, key, prefix), key, prefix), columns)
     vectors = (
         VectorAssembler(inputCols=columns, outputCol="features").transform(ready).select(key, "features")
         .persist(StorageLevel.MEMORY_AND_DISK)

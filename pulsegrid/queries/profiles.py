@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import (
-    cluster_dayparts, cluster_profiles, cluster_summary, hourly_demand, hourly_profile, interpolated, standardised,
+    as_columns, cluster_dayparts, cluster_profiles, cluster_summary, hourly_demand, hourly_profile, interpolated, standardised,
     zone_imbalance,
 )
 from pulsegrid.plans.clusters import cluster_entities, profile_columns
@@ -56,7 +56,7 @@ _ROUNDED = ", ".join(f"round(max(rate) FILTER (hour = {h}), 7) AS h{h}" for h in
 
 @query("profile_interpolated", f"WITH {FILLED_SQL} SELECT user_id, {_ROUNDED} FROM filled GROUP BY 1")
 def profile_interpolated(spark, sf):
-    filled = interpolated(profiles(spark, sf), "user_id")
+    filled = as_columns(interpolated(profiles(spark, sf), "user_id"), "user_id")
     return filled.select("user_id", *[F.round(c, 7).alias(c) for c in profile_columns()])
 
 
@@ -70,7 +70,7 @@ scored AS (SELECT user_id, hour, (rate - m) / CASE WHEN s = 0 THEN 1 ELSE s END
 SELECT user_id, {_SCORED} FROM scored GROUP BY 1
 """)
 def profile_zscore(spark, sf):
-    scored = standardised(interpolated(profiles(spark, sf), "user_id"), profile_columns())
+    scored = standardised(as_columns(interpolated(profiles(spark, sf), "user_id"), "user_id"), profile_columns())
     return scored.select("user_id", *[(F.round(c, 6) + 0.0).alias(c) for c in profile_columns()])
 
 
@@ -109,12 +109,12 @@ def summary(spark, sf):
 
 
 @query("cluster_profiles", f"""
-WITH {PROFILE_SQL}, {_LABELS_SQL}
+WITH {FILLED_SQL}, {_LABELS_SQL}
 SELECT cluster, CAST(hour AS INTEGER) AS hour, round(avg(rate), 10) AS rate, count(rate) AS n_entities
-FROM per_hour JOIN labels USING (user_id) WHERE user_id IN (SELECT user_id FROM kept) GROUP BY 1, 2
+FROM filled JOIN labels USING (user_id) GROUP BY 1, 2
 """)
 def mean_profiles(spark, sf):
-    out = cluster_profiles(profiles(spark, sf), labels(spark, sf), "user_id")
+    out = cluster_profiles(interpolated(profiles(spark, sf), "user_id"), labels(spark, sf), "user_id")
     return out.withColumn("rate", F.round("rate", 10))
 
 
@@ -136,6 +136,6 @@ def dayparts(spark, sf):
 def kmeans_profiles(spark, sf):
     base = profiles(spark, sf)
     found = cluster_entities(base, "user_id")
-    return cluster_profiles(base, found, "user_id").join(
+    return cluster_profiles(interpolated(base, "user_id"), found, "user_id").join(
         found.groupBy("cluster").agg(F.count(F.lit(1)).alias("cluster_size")), "cluster")
 

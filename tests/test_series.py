@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import fill_profile
 from pulsegrid.operators import (
-    bucket_series, exact_median, fill_with_median, first_per_key, gap_report, hourly_profile, interpolated,
+    as_columns, bucket_series, exact_median, fill_with_median, first_per_key, gap_report, hourly_profile, interpolated,
     latest_per_key, newest_row, offset_lookup, standardised, temporal_split, trailing_sum, with_neighbours,
 )
 from pulsegrid.plans.forecast import station_features
@@ -147,7 +147,7 @@ def test_profiles_need_enough_hours(spark):
     df = spark.createDataFrame(data, "s STRING, ts TIMESTAMP, r DOUBLE")
     wide = hourly_profile(df, "s", "ts", "r", 18)
     assert {r["s"] for r in wide.collect()} == {"n18", "n24"}
-    filled = {r["s"]: r for r in interpolated(wide, "s").collect()}
+    filled = {r["s"]: r for r in as_columns(interpolated(wide, "s"), "s").collect()}
     assert filled["n18"]["h23"] == 17.0 and filled["n24"]["h23"] == 23.0
 
 
