@@ -44,11 +44,13 @@ def with_neighbours(
     order = [ts, *ties]
     payload = F.struct(ts, *values)
     # The series columns travel as one struct: structs compare equal on missing labels, so plain
-    # equality serves the window, the aggregation and the join alike, and the explicit exchange
-    # below is the only one of the full data - both uses read the same shuffle output.
-    chunked = (
-        df.withColumns({key: F.struct(*series), chunk: chunk_of(ts, chunk_seconds)}).repartition(key, chunk)
-    )
+    # equality serves the window, the aggregation and the join alike.  The explicit exchange is
+    # the only one of the full data; where both uses need the same columns they share its output.
+    chunked = df.select(
+        *[c for c in df.columns if c not in series],
+        F.struct(*series).alias(key),
+        chunk_of(ts, chunk_seconds).alias(chunk),
+    ).repartition(key, chunk)
     inside = W.partitionBy(key, chunk).orderBy(*order)
 
     borders = chunked.groupBy(key, chunk).agg(
@@ -73,7 +75,8 @@ def with_neighbours(
         out = out.withColumn(previous, F.coalesce(previous, "_from_before"))
     if following:
         out = out.withColumn(following, F.coalesce(following, "_from_after"))
-    return out.drop(key, chunk, "_from_before", "_from_after")
+    added = [c for c in (previous, following) if c]
+    return out.select(*[F.col(f"{key}.{c}").alias(c) if c in series else F.col(c) for c in df.columns], *added)
 
 
 def trailing_sum(

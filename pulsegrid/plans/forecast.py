@@ -34,6 +34,9 @@ def with_target(
     series: DataFrame, keys: Sequence[str], ts: str, value: str, horizon_seconds: int, name: str = "target"
 ) -> DataFrame:
     """Value one horizon ahead; rows without it are left out."""
+    # stated up front, so that both sides of the look-up filter alike and share their exchange
+    for column in (*keys, ts):
+        series = series.where(F.col(column).isNotNull())
     return offset_lookup(series, keys, ts, value, {name: horizon_seconds}).where(F.col(name).isNotNull())
 
 
