@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -11,8 +12,9 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from pulsegrid.functions import calendar_parts, clip_low, regression_scores, row_mean, share_of
-from pulsegrid.operators.median import median_of
-from pulsegrid.operators.series import offset_lookup, temporal_split
+from pulsegrid.operators.latest import first_per_key
+from pulsegrid.operators.median import fill_with_median, median_of
+from pulsegrid.operators.series import bucket_series, offset_lookup, temporal_split
 from pulsegrid.session import ensure_checkpoint_dir
 
 from .stations import FEATURES, LAGS
@@ -40,6 +42,20 @@ def with_target(
     return offset_lookup(series, keys, ts, value, {name: horizon_seconds}).where(F.col(name).isNotNull())
 
 
+def station_series(status: DataFrame, width: str = "15 minutes") -> DataFrame:
+    """Clean status rows as a regular series: repeats removed, one row per station and time slot."""
+    measures = ["numbikesavailable", "numdocksavailable", "mechanical", "ebike"]
+    order = [*measures, "capacity", "nom_arrondissement_communes"]
+    unique = first_per_key(status.where(F.col("stationcode").isNotNull()), ["stationcode", "ingestion_ts"], order)
+    return bucket_series(unique, ["stationcode"], "ingestion_ts", width, maxima=["capacity"],
+                         firsts=["nom_arrondissement_communes"], means=measures, bucket="ts_15min")
+
+
+def station_rates(series: DataFrame) -> DataFrame:
+    """Series with missing capacities filled and the occupancy as a fraction, for daily profiles."""
+    return fill_with_median(series, "capacity").withColumn("taux_occ", share_of("numbikesavailable", "capacity"))
+
+
 def station_features(series: DataFrame, keys: Sequence[str] = ("stationcode",), ts: str = "ts_15min") -> DataFrame:
     """The 17 feature columns of a 15-minute station series."""
     lags = {f"lag_{m}": m * MINUTE for m in LAGS}
@@ -132,6 +148,22 @@ def evaluate(
     return scores(predict(model, labelled, inputs, current), "target", "prediction", current)
 
 
+def evaluate_horizons(
+    features: DataFrame, keys: Sequence[str], ts: str, current: str, inputs: Sequence[str],
+    horizons: Mapping[str, int], **options,
+) -> DataFrame:
+    """:func:`evaluate` for several horizons (label -> seconds), one row each.
+
+    The models are trained one after the other; the feature table is the shared input of all of
+    them, so hand over a stored one when building it is expensive.
+    """
+    parts = [
+        evaluate(features, keys, ts, current, inputs, seconds, **options).withColumn("horizon", F.lit(label))
+        for label, seconds in horizons.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def importances(model: PipelineModel, inputs: Sequence[str], spark) -> DataFrame:
     """Weight of each feature (its missing-indicator included) in the fitted trees."""
     weights = model.stages[-1].featureImportances
@@ -144,6 +176,6 @@ def importances(model: PipelineModel, inputs: Sequence[str], spark) -> DataFrame
 
 
 __all__ = [
-    "BoostedTrees", "evaluate", "fit_delta_trees", "importances", "lag_features", "predict", "scores",
-    "station_features", "with_target",
+    "BoostedTrees", "evaluate", "evaluate_horizons", "fit_delta_trees", "importances", "lag_features", "predict", "scores",
+    "station_features", "station_rates", "station_series", "with_target",
 ]

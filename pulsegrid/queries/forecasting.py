@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import clip_low
 from pulsegrid.operators import temporal_split
-from pulsegrid.plans.forecast import BoostedTrees, evaluate, fit_delta_trees, importances, scores, with_target
+from pulsegrid.plans.forecast import BoostedTrees, evaluate_horizons, fit_delta_trees, importances, scores, with_target
 
 from .registry import query
 from .timeseries import DAY, LAG_SQL, TARGET_SQL, lagged, targeted
@@ -69,12 +69,8 @@ _INPUTS = ["value", "lag_1", "lag_2", "lag_3", "lag_4", "roll_mean_lag"]
 
 @query("forecast_gbt")
 def forecast_gbt(spark, sf):
-    out = None
-    for label, days in (("D+1", 1), ("D+3", 3)):
-        one = evaluate(lagged(spark, sf), ["user_id"], "slot", "value", _INPUTS, days * DAY, settings=QUICK)
-        one = one.withColumn("horizon", F.lit(label))
-        out = one if out is None else out.unionByName(one)
-    return out
+    horizons = {"D+1": DAY, "D+3": 3 * DAY}
+    return evaluate_horizons(lagged(spark, sf), ["user_id"], "slot", "value", _INPUTS, horizons, settings=QUICK)
 
 
 @query("feature_importance")

@@ -6,7 +6,7 @@ from pulsegrid.functions import digest_sum, row_digest
 from pulsegrid.session import scratch_path
 from pulsegrid.sources import (
     bad_payloads, compact, envelope, export_csv, inventory, inventory_report, keyed_messages, mixed_folder,
-    payload_columns,
+    format_sizes, payload_columns,
 )
 
 from .registry import EVENTS_SQL, events, query, table
@@ -129,3 +129,8 @@ def compaction_preserves_rows(spark, sf):
 @query("zone_inventory")
 def zone_inventory(spark, sf):
     return inventory_report(inventory(spark, {"tables": sf}))
+
+
+@query("format_sizes")
+def sizes_by_format(spark, sf):
+    return format_sizes(table(spark, sf, "orders"), scratch_path(spark, "formats"))

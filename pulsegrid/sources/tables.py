@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from pulsegrid.operators.audit import content_manifest, manifest_diff
 
-_LOG = "_published"
+from .files import inventory
+
 _LOG_SCHEMA = "version STRING, n_rows BIGINT, published_at TIMESTAMP"
 
 
@@ -53,12 +54,12 @@ def publish(df: DataFrame, root: str, version: str | None = None, allow_empty: b
         F.lit(version).alias("version"), F.lit(written).cast("bigint").alias("n_rows"),
         F.current_timestamp().alias("published_at"),
     )
-    entry.write.mode("append").json(_log_path(root))
+    entry.write.mode("overwrite").json(f"{_log_path(root)}/{version}")
     return Published(version, written, reread, target)
 
 
 def published_versions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(_LOG_SCHEMA).json(_log_path(root))
+    return spark.read.schema(_LOG_SCHEMA).option("recursiveFileLookup", "true").json(_log_path(root))
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame | None:
@@ -72,6 +73,24 @@ def read_published(spark: SparkSession, root: str) -> DataFrame | None:
     return None if newest is None or newest[0] is None else spark.read.parquet(_version_path(root, newest[0]))
 
 
+def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
+    """Delete all but the newest ``keep`` snapshots with their log entries; returns the versions gone.
+
+    Keep enough of them for the longest-running reader.
+    """
+    old = [
+        row["version"]
+        for row in published_versions(spark, root).orderBy(F.col("published_at").desc(), F.col("version").desc())
+        .select("version").collect()[keep:]
+    ]
+    for version in old:
+        # the log entry goes first, so no reader is sent to a half-deleted snapshot
+        for folder in (f"{_log_path(root)}/{version}", _version_path(root, version)):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return old
+
+
 def compact(
     spark: SparkSession, source: str, target: str, *, files: int | None = None,
     target_bytes: int = 512 * 1024 * 1024, partition_by: Sequence[str] = (),
@@ -79,7 +98,9 @@ def compact(
     """Rewrite many small Parquet files as few larger ones with identical rows; returns the copy.
 
     By default nothing is shuffled: small files are packed into read tasks of ``target_bytes``
-    and every task writes one file.  ``files`` asks for an exact number and costs a shuffle.
+    and every task writes one file.  ``files`` asks for an exact number and costs a shuffle; so
+    does ``partition_by``, where adaptive execution splits a hot partition over several tasks
+    and puts small ones together.
     """
     packing = spark.newSession()
     packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
@@ -88,6 +109,9 @@ def compact(
     packed = packing.read.parquet(source)
     if files:
         packed = packed.repartition(files)
+    elif partition_by:
+        packing.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+        packed = packed.hint("rebalance", *partition_by)
     writer = packed.write.mode("overwrite").option("compression", "snappy")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
     return spark.read.parquet(target)
@@ -136,3 +160,21 @@ def verify_copy(original: DataFrame, copy: DataFrame, by: Column | None = None)
     return manifest_diff(
         content_manifest(original, group, columns), content_manifest(copy.select(*columns), group, columns)
     )
+
+
+def format_sizes(df: DataFrame, root: str, formats: Sequence[str] = ("json", "csv", "parquet")) -> DataFrame:
+    """Write the same rows in several formats and compare bytes per row and the gain over JSON."""
+    spark = df.sparkSession
+    for name in formats:
+        writer = df.write.mode("overwrite").format(name)
+        (writer.option("header", "true") if name == "csv" else writer).save(f"{root.rstrip('/')}/{name}")
+    sizes = (
+        inventory(spark, {name: f"{root.rstrip('/')}/{name}" for name in formats})
+        .groupBy(F.col("zone").alias("format")).agg(F.sum("bytes").alias("bytes"))
+    )
+    rows = spark.read.parquet(f"{root.rstrip('/')}/parquet").agg(F.count(F.lit(1))).scalar()
+    json_bytes = sizes.where(F.col("format") == "json").select("bytes").scalar()
+    return sizes.withColumns({
+        "bytes_per_row": F.try_divide(F.col("bytes"), rows),
+        "gain_over_json_pct": (F.lit(1) - F.col("bytes") / json_bytes) * 100,
+    })

@@ -1,9 +1,15 @@
+import datetime as dt
 import math
 
 from pyspark.sql import functions as F
 
 from pulsegrid.plans.clusters import cluster_entities, profile_columns
-from pulsegrid.plans.forecast import BoostedTrees, fit_delta_trees, importances, predict, scores
+from pulsegrid.operators import cluster_summary, hourly_profile
+from pulsegrid.plans.forecast import (
+    BoostedTrees, evaluate_horizons, fit_delta_trees, importances, predict, scores, station_features, station_rates,
+    station_series,
+)
+from pulsegrid.plans.stations import FEATURES, HORIZONS
 
 
 def test_trees_learn_a_change_the_baseline_cannot(spark):
@@ -21,6 +27,30 @@ def test_trees_learn_a_change_the_baseline_cannot(spark):
     assert math.isclose(sum(weights.values()), 1.0, abs_tol=1e-6) and weights["lag"] > 0
 
 
+def test_station_history_to_scores_and_clusters(spark):
+    t0 = dt.datetime(2026, 3, 2)
+    rows = []
+    for s in range(6):
+        for i in range(4 * 24 * 5):
+            bikes = 10 + (8 if (i // 48 + s) % 2 else -8)
+            ts = t0 + dt.timedelta(minutes=15 * i, seconds=30)
+            rows += [(f"s{s}", bikes, 20 - bikes, bikes, 0, 20 if s else None, "Paris", ts)] * (2 if i % 50 == 0 else 1)
+    status = spark.createDataFrame(rows, "stationcode STRING, numbikesavailable INT, numdocksavailable INT, mechanical INT, "
+                                         "ebike INT, capacity INT, nom_arrondissement_communes STRING, ingestion_ts TIMESTAMP")
+    series = station_series(status)
+    assert series.count() == 6 * 480
+    features = station_features(series)
+    out = evaluate_horizons(features, ["stationcode"], "ts_15min", "numbikesavailable", FEATURES,
+                            {"H+1": HORIZONS["H+1"] * 60}, settings=BoostedTrees(trees=3, step=0.3)).head()
+    assert out["horizon"] == "H+1" and out["n_te"] == 6 * 192 and out["n_tr"] == 6 * (480 - 4 - 192)
+    profiles = hourly_profile(station_rates(series), "stationcode", "ts_15min", "taux_occ")
+    labels = cluster_entities(profiles, "stationcode", k=2, restarts=2)
+    groups = {r["stationcode"]: r["cluster"] for r in labels.collect()}
+    assert len({groups[f"s{i}"] for i in (0, 2, 4)}) == 1 and groups["s0"] != groups["s1"]
+    summary = cluster_summary(station_rates(series), labels, "stationcode", "taux_occ", "capacity")
+    assert {r["n_entities"] for r in summary.collect()} == {3}
+
+
 def test_published_settings_are_the_default():
     s = BoostedTrees()
     assert (s.trees, s.depth, s.step, s.row_share, s.column_share, s.min_rows, s.seed) == (400, 6, 0.05, 0.8, 0.8, 5, 42)

@@ -9,7 +9,7 @@ from pulsegrid.plans.stations import INFO_FIELDS, INFO_PAYLOAD, STATUS_FIELDS, S
 from pulsegrid.session import scratch_path, shared_root
 from pulsegrid.sources import (
     backup, bad_payloads, compact, drop_expired_partitions, envelope, export_csv, inventory, inventory_report,
-    keyed_messages, mixed_folder, payload_columns, publish, published_versions, read_published, small_files, source_files,
+    format_sizes, keyed_messages, mixed_folder, payload_columns, prune_versions, publish, published_versions, read_published, small_files, source_files,
     verify_copy,
 )
 
@@ -88,6 +88,21 @@ def test_compaction_keeps_rows_and_reduces_files(spark, tmp_path, files):
     assert spark.conf.get("spark.sql.files.openCostInBytes") != "4096"      # the caller's session is untouched
 
 
+def test_partitioned_compaction(spark, tmp_path):
+    many, few = f"{tmp_path}/many", f"{tmp_path}/few"
+    hot = F.when(F.col("id") < 900, 0).otherwise(F.col("id") % 3)
+    spark.range(1000).select("id", hot.alias("day")).repartition(20).write.parquet(many)
+    out = compact(spark, many, few, partition_by=["day"])
+    assert len(data_files(few)) <= 6
+    assert sorted(map(tuple, out.select("id", "day").collect())) == sorted(map(tuple, spark.read.parquet(many).collect()))
+
+
+def test_format_sizes(spark, tmp_path):
+    got = {r["format"]: r for r in format_sizes(spark.range(5000).select("id", F.lit("some text").alias("t")).coalesce(1), str(tmp_path)).collect()}
+    assert set(got) == {"json", "csv", "parquet"} and got["json"]["gain_over_json_pct"] == 0
+    assert got["parquet"]["bytes_per_row"] < got["csv"]["bytes_per_row"] < got["json"]["bytes_per_row"]
+
+
 def test_snapshots_follow_the_version_log(spark, tmp_path):
     root = f"{tmp_path}/curated"
     assert read_published(spark, root) is None
@@ -101,6 +116,9 @@ def test_snapshots_follow_the_version_log(spark, tmp_path):
     publish(read_published(spark, root).union(spark.range(1)), root)
     assert read_published(spark, root).count() == 6
     assert published_versions(spark, root).count() == 3 and second.version in second.path
+    assert second.version in prune_versions(spark, root, keep=1)
+    assert not os.path.exists(second.path) and published_versions(spark, root).count() == 1
+    assert read_published(spark, root).count() == 6
 
 
 def test_csv_export(spark, tmp_path):
