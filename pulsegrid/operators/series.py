@@ -55,28 +55,39 @@ def offset_lookup(
     """Value of the same entity exactly ``offset`` seconds away, one new column per entry.
 
     ``offsets`` maps the new column to seconds (negative = past).  A missing reading gives
-    NULL; this is not a row-based lag.  (keys, ts) must be unique in ``df``.
+    NULL; this is not a row-based lag.  (keys, ts) must be unique, which is checked.
 
-    All offsets share one exchange: every reading is sent to the times that will ask for it,
-    is collected there per (keys, ts), and is joined back once.  Work is spread over
-    (entity, time) pairs, so a hot entity does not land in one task.
+    One exchange does it all: every row is sent to its own (keys, ts) and its value to the
+    times that will ask for it, and each (keys, ts) puts the pieces together.  Nothing is
+    joined, and work is spread over (entity, time) pairs, so a hot entity does not land in one
+    task.
     """
-    asked_at = F.explode(
-        F.array(*[
-            F.struct(shift(F.col(ts), -seconds).alias("at"), F.lit(slot).alias("slot"))
-            for slot, seconds in enumerate(offsets.values())
-        ])
-    )
-    found = (
-        df.where(F.col(value).isNotNull())
-        .select(*keys, F.col(value).alias("_v"), asked_at.alias("_q"))
-        .groupBy(*keys, F.col("_q.at").alias(ts))
-        .agg(*[
-            F.max(F.when(F.col("_q.slot") == slot, F.col("_v"))).alias(name)
-            for slot, name in enumerate(offsets)
-        ])
+    own = F.struct(F.col(ts).alias("at"), F.lit(-1).alias("slot"))
+    asked = [
+        F.struct(shift(F.col(ts), -seconds).alias("at"), F.lit(slot).alias("slot"))
+        for slot, seconds in enumerate(offsets.values())
+    ]
+    # rows without a value, key or time have nothing to send
+    sends = F.col(value).isNotNull() & F.col(ts).isNotNull()
+    for key in keys:
+        sends = sends & F.col(key).isNotNull()
+    targets = F.explode(F.when(sends, F.array(own, *asked)).otherwise(F.array(own)))
+    carried = [c for c in df.columns if c not in (*keys, ts)]
+    sent = df.select(*df.columns, targets.alias("_q"))
+    here = F.col("_q.slot") == -1
+    pieces = sent.select(
+        *keys, F.col("_q.at").alias(ts), F.col("_q.slot").alias("_slot"), F.col(value).alias("_v"),
+        *[F.when(here, F.col(c)).alias(c) for c in carried],
+    ).repartition(*keys, ts)
+    rows = F.count_if(F.col("_slot") == -1)
+    whole = pieces.groupBy(*keys, ts).agg(
+        rows.alias("_rows"),
+        *[F.any_value(c, True).alias(c) for c in carried],
+        *[F.max(F.when(F.col("_slot") == slot, F.col("_v"))).alias(name) for slot, name in enumerate(offsets)],
     )
-    return df.join(found, [*keys, ts], "left")
+    repeated = F.raise_error(F.lit(f"offset_lookup: ({', '.join([*keys, ts])}) is not unique"))
+    single = F.when(F.col("_rows") > 1, repeated.cast("boolean")).otherwise(F.col("_rows") == 1)
+    return whole.where(single).select(*df.columns, *offsets)
 
 
 def temporal_split(df: DataFrame, ts: str, holdout_seconds: int, label: str = "split") -> DataFrame:

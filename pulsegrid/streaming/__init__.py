@@ -1,9 +1,11 @@
 from .jobs import (
     JobFolders, clean_info, clean_status, clean_weather, deduplicated, latest_reference, progress_rows, run_curation, start_append,
-    start_curated, start_raw, start_reference,
+    start_curated, start_raw, start_reference, start_station_clean, start_station_curated,
+    start_station_raw, station_tables,
 )
 
 __all__ = [
     "JobFolders", "clean_info", "clean_status", "clean_weather", "deduplicated", "latest_reference", "progress_rows",
     "run_curation", "start_append", "start_curated", "start_raw", "start_reference",
+    "start_station_clean", "start_station_curated", "start_station_raw", "station_tables",
 ]

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pulsegrid.operators.latest import latest_per_key
 from pulsegrid.plans.curate import STATION_SPEC, CurateSpec, curate_latest
 from pulsegrid.plans.stations import INFO_FIELDS, INFO_PAYLOAD, STATUS_FIELDS, STATUS_PAYLOAD, WEATHER_FIELDS, WEATHER_PAYLOAD
-from pulsegrid.sources.messages import envelope, payload_columns
+from pulsegrid.sources.messages import ENVELOPE, envelope, parquet_stream, payload_columns
 from pulsegrid.sources.tables import Published, publish, read_published
 
 log = logging.getLogger(__name__)
@@ -161,6 +161,61 @@ def start_curated(
     return _trigger(writer, every).start()
 
 
+# The three message kinds and their folders below a zone.
+STATUS, INFO, WEATHER = "station_status", "station_information", "weather"
+
+# Columns of the clean status table.
+CLEAN_STATUS = (
+    "stationcode STRING, numbikesavailable INT, numdocksavailable INT, mechanical INT, ebike INT, capacity INT, "
+    "nom_arrondissement_communes STRING, ingestion_ts TIMESTAMP"
+)
+
+
+def start_station_raw(source: Callable[[str], DataFrame], root: str, every: str | None = "30 seconds",
+                      kinds: Sequence[str] = (STATUS, INFO, WEATHER)) -> list[StreamingQuery]:
+    """One independent query per message kind; ``source`` gives the stream of a kind."""
+    return [start_raw(source(kind), _zone(root, kind), every) for kind in kinds]
+
+
+def start_station_clean(spark: SparkSession, raw_root: str, clean_root: str,
+                        every: str | None = "30 seconds") -> list[StreamingQuery]:
+    """Raw to clean for the three message kinds."""
+
+    def raw(kind: str) -> DataFrame:
+        return parquet_stream(spark, _zone(raw_root, kind).data, ENVELOPE)
+
+    info = _zone(clean_root, INFO)
+    return [
+        start_append(clean_status(raw(STATUS)), _zone(clean_root, STATUS), every),
+        start_reference(raw(INFO), info.data, info.checkpoint, every),
+        start_append(clean_weather(raw(WEATHER)), _zone(clean_root, WEATHER), every),
+    ]
+
+
+def station_tables(spark: SparkSession, clean_root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Clean status, current reference and weather as batch tables."""
+    reference = read_published(spark, _zone(clean_root, INFO).data)
+    if reference is None:
+        raise RuntimeError(f"no station reference below {clean_root} yet")
+    return (spark.read.parquet(_zone(clean_root, STATUS).data), reference,
+            spark.read.parquet(_zone(clean_root, WEATHER).data))
+
+
+def start_station_curated(spark: SparkSession, clean_root: str, curated_root: str,
+                          every: str | None = "120 seconds") -> StreamingQuery:
+    """Curated snapshot that follows the clean status stream; only new rows are read."""
+    clean = spark.readStream.schema(CLEAN_STATUS).parquet(_zone(clean_root, STATUS).data)
+    root = curated_root.rstrip("/")
+    return start_curated(
+        clean, lambda: station_tables(spark, clean_root)[1], lambda: station_tables(spark, clean_root)[2],
+        f"{root}-state", root, f"{root}-checkpoint", every=every)
+
+
+def _zone(root: str, kind: str) -> JobFolders:
+    root = root.rstrip("/")
+    return JobFolders(f"{root}/{kind}", f"{root}-checkpoints/{kind}")
+
+
 def run_curation(build: Callable[[], DataFrame], root: str, interval_seconds: float = 120,
                  rounds: int | None = None) -> int:
     """Rebuild and publish a snapshot periodically; a failing round is logged and the next one tries

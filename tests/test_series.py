@@ -52,6 +52,16 @@ def test_lookup_uses_exact_offsets_not_rows(spark, rows):
                    ("b", at(30), 9, None, None, None)]
 
 
+def test_lookup_keeps_incomplete_rows_and_rejects_repeats(spark, rows):
+    columns = "s STRING, ts TIMESTAMP, v INT, note STRING"
+    df = spark.createDataFrame([("a", at(0), None, "x"), ("a", at(15), 2, None), ("a", None, 3, "y"), (None, at(0), 4, "z")], columns)
+    got = rows(offset_lookup(df, ["s"], "ts", "v", {"lag": -900, "ahead": 900}))
+    assert got == [(None, at(0), 4, "z", None, None), ("a", None, 3, "y", None, None), ("a", at(0), None, "x", None, 2),
+                   ("a", at(15), 2, None, None, None)]
+    with pytest.raises(Exception, match="not unique"):
+        offset_lookup(df.union(df), ["s"], "ts", "v", {"lag": -900}).collect()
+
+
 def test_gap_report_counts(spark):
     minutes = [0, 15, 30, 75, 4 * 1440]
     df = spark.createDataFrame([("a", at(m)) for m in minutes] + [("b", at(0))], "s STRING, ts TIMESTAMP")

@@ -4,12 +4,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from pulsegrid.__main__ import main
 from pulsegrid.operators import stalls
 from pulsegrid.sources import parquet_stream, publish, read_published
 from pulsegrid.sources.messages import ENVELOPE
 from pulsegrid.streaming import (
     JobFolders, clean_status, clean_weather, progress_rows, run_curation, start_append, start_curated, start_raw,
-    start_reference,
+    start_reference, start_station_raw,
 )
 
 T0 = dt.datetime(2026, 3, 2, 8)
@@ -134,3 +135,26 @@ def test_empty_snapshot_is_not_published(spark, tmp_path):
     publish(spark.range(1), f"{tmp_path}/snap")
     assert run_curation(lambda: spark.range(0), f"{tmp_path}/snap", 0, 1) == 0
     assert read_published(spark, f"{tmp_path}/snap").count() == 1
+
+
+def test_jobs_from_messages_to_csv(spark, tmp_path):
+    root = str(tmp_path)
+    info = {"stationcode": "s1", "name": "One", "capacity": 20, "coordonnees_geo": {"lon": 2.0, "lat": 48.0}}
+    weather = {"main": {"temp": 9.5, "humidity": 50, "pressure": 1}, "wind": {"speed": 2.0}, "dt": 77}
+    for m in range(3):
+        land(spark, f"{root}/topics/station_status", (status("s1", m), m), (status("s2", 4 + m), m))
+        land(spark, f"{root}/topics/station_information", (info, m))
+        land(spark, f"{root}/topics/weather", (weather, m))
+    assert main(["export", f"--curated={root}/curated", f"--target={root}/none"]) == 1
+    for q in start_station_raw(lambda kind: parquet_stream(spark, f"{root}/topics/{kind}", TOPIC), f"{root}/raw", every=None):
+        drain(q)
+    assert main(["clean", f"--raw={root}/raw", f"--clean={root}/clean", "--once"]) == 0
+    assert main(["curate", f"--clean={root}/clean", f"--curated={root}/curated", "--interval=0", "--rounds=1"]) == 0
+    assert main(["export", f"--curated={root}/curated", f"--target={root}/csv", "--single-file"]) == 0
+    assert main(["follow", f"--clean={root}/clean", f"--curated={root}/live", "--once"]) == 0
+    batch, live = (read_published(spark, f"{root}/{n}").drop("date_calcul") for n in ("curated", "live"))
+    assert sorted(map(str, live.collect())) == sorted(map(str, batch.collect()))
+    got = {r["stationcode"]: r for r in spark.read.option("header", True).csv(f"{root}/csv").collect()}
+    assert set(got) == {"s1", "s2"} and got["s1"]["name"] == "One" and got["s1"]["meteo_temp"] == "9.5"
+    assert main(["compact", f"--source={root}/clean/station_status", f"--target={root}/compacted", "--files=1"]) == 0
+    assert spark.read.parquet(f"{root}/compacted").count() == 6
