@@ -1,6 +1,6 @@
 """All named queries of the corpus operators."""
 
-from . import mixing_queries, token_files_queries
+from . import html_text_queries, mixing_queries, quality_queries, token_files_queries
 from .queries import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "mixing_queries", "token_files_queries"]
+__all__ = ["ORACLES", "QUERIES", "html_text_queries", "mixing_queries", "quality_queries", "token_files_queries"]
