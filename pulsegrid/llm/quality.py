@@ -115,7 +115,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_pu(model: Model, positive: np.ndarray, unlabelled: np.ndarray, prior: float,
-           steps: int = 250, rate: float = 0.05, ridge: float = 2e-3) -> Model:
+           steps: int = 400, rate: float = 0.05, ridge: float = 7e-4) -> Model:
     """Minimise the non-negative risk by Adam over the whole sample; cells of positive and unlabelled rows."""
     n_p, n_u, size = len(positive), len(unlabelled), len(model.weights)
     moments = np.zeros((2, size + 1))
