@@ -76,8 +76,10 @@ def source_targets(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
         .withColumn("mix_size", mix.share * F.sum("source_size").over(everything))
         .withColumn("level", (F.col("mix_size") - F.coalesce(F.sum("most").over(before), F.lit(0.0)))
                     / F.sum("weight").over(onward))
-        .withColumn("level", F.min(F.when(F.col("level") <= F.col("most") / F.col("weight"), F.col("level")))
-                    .over(everything))
+        .withColumn("turn", F.row_number().over(rise))
+        # sources before the first that stays below its cap are capped
+        .withColumn("level", F.min(F.when(F.col("level") <= F.col("most") / F.col("weight"), F.struct("turn", "level")))
+                    .over(everything)["level"])
     )
     return filled.select(
         "skey", "source_size",

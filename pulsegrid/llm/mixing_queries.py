@@ -16,7 +16,7 @@ w AS (SELECT *, ([{weights}])[CAST((row_number() OVER (ORDER BY source NULLS LAS
 l AS (SELECT *, (total - coalesce(sum(most) OVER (ORDER BY most / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
                / sum(weight) OVER (ORDER BY most / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
 t AS (SELECT source, source_size,
-        least(most, (SELECT min(level) FROM l WHERE level <= most / weight) * weight) AS target FROM l),
+        coalesce(least(most, (SELECT arg_min(level, (most / weight, source)) FROM l WHERE level <= most / weight) * weight), most) AS target FROM l),
 n AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole
       FROM t),
 r AS (SELECT d.*, source_size, target, whole, target - whole * source_size AS rest,
