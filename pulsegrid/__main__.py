@@ -1,4 +1,4 @@
-"""Jobs of the station platform: ``python -m pulsegrid <raw|clean|curate|follow|compact|export>``."""
+"""Jobs of the station platform: ``python -m pulsegrid <raw|clean|curate|follow|compact|retain|export>``."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ import argparse
 import os
 import sys
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import SparkSession
 
 from pulsegrid.plans.curate import curate
 from pulsegrid.session import SQL_DEFAULTS
-from pulsegrid.sources import compact, export_csv, kafka_stream, read_published
+from pulsegrid.sources import compact, export_csv, kafka_stream, read_published, retain_days
+from pulsegrid.streaming.jobs import INFO, STATUS, WEATHER
 from pulsegrid.streaming import run_curation, start_station_clean, start_station_curated, start_station_raw, station_tables
 
 
@@ -46,6 +48,11 @@ def _arguments() -> argparse.ArgumentParser:
     comp.add_argument("--target", required=True)
     comp.add_argument("--files", type=int)
 
+    keep = jobs.add_parser("retain", help="delete raw date folders older than the retention period")
+    keep.add_argument("--raw", required=True)
+    keep.add_argument("--days", type=int, default=30)
+    keep.add_argument("--today", help="ISO date to count from (default: today)")
+
     exp = jobs.add_parser("export", help="curated snapshot as CSV")
     exp.add_argument("--curated", required=True)
     exp.add_argument("--target", required=True)
@@ -81,6 +88,10 @@ def main(argv: Sequence[str] | None = None) -> int:
         start_station_curated(spark, args.clean, args.curated, every).awaitTermination()
     elif args.job == "compact":
         compact(spark, args.source, args.target, files=args.files)
+    elif args.job == "retain":
+        today = args.today or date.today().isoformat()
+        for kind in (STATUS, INFO, WEATHER):
+            print(kind, *retain_days(spark, f"{args.raw.rstrip('/')}/{kind}", today, args.days))
     elif args.job == "export":
         snapshot = read_published(spark, args.curated)
         if snapshot is None:

@@ -2,54 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-_BINS = 4096
+from pulsegrid.session import scratch_path
 
+_EDGES = 64
 
-def exact_median(df: DataFrame, value: str, one_task: int = 1_000_000) -> DataFrame:
-    """One row, one DOUBLE column ``median`` (NULL for no values).
 
-    The built-in exact median keeps every distinct value in one task.  Here histogram passes
-    with at most 4096 groups narrow the range around the middle until no more than
-    ``one_task`` rows are left in it; only those are ordered.  Each pass divides the range by
-    4096, all other rows are only counted, and small columns need no pass at all.
+def exact_median(df: DataFrame, value: str) -> DataFrame:
+    """One row, one DOUBLE column ``median`` (NULL for no values; NaN is no value).
+
+    The built-in exact median keeps every distinct value in one task.  Here the values are stored once and
+    narrowed by passes: up to 64 values at quantiles of what is left become edges, one aggregation counts
+    exactly how many values lie below and at each, and either an edge is the wanted one or the search goes on
+    strictly between two edges.  Edges are values themselves, so every pass leaves about a 64th of the rows
+    whatever their spread, and no pass gathers more than the edges.
     """
-    values = df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
-    low, high, total = values.agg(F.min("v"), F.max("v"), F.count("v")).head()
-    first, second = (total + 1) // 2, total // 2 + 1          # the middle ranks, from 1
-    below, inside = 0, total
-    while inside > one_task and low < high:
-        place = F.least(F.floor((F.col("v") - low) / ((high - low) / _BINS)), F.lit(_BINS - 1))
-        bins = (
-            values.where(F.col("v").between(low, high))
-            .groupBy(place.alias("bin"))
-            .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-            .orderBy("bin")
-            .collect()                                         # at most 4096 rows of counts
-        )
-        holders = []
-        for b in bins:
-            if below < second and below + b["n"] >= first:
-                holders.append((b, below))
-            if below + b["n"] >= second:
-                break
-            below += b["n"]
-        if len(holders) == 2:                                  # the middle lies between two bins
-            low, high = holders[0][0]["high"], holders[1][0]["low"]
-            return df.sparkSession.range(1).select(F.lit((low + high) / 2).alias("median"))
-        (b, below), = holders
-        low, high, inside = b["low"], b["high"], b["n"]
-
-    # at most one_task rows, or copies of a single value
-    counts = values.where(F.col("v").between(low, high)).groupBy("v").agg(F.count("v").alias("n"))
-    upto = F.lit(below) + F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("v"))
-    ranked = counts.withColumn("last", upto).withColumn("first", F.col("last") - F.col("n") + 1)
-
-    def at(rank: int) -> Column:
-        return F.max(F.when(F.lit(rank).between(F.col("first"), F.col("last")), F.col("v")))
-
-    return ranked.agg(((at(first) + at(second)) / 2).alias("median"))
+    spark = df.sparkSession
+    path = scratch_path(spark, "median")
+    df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)").write.parquet(path)
+    values = spark.read.schema("v DOUBLE").parquet(path)
+    try:
+        total = values.count()
+        found = _middle(values, total) if total else None
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return spark.range(1).select(F.lit(found).cast("double").alias("median"))
+
+
+def _middle(values: DataFrame, total: int) -> float:
+    first, second = (total + 1) // 2, total // 2 + 1                # the middle ranks, from 1
+    low, upto = _at_rank(values, first)
+    high = low if upto >= second else values.where(F.col("v") > low).agg(F.min("v")).first()[0]
+    return low if low == high else low / 2 + high / 2
+
+
+def _at_rank(values: DataFrame, rank: int) -> tuple[float, int]:
+    """The value at a rank and the number of values up to it."""
+    inside, below = values, 0
+    while True:
+        edges = inside.agg(F.percentile_approx("v", [i / _EDGES for i in range(1, _EDGES)], 10_000)).first()[0]
+        edges = sorted(set(edges))
+        counts = inside.agg(*[F.count_if(F.col("v") < e) for e in edges], *[F.count_if(F.col("v") <= e) for e in edges]).first()
+        under, at = counts[:len(edges)], counts[len(edges):]
+        for edge, less, most in zip(edges, under, at):
+            if below + less < rank <= below + most:
+                return edge, below + most
+        place = sum(below + most < rank for most in at)             # edges that lie below the wanted value
+        if place < len(edges):
+            inside = inside.where(F.col("v") < edges[place])
+        if place:
+            inside, below = inside.where(F.col("v") > edges[place - 1]), below + at[place - 1]
 
 
 def median_of(df: DataFrame, value: str) -> Column:

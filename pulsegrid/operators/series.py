@@ -55,7 +55,8 @@ def offset_lookup(
     """Value of the same entity exactly ``offset`` seconds away, one new column per entry.
 
     ``offsets`` maps the new column to seconds (negative = past).  A missing reading gives
-    NULL; this is not a row-based lag.  (keys, ts) must be unique, which is checked.
+    NULL; this is not a row-based lag.  (keys, ts) must be unique, which is checked; rows without key or time
+    pass through with NULL.
 
     One exchange does it all: every row is sent to its own (keys, ts) and its value to the
     times that will ask for it, and each (keys, ts) puts the pieces together.  Nothing is
@@ -79,8 +80,13 @@ def offset_lookup(
         *keys, F.col("_q.at").alias(ts), F.col("_q.slot").alias("_slot"), F.col(value).alias("_v"),
         *[F.when(here, F.col(c)).alias(c) for c in carried],
     ).repartition(*keys, ts)
+    # rows without key or time never take part: they are told apart, so that two of them are no repeat
+    known = F.col(ts).isNotNull()
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    pieces = pieces.withColumn("_own", F.when(~known, F.monotonically_increasing_id()))
     rows = F.count_if(F.col("_slot") == -1)
-    whole = pieces.groupBy(*keys, ts).agg(
+    whole = pieces.groupBy(*keys, ts, "_own").agg(
         rows.alias("_rows"),
         *[F.any_value(c, True).alias(c) for c in carried],
         *[F.max(F.when(F.col("_slot") == slot, F.col("_v"))).alias(name) for slot, name in enumerate(offsets)],

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -33,33 +33,40 @@ class AlertRule:
     metric_of: str = ""                          # denominator of a ratio
 
 
+def standing_rules(topic: str = "station_status") -> list[AlertRule]:
+    """The twelve rules; ingestion counts as stopped when ``topic`` stands still, other topics are slower."""
+    return [rule if rule.name != "IngestionStopped" else replace(rule, where={"topic": topic}) for rule in _RULES]
+
+
 # The twelve alert rules (metric, comparison, hold time, severity, component).
-RULES = [
+_RULES = [
     AlertRule("IngestionStopped", "increase", "kafka_topic_partition_current_offset", "==", 0, 120, "critical",
               "ingestion", by=("topic",), fold="sum", window_seconds=300),
     AlertRule("KafkaExporterDown", "gauge", "up", "==", 0, 30, "critical", "monitoring",
               by=("job", "instance"), where={"job": "kafka"}),
     AlertRule("KafkaBrokerDown", "gauge", "kafka_brokers", "<", 1, 30, "critical", "kafka", by=("instance",)),
-    AlertRule("ObjectStoreDown", "gauge", "up", "==", 0, 30, "critical", "minio",
+    AlertRule("MinioDown", "gauge", "up", "==", 0, 30, "critical", "minio",
               by=("job", "instance"), where={"job": "minio-cluster"}),
-    AlertRule("ObjectStoreNodeOffline", "gauge", "minio_cluster_nodes_offline_total", ">", 0, 60, "critical", "minio"),
-    AlertRule("ObjectStoreAlmostFull", "ratio", "minio_cluster_usage_total_bytes", ">", 80, 300, "warning", "minio",
+    AlertRule("MinioNodeOffline", "gauge", "minio_cluster_nodes_offline_total", ">", 0, 60, "critical", "minio"),
+    AlertRule("MinioStorageAlmostFull", "ratio", "minio_cluster_usage_total_bytes", ">", 80, 300, "warning", "minio",
               metric_of="minio_cluster_capacity_usable_total_bytes"),
-    AlertRule("ObjectStoreDriveOffline", "gauge", "minio_cluster_drive_offline_total", ">", 0, 60, "critical", "minio"),
-    AlertRule("ContainerMetricsDown", "gauge", "up", "==", 0, 30, "critical", "ressources",
+    AlertRule("MinioDriveOffline", "gauge", "minio_cluster_drive_offline_total", ">", 0, 60, "critical", "minio"),
+    AlertRule("CadvisorDown", "gauge", "up", "==", 0, 30, "critical", "ressources",
               by=("job", "instance"), where={"job": "cadvisor"}),
-    AlertRule("ContainerHighCpu", "rate", "container_cpu_usage_seconds_total", ">", 85, 180, "warning", "ressources",
+    AlertRule("ContainerHighCPU", "rate", "container_cpu_usage_seconds_total", ">", 85, 180, "warning", "ressources",
               by=("container_label_com_docker_compose_service",), where={"job": "cadvisor"},
               present=("container_label_com_docker_compose_service",), fold="sum", window_seconds=120, scale=100),
     AlertRule("ContainerHighMemory", "gauge", "container_memory_working_set_bytes", ">", 1610612736, 300, "warning",
               "ressources", by=("container_label_com_docker_compose_service",), where={"job": "cadvisor"},
               present=("container_label_com_docker_compose_service",), fold="sum"),
-    AlertRule("AlertRouterDown", "gauge", "up", "==", 0, 30, "critical", "monitoring",
+    AlertRule("AlertmanagerDown", "gauge", "up", "==", 0, 30, "critical", "monitoring",
               by=("job", "instance"), where={"job": "alertmanager"}),
-    AlertRule("RuleEvaluationFailures", "increase", "prometheus_rule_evaluation_failures_total", ">", 0, 60, "warning",
+    AlertRule("PrometheusRuleEvaluationFailures", "increase", "prometheus_rule_evaluation_failures_total", ">", 0, 60, "warning",
               "monitoring", by=("instance", "rule_group"), window_seconds=300),
 ]
 
+RULES = standing_rules()
+
 # Rules are data, so the expressions over them are put together as SQL text: one expression per
 # plan step instead of one call per rule and operator.
 

@@ -102,7 +102,7 @@ class BoostedTrees:
 
 
 def _usable(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    # trees cannot read NULL: a value below every real one plus an indicator keeps "missing" visible
+    # trees cannot read NULL: a constant takes its place and an indicator of its own tells it from a value
     columns = {}
     for name in features:
         value = F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))

@@ -26,7 +26,7 @@ def _landed(spark, sf):
     )
     twice = records.unionByName(records.where(F.col("event_type") == "view")).drop("event_type")
     folder = scratch_path(spark, "landing")
-    twice.repartition(6).write.parquet(folder)
+    twice.repartition(spark.sparkContext.defaultParallelism).write.parquet(folder)
     return folder
 
 
@@ -42,8 +42,8 @@ def _clean_folder(spark, sf):
     rows = payload_columns(
         parquet_stream(spark, raw, ENVELOPE), _PAYLOAD, {"user_id": "user_id", "k": "k", "event_type": "event_type"},
         ["key", "kafka_timestamp"])
-    # files arrive in any order, so the watermark delay spans the whole period of the data
-    unique = deduplicated(rows, ["key"], "kafka_timestamp", "60 days")
+    # files arrive in any order; the jobs' own default remembers every key
+    unique = deduplicated(rows, ["key"], "kafka_timestamp")
     _drain(start_append(unique, JobFolders(clean, f"{clean}-checkpoint"), every=None))
     return clean
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -40,12 +42,17 @@ def local_session(app: str, cores: int | str = "*", **extra: str) -> SparkSessio
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) a fresh local folder is used,
-    and remembered for the rest of the session.
+    A session on one machine (master ``local``) without one gets a fresh local folder, remembered for the
+    session and removed when Python ends.  On any other master the setting is required: executors do not see
+    each other's disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("pulsegrid.shared.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = tempfile.mkdtemp(prefix="pulsegrid-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("pulsegrid.shared.dir", root)
     return root.rstrip("/")
 

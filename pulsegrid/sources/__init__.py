@@ -2,12 +2,12 @@ from .files import alert_log, inventory, inventory_report, mixed_folder, small_f
 from .messages import bad_payloads, envelope, keyed_messages, kafka_stream, parquet_stream, payload_columns
 from .tables import (
     backup, compact, drop_expired_partitions, export_csv, format_sizes, prune_versions, publish, published_versions,
-    read_published, split_retention, verify_copy,
+    read_published, retain_days, split_retention, verify_copy,
 )
 
 __all__ = [
     "alert_log", "backup", "bad_payloads", "compact", "drop_expired_partitions", "envelope", "export_csv", "format_sizes",
     "inventory", "inventory_report", "kafka_stream", "keyed_messages", "mixed_folder", "parquet_stream",
-    "payload_columns", "prune_versions", "publish", "published_versions", "read_published", "small_files", "source_files",
+    "payload_columns", "prune_versions", "publish", "published_versions", "read_published", "retain_days", "small_files", "source_files",
     "split_retention", "verify_copy",
 ]

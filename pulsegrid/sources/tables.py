@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -147,6 +147,31 @@ def drop_expired_partitions(spark: SparkSession, table: str, today: str, keep_da
     return gone
 
 
+def retain_days(spark: SparkSession, root: str, today: str, keep_days: int = 30, column: str = "ingest_date") -> list[str]:
+    """Delete the date folders of a table that are older than the retention period; returns the dates gone.
+
+    Only folder names are looked at, one per day; kept data is not rewritten.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    oldest = date.fromisoformat(today) - timedelta(days=keep_days)
+    gone = []
+    for status in files.listStatus(folder):
+        name, _, day = status.getPath().getName().partition("=")
+        if name == column and _is_date(day) and date.fromisoformat(day) < oldest:
+            files.delete(status.getPath(), True)
+            gone.append(day)
+    return sorted(gone)
+
+
+def _is_date(text: str) -> bool:
+    try:
+        date.fromisoformat(text)
+    except ValueError:
+        return False
+    return True
+
+
 def backup(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Copy a table and return the comparison of original and copy."""
     spark.read.parquet(source).write.mode("overwrite").parquet(target)

@@ -19,10 +19,12 @@ from pulsegrid.operators.latest import latest_per_key
 from pulsegrid.plans.curate import STATION_SPEC, CurateSpec, curate_latest
 from pulsegrid.plans.stations import INFO_FIELDS, INFO_PAYLOAD, STATUS_FIELDS, STATUS_PAYLOAD, WEATHER_FIELDS, WEATHER_PAYLOAD
 from pulsegrid.sources.messages import ENVELOPE, envelope, parquet_stream, payload_columns
-from pulsegrid.sources.tables import Published, publish, read_published
+from pulsegrid.sources.tables import Published, prune_versions, publish, read_published
 
 log = logging.getLogger(__name__)
 
+KEPT_VERSIONS = 5  # snapshots a job leaves for readers that are still at work
+
 
 class JobFolders(NamedTuple):
     data: str
@@ -56,30 +58,32 @@ def start_raw(messages: DataFrame, folders: JobFolders, every: str | None = "30
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str | None = None,
-                 within: str = "1 hour") -> DataFrame:
-    """Drop repeats.  With an event time the remembered keys are bounded by the watermark delay;
-    without one every key is remembered for ever (exact, but the state only grows)."""
-    if event_time is None:
+                 within: str | None = None) -> DataFrame:
+    """Drop repeats, and nothing else: every key is remembered, in a state store on disk.
+
+    With ``event_time`` and ``within`` only keys of that period are remembered, and rows that come later
+    than it are dropped.
+    """
+    if event_time is None or within is None:
         return stream.dropDuplicates(list(keys))
     return stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(keys))
 
 
-def clean_status(raw: DataFrame, within: str | None = "1 hour") -> DataFrame:
-    """Status messages: typed columns, one row per station and message time.
+def clean_status(raw: DataFrame, within: str | None = None, by_ingestion: bool = False) -> DataFrame:
+    """Status messages: typed columns, one row per station and message time, however late it comes.
 
-    ``within=None`` de-duplicates on the ingestion time of the micro-batch with unbounded state.
+    ``within`` bounds the remembered keys and drops rows later than it.  ``by_ingestion`` keeps one row per
+    station and ingestion time instead, which folds what one micro-batch brings for a station.
     """
     rows = payload_columns(raw, STATUS_PAYLOAD, STATUS_FIELDS, ["kafka_timestamp", "ingestion_ts"])
-    if within is None:
+    if by_ingestion:
         return deduplicated(rows.drop("kafka_timestamp"), ["stationcode", "ingestion_ts"])
     return deduplicated(rows, ["stationcode", "kafka_timestamp"], "kafka_timestamp", within).drop("kafka_timestamp")
 
 
-def clean_weather(raw: DataFrame, within: str | None = "1 day") -> DataFrame:
-    """Weather messages: one row per observation time."""
+def clean_weather(raw: DataFrame, within: str | None = None) -> DataFrame:
+    """Weather messages: one row per observation time, however late it comes (but see ``within``)."""
     rows = payload_columns(raw, WEATHER_PAYLOAD, WEATHER_FIELDS, ["kafka_timestamp", "ingestion_ts"])
-    if within is None:
-        return deduplicated(rows.drop("kafka_timestamp"), ["weather_ts"])
     return deduplicated(rows, ["weather_ts"], "kafka_timestamp", within).drop("kafka_timestamp")
 
 
@@ -104,9 +108,11 @@ def _merge_latest(batch: DataFrame, root: str, key: str, newest_by: Sequence[str
     if current is not None:
         rows = current.unionByName(rows)
     try:
-        return publish(latest_per_key(rows, [key], newest_by), root, version)
+        published = publish(latest_per_key(rows, [key], newest_by), root, version)
     except ValueError:
         return None                      # nothing to publish yet
+    prune_versions(spark, root, KEPT_VERSIONS)
+    return published
 
 
 def latest_reference(key: str, newest_by: Sequence[str], root: str) -> Callable[[DataFrame, int], None]:
@@ -156,6 +162,8 @@ def start_curated(
             publish(curate_latest(state, reference(), context(), spec), curated_root, version)
         except ValueError as problem:
             log.warning("curated snapshot kept: %s", problem)
+            return
+        prune_versions(batch.sparkSession, curated_root, KEPT_VERSIONS)
 
     writer = clean.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
@@ -173,8 +181,9 @@ CLEAN_STATUS = (
 
 def start_station_raw(source: Callable[[str], DataFrame], root: str, every: str | None = "30 seconds",
                       kinds: Sequence[str] = (STATUS, INFO, WEATHER)) -> list[StreamingQuery]:
-    """One independent query per message kind; ``source`` gives the stream of a kind."""
-    return [start_raw(source(kind), _zone(root, kind), every) for kind in kinds]
+    """One independent query per message kind; ``source`` gives the stream of a kind.  Folders are cut by
+    ingestion date, so that ``retain_days`` can drop whole days."""
+    return [start_raw(source(kind), _zone(root, kind), every, by_date=True) for kind in kinds]
 
 
 def start_station_clean(spark: SparkSession, raw_root: str, clean_root: str,

@@ -80,7 +80,7 @@ def test_each_of_the_twelve_rules_fires(spark):
     metrics = spark.createDataFrame(data, "ts TIMESTAMP, metric STRING, labels MAP<STRING,STRING>, value DOUBLE")
     got = evaluate_rules(metrics).collect()
     assert {(r["alertname"], r["state"]) for r in got} == {(r.name, "FIRING") for r in RULES}
-    cpu = next(r for r in got if r["alertname"] == "ContainerHighCpu")
+    cpu = next(r for r in got if r["alertname"] == "ContainerHighCPU")
     assert cpu["labels"] == {"container_label_com_docker_compose_service": "container_label_com_docker_compose_service-x"}
     assert (cpu["severity"], cpu["composant"]) == ("warning", "ressources")
     assert sum(r["n_firing"] for r in firing_count(evaluate_rules(metrics)).collect()) == 12

@@ -8,6 +8,7 @@ from pulsegrid.__main__ import main
 from pulsegrid.operators import stalls
 from pulsegrid.sources import parquet_stream, publish, read_published
 from pulsegrid.sources.messages import ENVELOPE
+from pulsegrid.streaming.jobs import KEPT_VERSIONS
 from pulsegrid.streaming import (
     JobFolders, clean_status, clean_weather, progress_rows, run_curation, start_append, start_curated, start_raw,
     start_reference, start_station_raw,
@@ -44,9 +45,9 @@ def drain(query):
     return query
 
 
-def to_clean(spark, root, within="1 hour"):
+def to_clean(spark, root, **options):
     drain(start_raw(parquet_stream(spark, f"{root}/topic", TOPIC, 1), folders(root, "raw"), every=None))
-    rows = clean_status(parquet_stream(spark, f"{root}/raw", ENVELOPE, 1), within)
+    rows = clean_status(parquet_stream(spark, f"{root}/raw", ENVELOPE, 1), **options)
     return drain(start_append(rows, folders(root, "clean"), every=None))
 
 
@@ -67,15 +68,47 @@ def test_restart_neither_loses_nor_repeats(spark, tmp_path):
     assert spark.read.parquet(f"{root}/clean").count() == 8
 
 
-def test_unbounded_mode_uses_the_ingestion_time(spark, tmp_path):
+def test_late_messages_are_kept(spark, tmp_path):
+    root = str(tmp_path)
+    for code, minute in (("s1", 300), ("s2", 500), ("s3", 60), ("s1", 300)):        # three hours late, then a repeat
+        land(spark, f"{root}/topic", (status(code, 1), minute))
+        to_clean(spark, root)
+    assert sorted(r[0] for r in spark.read.parquet(f"{root}/clean").select("stationcode").collect()) == ["s1", "s2", "s3"]
+
+
+def test_by_ingestion_folds_a_micro_batch(spark, tmp_path):
     root = str(tmp_path)
     land(spark, f"{root}/topic", (status("s1", 1), 0), (status("s1", 2), 1), ("broken", 1))
-    to_clean(spark, root, within=None)
+    to_clean(spark, root, by_ingestion=True)
     clean = spark.read.parquet(f"{root}/clean")
     # one micro-batch has one ingestion time: two messages of a station fold into one
     assert clean.where("stationcode = 's1'").count() == 1 and clean.where("stationcode IS NULL").count() == 1
 
 
+def test_retention_of_what_the_raw_job_wrote(spark, tmp_path):
+    root = str(tmp_path)
+    land(spark, f"{root}/topic", (status("s1", 1), 0))
+    for q in start_station_raw(lambda kind: parquet_stream(spark, f"{root}/topic", TOPIC), f"{root}/raw", every=None):
+        drain(q)
+    days = {p.name for p in (tmp_path / "raw" / "weather").iterdir() if p.name.startswith("ingest_date")}
+    assert len(days) == 1
+    assert main(["retain", "--raw", f"{root}/raw", "--days", "0", "--today", "2000-01-01"]) == 0
+    assert (tmp_path / "raw" / "weather" / days.copy().pop()).exists()
+    assert main(["retain", "--raw", f"{root}/raw", "--days", "30", "--today", "2100-01-01"]) == 0
+    assert not any((tmp_path / "raw" / kind / day).exists() for kind in ("weather", "station_status") for day in days)
+
+
+def test_published_states_do_not_pile_up(spark, tmp_path):
+    root = str(tmp_path)
+    info = {"stationcode": "s1", "name": "n", "capacity": 5, "coordonnees_geo": {"lon": 2.0, "lat": 48.0}}
+    for m in range(9):
+        land(spark, f"{root}/topic", (dict(info, name=str(m)), m))
+    drain(start_raw(parquet_stream(spark, f"{root}/topic", TOPIC, 1), folders(root, "raw"), every=None))
+    drain(start_reference(parquet_stream(spark, f"{root}/raw", ENVELOPE, 1), f"{root}/info", f"{root}/info-checkpoint", every=None))
+    assert len([p for p in (tmp_path / "info").iterdir() if p.name.startswith("version=")]) == KEPT_VERSIONS
+    assert read_published(spark, f"{root}/info").count() == 1
+
+
 def test_weather_is_kept_once_per_observation(spark, tmp_path):
     root = str(tmp_path)
     w = {"main": {"temp": 1.5, "humidity": 50, "pressure": 1}, "wind": {"speed": 2.0}, "dt": 77}
