@@ -44,7 +44,7 @@ def run_gate(
     """Split ``df`` into accepted and quarantined rows below ``<path>/<run_id>`` and write a report.
 
     The numbers of the report are observed while the accepted rows are written, so they do not
-    cost another pass; a quarantine without rows is not written.
+    cost another pass; neither side is left behind without rows.
     """
     spark = df.sparkSession
     run_id = run_id or default_run_id()
@@ -56,6 +56,9 @@ def run_gate(
     observed = checked.observe(seen, *q.gate_measures(rules, expectations), fingerprint)
     q.accepted(observed).write.mode("overwrite").parquet(good_dir)
     m = seen.get
+    if not m["accepted_rows"]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(good_dir)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     if m["quarantined_rows"]:
         q.quarantined(checked).write.mode("overwrite").parquet(bad_dir)
     for kept, path in ((m["accepted_rows"], good_dir), (m["quarantined_rows"], bad_dir)):
@@ -102,7 +105,7 @@ def run_gate(
 
 
 def demo_rows(spark: SparkSession) -> DataFrame:
-    """Eight fixed rows, five of them valid."""
+    """Eight rows, five of them valid."""
     rows = [
         ("1001", 20.0, 30, 6, 18.2), ("1002", 50.0, 40, 20, 19.1), ("1003", 80.0, 25, 20, 17.8),
         ("1004", 0.0, 15, 0, 21.0), ("1005", 100.0, 12, 12, 16.4), (None, 45.0, 20, 9, 20.0),

@@ -1,4 +1,4 @@
-from .files import alert_log, inventory, inventory_report, mixed_folder, small_files, source_files
+from .files import alert_log, inventory, inventory_report, mixed_folder, skipped_files, small_files, source_files
 from .messages import bad_payloads, envelope, keyed_messages, kafka_stream, parquet_stream, payload_columns
 from .tables import (
     backup, compact, drop_expired_partitions, export_csv, format_sizes, prune_versions, publish, published_versions,
@@ -8,6 +8,6 @@ from .tables import (
 __all__ = [
     "alert_log", "backup", "bad_payloads", "compact", "drop_expired_partitions", "envelope", "export_csv", "format_sizes",
     "inventory", "inventory_report", "kafka_stream", "keyed_messages", "mixed_folder", "parquet_stream",
-    "payload_columns", "prune_versions", "publish", "published_versions", "read_published", "retain_days", "small_files", "source_files",
+    "payload_columns", "prune_versions", "publish", "published_versions", "read_published", "retain_days", "skipped_files", "small_files", "source_files",
     "split_retention", "verify_copy",
 ]

@@ -53,7 +53,7 @@ def small_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Many small Parquet files with slightly different types as one table.
 
     The declared schema is the wider one (BIGINT where some files hold INT); unreadable files
-    are skipped.
+    are skipped, see :func:`skipped_files`.
     """
     return (
         spark.read.schema(schema)
@@ -63,6 +63,16 @@ def small_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
+def skipped_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Paths of the Parquet files below ``path`` that :func:`small_files` takes no row from."""
+    def plain(column: str):
+        return F.regexp_replace(F.col(column), "^([a-z0-9]+):/+", "$1:/")          # one spelling of the root
+
+    present = inventory(spark, {"": path}).where(F.col("path").rlike(r"(?i)\.parquet$")).select(plain("path").alias("path"))
+    read = small_files(spark, path, schema).select(F.col("_metadata.file_path").alias("file")).distinct()
+    return present.join(read.select(plain("file").alias("path")), "path", "left_anti")
+
+
 def inventory(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
     """Objects below each root: zone, path, bytes, modification time.  Contents are not read.
 

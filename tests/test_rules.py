@@ -123,6 +123,14 @@ def test_gate_without_bad_rows_passes_and_writes_no_quarantine(spark, tmp_path):
     assert not (tmp_path / "bad").exists()
 
 
+def test_gate_without_good_rows_writes_no_accepted_folder(spark, tmp_path):
+    bad = gate.demo_rows(spark).where("stationcode IS NULL")
+    outcome = gate.run_gate(bad, accepted_path=f"{tmp_path}/ok", quarantine_path=f"{tmp_path}/bad",
+                            report_path=f"{tmp_path}/report", run_id="r")
+    assert outcome.status == "PASS_WITH_QUARANTINE"
+    assert not (tmp_path / "ok" / "r").exists() and spark.read.parquet(f"{tmp_path}/bad/r").count() == 1
+
+
 def test_gate_command(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr(gate.SparkSession, "builder", type("B", (), {
         "appName": lambda self, _: self, "getOrCreate": lambda self: spark})())

@@ -9,8 +9,8 @@ from pulsegrid.plans.stations import INFO_FIELDS, INFO_PAYLOAD, STATUS_FIELDS, S
 from pulsegrid.session import scratch_path, shared_root
 from pulsegrid.sources import (
     backup, bad_payloads, compact, drop_expired_partitions, envelope, export_csv, inventory, inventory_report,
-    format_sizes, keyed_messages, mixed_folder, payload_columns, prune_versions, publish, published_versions, read_published, small_files, source_files,
-    verify_copy,
+    format_sizes, keyed_messages, mixed_folder, payload_columns, prune_versions, publish, published_versions, read_published, skipped_files, small_files,
+    source_files, verify_copy,
 )
 
 T0 = dt.datetime(2026, 3, 2)
@@ -76,6 +76,8 @@ def test_small_files_widen_types_and_skip_broken_ones(spark, tmp_path):
     (tmp_path / "c.parquet").write_bytes(b"broken")
     out = small_files(spark, str(tmp_path), "v BIGINT, extra STRING")
     assert sorted(r["v"] for r in out.collect()) == [0, 1, 3_000_000_000, 3_000_000_001]
+    gone = [r["path"] for r in skipped_files(spark, str(tmp_path), "v BIGINT, extra STRING").collect()]
+    assert [os.path.basename(p) for p in gone] == ["c.parquet"]
 
 
 @pytest.mark.parametrize("files", [None, 4])
