@@ -26,6 +26,7 @@ import re
 import zlib
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import per_batch
@@ -128,70 +129,95 @@ class Shard:
 
 # --- encoding ----------------------------------------------------------------------------------------
 
+class _Memory:
+    """Two generations of remembered values: what is used moves to the newer, the older is forgotten when
+    the newer holds ``most``."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def age(self) -> None:
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys that neither generation holds, after moving the others to the newer."""
+        unknown = []
+        for key in keys:
+            value = self.old.get(key)
+            if value is None:
+                unknown.append(key)
+            else:
+                self.new[key] = value
+        return unknown
+
+
 class WordEncoder:
     """Byte-level BPE ids of whole texts, as bytes, by the ``tokenizers`` library.
 
-    The pre-tokeniser of such a vocabulary always cuts before a blank that a non-blank follows, and ids
-    never depend on anything beyond a cut.  So texts are cut there, each different piece is encoded once
-    by the library, and its ids are remembered (at most ``most`` pieces at a time).
+    The pre-tokeniser of such a vocabulary always cuts before a blank that a non-blank follows, and ids never
+    depend on anything beyond a cut.  So texts are cut there; each different piece is cut on into the
+    pre-tokens of the vocabulary, each different pre-token is encoded once by the library, many in a call, and
+    both are remembered within bounds.
     """
 
+    # fixed value: the pre-token pattern of byte-level BPE vocabularies
+    _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
     _CUT, _ODD = re.compile(r" (?=\S)"), re.compile(r" (?=\s|$)")
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.most, self.known = most, {}
-        self._starts = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.pieces, self.tokens = _Memory(most), _Memory(most)
+        self.blank = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, number in self.tokenizer.get_vocab().items():
-            self._starts[number] = token.startswith("Ġ")  # how byte-level pieces spell a blank
-
-    def _pieces(self, text: str) -> list[str]:
-        return self._CUT.split(text) if self._ODD.search(text) else text.split(" ")
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode the pieces, each with a blank before it, many in one call."""
-        if len(self.known) + len(pieces) > self.most:
-            self.known.clear()
-        plain = [p for p in pieces if p.isalnum() or not re.search(r"\s", p)]
-        odd = pieces.difference(plain)
-        for at in range(0, len(plain), 2000):
-            some = [p for p in plain[at:at + 2000] if p]
-            ids = np.array(self.tokenizer.encode("".join([" " + p for p in some]), add_special_tokens=False).ids, self.type)
-            starts = np.flatnonzero(self._starts[ids])
-            if len(starts) == len(some):  # only blanks make tokens that begin with one
-                cut = np.append(starts, len(ids)) * self.type.itemsize
-                raw = ids.tobytes()
-                self.known.update(zip(some, [raw[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]))
-            else:
-                odd.update(some)
-        for p in odd:
-            self.known[p] = self._whole(" " + p)
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+            self.blank[number] = token.startswith("Ġ")  # how byte-level pieces spell a blank
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
+
+    def _learn_tokens(self, tokens: set[str]) -> None:
+        """Encode pre-tokens: words with and without a blank many at a time, all others one by one."""
+        unknown = self.tokens.missing(tokens)
+        led = [t for t in unknown if t[0] == " " and t[1:].isalpha()]
+        bare = [t for t in unknown if t.isalpha()]
+        for words, between in ((led, ""), (bare, "\n")):
+            for at in range(0, len(words), 2000):
+                some = words[at:at + 2000]
+                ids = self._ids(between.join(some))
+                ends = np.flatnonzero(self.blank[ids])[1:] if not between else np.flatnonzero(ids == self.line[0])
+                starts, ends = np.append(0, ends + len(between)), np.append(ends, len(ids))
+                raw, size = ids.tobytes(), self.type.itemsize
+                self.tokens.new.update(zip(some, [raw[a * size:b * size] for a, b in zip(starts.tolist(), ends.tolist())], strict=True))
+        for t in set(unknown).difference(led, bare):
+            self.tokens.new[t] = self._ids(t).tobytes()
+
+    def _learn(self, pieces: dict[str, str], into: dict[str, bytes]) -> None:
+        """Ids of pieces (name to text)."""
+        cut = {}
+        for name, text in pieces.items():
+            if text.replace("\n", "").isprintable():
+                cut[name] = self._PRE.findall(text)
+            else:  # blanks on which libraries may differ
+                into[name] = self._ids(text).tobytes()
+        self.tokens.age()
+        self._learn_tokens({t for tokens in cut.values() for t in tokens if t not in self.tokens.new})
+        known = self.tokens.new
+        for name, tokens in cut.items():
+            into[name] = b"".join([known[t] for t in tokens])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._pieces(t) for t in texts]
-        known, out = self.known, []
-        missing = {p for pieces in cut for p in pieces[1:] if p not in known}
-        if missing:
-            self._learn(missing)
-            known = self.known
-        heads: dict[str, bytes] = {}
-        for pieces in cut:
-            head = pieces[0]  # has no blank before it
-            if head not in heads:
-                heads[head] = self._whole(head) if head else b""
-            try:
-                out.append(heads[head] + b"".join(map(known.__getitem__, pieces[1:])))
-            except KeyError:  # forgotten when the memory was cleared for this batch
-                self._learn({p for p in pieces[1:] if p not in known})
-                out.append(heads[head] + b"".join([known.get(p) or self._whole(" " + p) for p in pieces[1:]]))
-        return out
+        self.pieces.age()
+        cut = [self._CUT.split(t) if self._ODD.search(t) else t.split(" ") for t in texts]
+        known, heads = self.pieces.new, {}
+        self._learn({pieces[0]: pieces[0] for pieces in cut}, heads)  # these have no blank before them
+        unknown = {p for pieces in cut for p in pieces[1:] if p not in known}
+        self._learn({p: " " + p for p in self.pieces.missing(unknown)}, known)
+        return [heads[pieces[0]] + b"".join(map(known.__getitem__, pieces[1:])) for pieces in cut]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # one per worker process and vocabulary
