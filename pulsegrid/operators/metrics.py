@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .latest import latest_per_key
-from .neighbours import DAY, epoch_micros, trailing_sum, with_neighbours
+from .neighbours import HOUR, epoch_micros, trailing_sum, with_neighbours
 
 
 def counter_increase(
@@ -23,7 +23,7 @@ def counter_increase(
     *,
     ties: Sequence[str] = (),
     name: str = "increase",
-    chunk_seconds: int = DAY,
+    chunk_seconds: int = HOUR,
 ) -> DataFrame:
     """Growth of a counter over the trailing window at every sample.
 
@@ -46,7 +46,7 @@ def counter_increase(
 
 
 def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, window_seconds: int, *,
-                 ties: Sequence[str] = (), name: str = "rate", chunk_seconds: int = DAY) -> DataFrame:
+                 ties: Sequence[str] = (), name: str = "rate", chunk_seconds: int = HOUR) -> DataFrame:
     """Increase per second over the trailing window."""
     grown = counter_increase(
         df, series, ts, value, window_seconds, ties=ties, name="_inc", chunk_seconds=chunk_seconds
@@ -85,7 +85,7 @@ def alert_episodes(
     hold_seconds: int | Column,
     *,
     ties: Sequence[str] = (),
-    chunk_seconds: int = DAY,
+    chunk_seconds: int = HOUR,
 ) -> DataFrame:
     """Stretches during which ``predicate`` holds without a break, per series.
 
@@ -143,7 +143,7 @@ def consumer_lag(df: DataFrame, by: Sequence[str], lag_text: str, partition: str
 
 
 def stalls(df: DataFrame, series: Sequence[str], ts: str, limit_seconds: int, *, ties: Sequence[str] = (),
-           chunk_seconds: int = DAY) -> DataFrame:
+           chunk_seconds: int = HOUR) -> DataFrame:
     """Pauses between consecutive commits of a series that are longer than the limit."""
     stepped = with_neighbours(df.select(*series, ts, *ties), series, ts, [], ties=ties, previous="_p",
                               following=None, chunk_seconds=chunk_seconds)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-DAY = 86_400
+HOUR = 3_600                     # default width of a chunk: a day of a busy series may not fit a task
 
 
 def epoch_seconds(ts: Column | str) -> Column:
@@ -37,7 +37,7 @@ def with_neighbours(
     ties: Sequence[str] = (),
     previous: str | None = "prev",
     following: str | None = "next",
-    chunk_seconds: int = DAY,
+    chunk_seconds: int = HOUR,
 ) -> DataFrame:
     """Add structs ``previous`` / ``following`` holding ``ts`` and ``values`` of the adjacent rows."""
     key, chunk = "_pg_key", "_pg_chunk"
@@ -87,7 +87,7 @@ def trailing_sum(
     window_seconds: int,
     name: str,
     *,
-    chunk_seconds: int = DAY,
+    chunk_seconds: int = HOUR,
 ) -> DataFrame:
     """Sum of ``value`` over the last ``window_seconds`` (left end open) at every row.
 

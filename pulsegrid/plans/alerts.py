@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulsegrid.operators.metrics import alert_episodes, counter_increase, gauge_ratio
-from pulsegrid.operators.neighbours import DAY
+from pulsegrid.operators.neighbours import HOUR
 
 
 @dataclass(frozen=True)
@@ -129,7 +129,7 @@ def _counter_values(metrics: DataFrame, rules: Sequence[AlertRule], window: int,
     return _folded(grown.withColumn("value", shown), rules)
 
 
-def rule_values(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_seconds: int = DAY) -> DataFrame:
+def rule_values(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_seconds: int = HOUR) -> DataFrame:
     """What the rules look at: ``rule``, ``group`` (label entries), ``ts``, ``value``.
 
     Rules of one shape share a plan: one for gauges, one per counter window, one per ratio.
@@ -149,7 +149,7 @@ def rule_values(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_se
     return reduce(DataFrame.unionByName, parts)
 
 
-def evaluate_rules(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_seconds: int = DAY) -> DataFrame:
+def evaluate_rules(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_seconds: int = HOUR) -> DataFrame:
     """Episodes of every rule over the whole metric table."""
     values = rule_values(metrics, rules, chunk_seconds)
     breached = _per_rule(rules, lambda r: f"value {r.test} {float(r.threshold)}D")
