@@ -50,7 +50,7 @@ def _range(*spans: str) -> np.ndarray:
 
 
 _CLASSES = np.stack([
-    _range(" ", "\t-\r"[0] + "\r"), _range("AZ"), _range("az"), _range("09"), np.r_[np.zeros(128), np.ones(128)],
+    _range(" ", "\t\r"), _range("AZ"), _range("az"), _range("09"), np.r_[np.zeros(128), np.ones(128)],
     _range(".", ",", ";", ":", "?"), _range("\"", "'", "(", ")", "-", "/", "[", "]"), _range("|"), _range("!"),
     _range("#", "$", "%", "&", "*", "+", "<", "=", ">", "@", "\\", "^", "_", "`", "{", "}", "~"), _range("\n"),
 ], axis=1)
