@@ -12,10 +12,12 @@ shingle), held as 64-bit hashes.  Two documents are linked if their sets overlap
    ``miss``; below it the pair is dropped (BayesLSH).
 4. Survivors are confirmed on the full shingle sets of their whole texts.
 
-A bucket never lists all its pairs.  First all members meet the bucket's first member, then its last, each
-time only those not yet connected with it; then every member outside the bucket's largest connected class
-meets all members of other classes in its bucket.  What is left out is connected already, so classes are
-those of all pairs.
+A bucket never lists all its pairs.  First all members meet the bucket's first member.  Where that leaves
+several classes, the shingles of the members are counted over all documents in such buckets, and the members
+meet the bucket's core, the one that shares the largest part of its shingles; then every member outside the
+bucket's largest class meets the members of other classes.  Both times a pair is left out if it is connected
+already or if the shingles that either shares with any document at all are too few for the threshold; so no
+link between classes is lost.
 
 Rows: NULL, empty and blank texts have no shingles and link with nothing; rows without a doc_id are left
 out; rows that repeat a doc_id count as one document when links are followed; an empty table gives no rows.
@@ -40,14 +42,15 @@ from .links import components
 @dataclass(frozen=True)
 class NearDedup:
     """width: words of a shingle; similarity in percent; bands x rows MinHash values, compared ``batch`` at a
-    time; miss: posterior below which a pair is dropped."""
+    time; miss: posterior below which a pair is dropped; block: members of a bucket compared in one group."""
 
     width: int = 5
     similarity: int = 80
     bands: int = 32
     rows: int = 5
     batch: int = 32
-    miss: float = 1e-6
+    miss: float = 1e-5
+    block: int = 512
     seed: int = 7
 
 
@@ -146,6 +149,52 @@ def _plausible(pairs: DataFrame, signed: DataFrame, of: NearDedup) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(per_batch(work), "a long, b long")
 
 
+def _in_blocks(members: DataFrame, of: NearDedup) -> DataFrame:
+    """Plausible pairs (a, b) between a member outside its bucket's largest class and members of other classes.
+
+    A bucket is cut into blocks of about ``block`` members; every two blocks meet in one group of bounded size,
+    where signatures are compared in matrices, so pairs that cannot be links never become rows.  A pair that
+    shares several bands is handled in the first.
+    """
+    steps, size = least_matches(of), of.bands * of.rows
+    counts = members.groupBy("key").agg(F.ceil(F.count("*") / of.block).cast("int").alias("blocks"))
+    dealt = members.join(counts, "key").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep",
+                         "class", "main", "n", F.coalesce("shared", F.lit(-1)).alias("shared"), "signature")
+    nothing = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+
+    def work(group: pa.Table) -> pa.Table:
+        rep, kind, main, n, shared, own = (group[c].to_numpy() for c in ("rep", "class", "main", "n", "shared", "own"))
+        i, j, band = group["i"][0].as_py(), group["j"][0].as_py(), group["band"][0].as_py()
+        values = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint32).reshape(-1, size)
+        before = np.ascontiguousarray(values[:, :band * of.rows])
+        found = []
+        for row in np.flatnonzero(kind != main).tolist():
+            most = np.minimum(shared, shared[row])
+            # the other block, or this one; two outsiders of one block meet once
+            others = np.flatnonzero(((own != own[row]) | (i == j)) & (kind != kind[row]) & ((kind == main) | (rep > rep[row])) & (
+                (most < 0) | (100 * most >= of.similarity * (n + n[row] - most))))
+            matches, done = np.zeros(len(others), np.int64), 0
+            for upto, least in steps:
+                matches += (values[others, done:upto] == values[row, done:upto]).sum(axis=1)
+                keep = matches >= least
+                others, matches, done = others[keep], matches[keep], upto
+                if not len(others):
+                    break
+            if len(others) and band:
+                same = (before[others] == before[row]).reshape(len(others), band, of.rows).all(axis=2).any(axis=1)
+                others = others[~same]
+            if len(others):
+                found.append(np.stack([np.minimum(rep[others], rep[row]), np.maximum(rep[others], rep[row])]))
+        if not found:
+            return nothing
+        a, b = np.concatenate(found, axis=1)
+        return pa.table({"a": a[a != b], "b": b[a != b]})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(work, "a long, b long")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, of: NearDedup) -> DataFrame:
     """The pairs (a, b) whose full shingle sets overlap enough."""
 
@@ -174,6 +223,29 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, of: NearDedup) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(per_batch(work), "a long, b long")
 
 
+def _shared(texts: DataFrame, of: NearDedup) -> DataFrame:
+    """rep, n (shingles) and shared (those that another of the texts has too), NULL for reps with several texts."""
+
+    def work(batches):
+        for batch in batches:
+            reps = batch["rep"].to_numpy()
+            sets = [shingles(t, of.width) for t in batch["utf8"].to_pylist()]
+            low, sizes = 0, np.cumsum([len(s) for s in sets])
+            while low < len(sets):  # a bounded number of rows at a time
+                high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + 500_000, "right")))
+                part = sets[low:high]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(reps[low:high], [len(s) for s in part])), pa.array(np.concatenate(part).view(np.int64))],
+                    names=["rep", "shingle"])
+                low = high
+
+    rows = texts.select("rep", "utf8").mapInArrow(work, "rep long, shingle long")
+    common = rows.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    seen = rows.join(common, "shingle", "left").groupBy("rep").agg(F.count("*").alias("n"), F.count("times").alias("shared"))
+    several = texts.groupBy("rep").agg(F.count("*").alias("texts"))
+    return seen.join(several, "rep").select("rep", "n", F.when(F.col("texts") == 1, F.col("shared")).alias("shared"))
+
+
 def near_duplicates(docs: DataFrame, of: NearDedup = NearDedup()) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id connected) and kept (whether it is that document)."""
     store = Stored(docs.sparkSession, "near")
@@ -185,10 +257,10 @@ def near_duplicates(docs: DataFrame, of: NearDedup = NearDedup()) -> DataFrame:
     reps = copies.where("signature IS NOT NULL").select("rep", "signature")
 
     width = 4 * of.rows  # bytes of a band
-    bands = reps.select("rep", F.explode(F.transform(
+    bands = reps.select("rep", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(of.bands - 1)),
-        lambda k: F.xxhash64(k, F.substring("signature", k * width + 1, F.lit(width))))).alias("key"))
-    crowded = bands.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+        lambda k: F.xxhash64(k, F.substring("signature", k * width + 1, F.lit(width))))).alias("band", "key"))
+    crowded = bands.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").drop("high")
     members = store.save(bands.join(crowded, "key"), "members")
 
     busy = members.select("rep").distinct()
@@ -205,28 +277,36 @@ def near_duplicates(docs: DataFrame, of: NearDedup = NearDedup()) -> DataFrame:
     def unsettled(found: DataFrame, name: str) -> DataFrame:
         """Members of buckets that more than one class shares, with their class and the bucket's largest."""
         now = members.join(found, members["rep"] == found["node"], "left").select(
-            "key", "rep", "low", "high", F.coalesce("component", "rep").alias("class"))
+            "key", "band", "rep", "low", F.coalesce("component", "rep").alias("class"))
         now = store.save(now, f"{name}-members")
         sizes = now.groupBy("key", "class").agg(F.count("*").alias("n"))
         shared = sizes.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"), F.count("*").alias("classes")).where(
             "classes > 1").select("key", F.col("top.class").alias("main"))
         return store.save(now.join(shared, "key"), f"{name}-open")
 
+    def possible(a: str, b: str):
+        """Whether the shared shingles of both leave the threshold possible (true where they are not known)."""
+        most = F.least(f"{a}.shared", f"{b}.shared")
+        return F.coalesce(100 * most >= of.similarity * (F.col(f"{a}.n") + F.col(f"{b}.n") - most), F.lit(True))
+
     links = linked(members.select(F.col("rep").alias("a"), F.col("low").alias("b")), "low")
     found = components(links, store, "low")
 
-    left = unsettled(found, "high")
-    tops = left.where("rep = high").select("key", F.col("class").alias("top"))
-    more = linked(left.where("rep <> low").join(tops, "key").where("class <> top").select(
-        F.col("rep").alias("a"), F.col("high").alias("b")), "high")
+    left = unsettled(found, "core")
+    known = store.save(_shared(texts.join(left.select("rep").distinct(), "rep"), of), "shared")
+    left = left.where("rep <> low").join(known, "rep")  # the first member has met all others
+    core = F.max(F.struct(F.col("shared") / F.col("n"), "rep", "class", "n", "shared")).alias("core")
+    cores = left.groupBy("key").agg(core).select("key", "core.rep", "core.class", "core.n", "core.shared")
+    near_core = left.alias("x").join(cores.alias("y"), "key").where(
+        (F.col("x.class") != F.col("y.class")) & possible("x", "y"))
+    more = linked(near_core.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")), "core")
     if not more.isEmpty():
         links = links.unionByName(more)
-        found = components(links, store, "high")
+        found = components(links, store, "core")
 
-    left = unsettled(found, "rest").where("rep <> low AND rep <> high")  # those two have met all others
-    outside = left.where("class <> main").select("key", F.col("rep").alias("a"), F.col("class").alias("ca"))
-    inside = left.select("key", F.col("rep").alias("b"), F.col("class").alias("cb"))
-    more = linked(outside.join(inside, "key").where("ca <> cb").select("a", "b"), "rest")
+    left = unsettled(found, "rest").where("rep <> low").join(known, "rep").join(reps, "rep")
+    likely = store.save(_in_blocks(left, of).distinct(), "rest-likely")
+    more = store.save(_confirmed(likely, texts, of), "rest-sure")
     if not more.isEmpty():
         found = components(links.unionByName(more), store, "rest")
 
