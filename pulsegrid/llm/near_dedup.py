@@ -42,7 +42,8 @@ from .links import components
 @dataclass(frozen=True)
 class NearDedup:
     """width: words of a shingle; similarity in percent; bands x rows MinHash values, compared ``batch`` at a
-    time; miss: posterior below which a pair is dropped; block: members of a bucket compared in one group."""
+    time; miss: posterior below which a pair is dropped; more: further MinHash values of documents in buckets
+    that several classes share; block: members of a bucket compared in one group."""
 
     width: int = 5
     similarity: int = 80
@@ -50,6 +51,7 @@ class NearDedup:
     rows: int = 5
     batch: int = 32
     miss: float = 1e-5
+    more: int = 160
     block: int = 512
     seed: int = 7
 
@@ -83,9 +85,8 @@ def shingles(text: bytes, width: int) -> np.ndarray:
 
 
 class _MinHash:
-    def __init__(self, of: NearDedup):
-        draw = np.random.default_rng(of.seed)
-        size = of.bands * of.rows
+    def __init__(self, size: int, seed: int):
+        draw = np.random.default_rng(seed)
         self.times = draw.integers(1, 2**63, size, np.uint64) | np.uint64(1)
         self.plus = draw.integers(0, 2**63, size, np.uint64)
 
@@ -98,7 +99,7 @@ class _MinHash:
 
 def signatures(docs: DataFrame, of: NearDedup) -> DataFrame:
     """doc_id, n_shingles, same (digest of the set; NULL for an empty one) and the MinHash signature."""
-    hasher = _MinHash(of)
+    hasher = _MinHash(of.bands * of.rows, of.seed)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, same, signature = [], [], []
@@ -115,12 +116,12 @@ def signatures(docs: DataFrame, of: NearDedup) -> DataFrame:
         per_batch(work), "doc_id long, n_shingles long, same binary, signature binary")
 
 
-def least_matches(of: NearDedup) -> list[tuple[int, int]]:
+def least_matches(of: NearDedup, total: int | None = None) -> list[tuple[int, int]]:
     """After n compared values, the fewest matches m at which P(similarity >= threshold | m of n) >= miss.
 
     With a uniform prior the posterior tail at t is P(Binomial(n + 1, t) <= m).
     """
-    t, total = of.similarity / 100, of.bands * of.rows
+    t, total = of.similarity / 100, total or of.bands * of.rows
     out = []
     for n in [*range(of.batch, total, of.batch), total]:
         tail, m = 0.0, -1
@@ -156,7 +157,8 @@ def _in_blocks(members: DataFrame, of: NearDedup) -> DataFrame:
     where signatures are compared in matrices, so pairs that cannot be links never become rows.  A pair that
     shares several bands is handled in the first.
     """
-    steps, size = least_matches(of), of.bands * of.rows
+    size = of.bands * of.rows + of.more
+    steps = least_matches(of, size)
     counts = members.groupBy("key").agg(F.ceil(F.count("*") / of.block).cast("int").alias("blocks"))
     dealt = members.join(counts, "key").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -223,6 +225,17 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, of: NearDedup) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(per_batch(work), "a long, b long")
 
 
+def _more(texts: DataFrame, of: NearDedup) -> DataFrame:
+    """rep and further MinHash values of the texts."""
+    hasher = _MinHash(of.more, of.seed + 1)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = [hasher(shingles(t, of.width)).tobytes() for t in batch["utf8"].to_pylist()]
+        return pa.RecordBatch.from_arrays([batch["rep"], pa.array(values, pa.binary())], names=["rep", "more"])
+
+    return texts.select("rep", "utf8").mapInArrow(per_batch(work), "rep long, more binary")
+
+
 def _shared(texts: DataFrame, of: NearDedup) -> DataFrame:
     """rep, n (shingles) and shared (those that another of the texts has too), NULL for reps with several texts."""
 
@@ -304,7 +317,9 @@ def near_duplicates(docs: DataFrame, of: NearDedup = NearDedup()) -> DataFrame:
         links = links.unionByName(more)
         found = components(links, store, "core")
 
-    left = unsettled(found, "rest").where("rep <> low").join(known, "rep").join(reps, "rep")
+    left = unsettled(found, "rest").where("rep <> low").join(known, "rep")
+    signed = reps.join(store.save(_more(texts.join(left.select("rep").distinct(), "rep"), of), "more"), "rep")
+    left = left.join(signed.select("rep", F.concat("signature", "more").alias("signature")), "rep")
     likely = store.save(_in_blocks(left, of).distinct(), "rest-likely")
     more = store.save(_confirmed(likely, texts, of), "rest-sure")
     if not more.isEmpty():
