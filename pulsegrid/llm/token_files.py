@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
@@ -180,20 +181,35 @@ class WordEncoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
+    def _many(self, texts: list[str], between: str) -> Iterator[tuple[str, bytes]]:
+        """(text, ids) of words that all begin with a blank, or of bare words with a line end between them."""
+        size = self.type.itemsize
+        for at in range(0, len(texts), 2000):
+            some = texts[at:at + 2000]
+            ids = self._ids(between.join(some))
+            ends = np.flatnonzero(ids == self.line[0]) if between else np.flatnonzero(self.blank[ids])[1:]
+            starts, ends = np.append(0, ends + len(between)) * size, np.append(ends, len(ids)) * size
+            raw = ids.tobytes()
+            yield from zip(some, [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())], strict=True)
+
+    def _learn_words(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Ids of words of letters only, each with a blank before it: one pre-token each."""
+        into.update((text[1:], ids) for text, ids in self._many([" " + w for w in words], ""))
+
     def _learn_tokens(self, tokens: set[str]) -> None:
-        """Encode pre-tokens: words with and without a blank many at a time, all others one by one."""
-        unknown = self.tokens.missing(tokens)
-        led = [t for t in unknown if t[0] == " " and t[1:].isalpha()]
-        bare = [t for t in unknown if t.isalpha()]
-        for words, between in ((led, ""), (bare, "\n")):
-            for at in range(0, len(words), 2000):
-                some = words[at:at + 2000]
-                ids = self._ids(between.join(some))
-                ends = np.flatnonzero(self.blank[ids])[1:] if not between else np.flatnonzero(ids == self.line[0])
-                starts, ends = np.append(0, ends + len(between)), np.append(ends, len(ids))
-                raw, size = ids.tobytes(), self.type.itemsize
-                self.tokens.new.update(zip(some, [raw[a * size:b * size] for a, b in zip(starts.tolist(), ends.tolist())], strict=True))
-        for t in set(unknown).difference(led, bare):
+        """Ids of pre-tokens: words with and without a blank many at a time, all others one by one."""
+        unknown, words = self.tokens.missing(tokens), self.pieces.new
+        rest = []
+        for t in unknown:
+            if t[0] == " " and (ids := words.get(t[1:])) is not None:
+                self.tokens.new[t] = ids
+            else:
+                rest.append(t)
+        led = [t for t in rest if t[0] == " " and t[1:].isalpha()]
+        bare = [t for t in rest if t.isalpha()]
+        self.tokens.new.update(self._many(led, ""))
+        self.tokens.new.update(self._many(bare, "\n"))
+        for t in set(rest).difference(led, bare):
             self.tokens.new[t] = self._ids(t).tobytes()
 
     def _learn(self, pieces: dict[str, str], into: dict[str, bytes]) -> None:
@@ -214,9 +230,10 @@ class WordEncoder:
         self.pieces.age()
         cut = [self._CUT.split(t) if self._ODD.search(t) else t.split(" ") for t in texts]
         known, heads = self.pieces.new, {}
+        unknown = self.pieces.missing({p for pieces in cut for p in pieces[1:] if p not in known})
+        self._learn_words([p for p in unknown if p.isalpha()], known)
+        self._learn({p: " " + p for p in unknown if not p.isalpha()}, known)
         self._learn({pieces[0]: pieces[0] for pieces in cut}, heads)  # these have no blank before them
-        unknown = {p for pieces in cut for p in pieces[1:] if p not in known}
-        self._learn({p: " " + p for p in self.pieces.missing(unknown)}, known)
         return [heads[pieces[0]] + b"".join(map(known.__getitem__, pieces[1:])) for pieces in cut]
 
 
