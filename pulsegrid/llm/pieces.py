@@ -83,7 +83,7 @@ class Model:
 
 
 class Transducer:
-    def __init__(self, model: Model, most: int = 500_000):
+    def __init__(self, model: Model, most: int = 200_000):
         self.model, self.most = model, most
         self.type = np.dtype("<u2" if len(model.pieces) <= 1 << 16 else "<u4")
         self.number = {p: i for i, (p, k) in enumerate(zip(model.pieces, model.kinds)) if k in (_NORMAL, _USER)}
