@@ -6,9 +6,11 @@ sum of log10((c + 0.1) / (N + 0.1 * (V + 1))).
 
 ``score`` is the log10 probability under a gated recurrent model over the ``vocabulary`` most frequent words,
 the end, and one token for all other words; such a word's probability is that token's times the word's smoothed
-share among all others.  States are carried through the whole text.  The recurrent weights are fitted to at
-most ``fit_docs`` training documents, the first in hash order with up to ``fit_chars`` characters each; its
-output biases and all word shares are those of all training documents.
+share among all others.  States are carried through the whole text.  Its output biases and all word shares are
+those of all training documents, and so are the recurrent weights: in each epoch every token of every training
+document is learnt from once, long texts window by window.  An epoch is a few rounds over growing slices of the
+documents; in a round each task learns from its whole partition, ``fit_docs`` documents laid out at a time, and
+the mean of the tasks' weights, by tokens, is where the next round begins.
 
 The ``frequent`` most frequent words (64 bytes at most each, so a bounded table) are counted where the text is
 read; all other words of all documents meet the corpus counts in a join.
@@ -20,11 +22,14 @@ empty corpus; an empty table gives no rows.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import Stored, binary_text, per_batch, words
@@ -37,8 +42,7 @@ class LmSettings:
     vocabulary: int = 2046
     frequent: int = 200_000
     hidden: int = 32
-    fit_docs: int = 1000
-    fit_chars: int = 20_000
+    fit_docs: int = 1000  # laid out at a time; all are learnt from
     epochs: int = 2
     alpha: float = 0.1
 
@@ -108,6 +112,65 @@ _PARTS = ("row long, doc_id long, n_tokens long, n_frequent long, n_other long,
 _PART_NAMES = [c.split()[0] for c in _PARTS.split(", ")]
 
 
+def _numbered(ids: dict[bytes, int], other: int, batch: pa.RecordBatch) -> pa.RecordBatch:
+    rows = [np.array([ids.get(w, other) for w in words(text)], np.int32).tobytes() for text in batch["utf8"].to_pylist()]
+    return pa.RecordBatch.from_arrays([batch["slice"], pa.array(rows, pa.binary())], names=["slice", "ids"])
+
+
+_SLICES = (0, 1, 4, 16)  # the rounds of an epoch: weights are first averaged while tasks have learnt little
+_CHUNK = 4096  # weights in a row
+_LESSON = "task int, chunk int, tokens long, weights binary"
+
+
+def _learnt(start, end: int, fit_docs: int, rate: float, batches):
+    """Weights after all documents of a partition, in chunks."""
+    model = copy.deepcopy(start.value)
+    learner, texts, held, tokens = model.learner(rate), [], 0, 0
+    for batch in batches:
+        for raw in batch["ids"].to_pylist():
+            texts.append(np.frombuffer(raw, np.int32))
+            held += len(texts[-1]) + 1
+            if len(texts) >= fit_docs or held > 1 << 20:
+                tokens += learner.learn(texts, end)
+                texts, held = [], 0
+    if texts:
+        tokens += learner.learn(texts, end)
+    if tokens:
+        flat = model.weights()
+        parts = [flat[at:at + _CHUNK].tobytes() for at in range(0, len(flat), _CHUNK)]
+        n, task = len(parts), TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array([task] * n, pa.int32()), pa.array(range(n), pa.int32()),
+                                          pa.array([tokens] * n, pa.int64()), pa.array(parts, pa.binary())],
+                                         names=["task", "chunk", "tokens", "weights"])
+
+
+def _mean(key: tuple, group: pa.Table) -> pa.Table:
+    group = group.sort_by("task")
+    total, tokens = 0.0, group["tokens"].to_numpy()
+    for n, raw in zip(tokens.tolist(), group["weights"]):
+        total = total + n * np.frombuffer(raw.as_py(), np.float32).astype(np.float64)
+    return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "tokens": pa.array([tokens.sum()], pa.int64()),
+                     "weights": pa.array([(total / tokens.sum()).astype(np.float32).tobytes()], pa.binary())})
+
+
+def fit(model: Recurrent, lessons: DataFrame, end: int, of: LmSettings, rate: float = 0.004) -> int:
+    """Fits ``model`` to all rows of ``lessons`` in each epoch; the number of tokens learnt from."""
+    context, learnt = lessons.sparkSession.sparkContext, 0
+    for epoch in range(of.epochs):
+        pace = rate * (0.3 if epoch == of.epochs - 1 else 1.0)
+        for low, high in zip(_SLICES, _SLICES[1:]):
+            start = context.broadcast(model)
+            some = lessons.where((F.col("slice") >= low) & (F.col("slice") < high)).select("ids")
+            found = some.mapInArrow(partial(_learnt, start, end, of.fit_docs, pace), _LESSON).groupBy("chunk").applyInArrow(
+                _mean, "chunk int, tokens long, weights binary").collect()  # as many rows as the model has chunks
+            start.unpersist()
+            if found:
+                found.sort(key=lambda r: r.chunk)
+                model.set_weights(np.concatenate([np.frombuffer(r.weights, np.float32) for r in found]))
+                learnt += found[0].tokens
+    return learnt
+
+
 def lm_scores(docs: DataFrame, of: LmSettings = LmSettings()) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = docs.sparkSession
@@ -127,11 +190,11 @@ def lm_scores(docs: DataFrame, of: LmSettings = LmSettings()) -> DataFrame:
     below_others = others + of.alpha * (v - size - (ends > 0) + 1)  # the other words, and one never seen
     model = Recurrent(np.append(top_counts[:size], [others, ends]), of.hidden)
 
-    sample = training.where(F.length("text") <= of.fit_chars).orderBy(F.xxhash64("doc_id"), "doc_id").limit(of.fit_docs)
     ids = {w: i for i, w in enumerate(frequent[:size])}
-    texts = [np.array([ids.get(w, size) for w in words(bytes(r[0]))], np.int64) for r in sample.select(binary_text()).collect()]
-    if texts:
-        model.fit(texts, size + 1, of.epochs)
+    lessons = store.save(training.select(F.pmod(F.xxhash64("doc_id"), F.lit(_SLICES[-1])).cast("int").alias("slice"), binary_text(
+        ).alias("utf8")).mapInArrow(per_batch(lambda batch: _numbered(ids, size, batch)), "slice int, ids binary"), "lessons")
+    if ends:
+        fit(model, lessons, size + 1, of)
 
     tables = spark.sparkContext.broadcast(_Tables(frequent, np.log10((top_counts + of.alpha) / below), model, size))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", binary_text().alias("utf8"))

@@ -108,33 +108,19 @@ class Recurrent:
 
     # --- training ---
 
-    def fit(self, texts: list[np.ndarray], end: int, epochs: int = 3, streams: int = 64, window: int = 32,
-            rate: float = 0.004, seed: int = 5) -> Recurrent:
-        """Truncated back-propagation: texts are laid end to end in ``streams`` rows, states are carried from
-        window to window and reset where a text begins, gradients stop at the window's start."""
-        draw = np.random.default_rng(seed)
-        moments = {n: [np.zeros_like(getattr(self, n)), np.zeros_like(getattr(self, n))] for n in self.NAMES}
-        count = 0
-        for epoch in range(epochs):
-            flat = np.concatenate([np.append(texts[i], end) for i in draw.permutation(len(texts))])
-            width = len(flat) // streams
-            if width < 2:
-                streams, width = 1, len(flat)
-            rows = flat[:streams * width].reshape(streams, width)
-            before = np.concatenate([np.full((streams, 1), end), rows[:, :-1]], axis=1)
-            state = np.zeros((streams, self.hidden), np.float32)
-            for low in range(0, width, window):
-                inputs, targets = before[:, low:low + window], rows[:, low:low + window]
-                slopes, state = self._slopes(inputs, targets, state, end)
-                count += 1
-                pace = rate * (0.3 if epoch == epochs - 1 else 1.0)
-                for name, slope in slopes.items():
-                    first, second = moments[name]
-                    first += 0.1 * (slope - first)
-                    second += 0.01 * (slope * slope - second)
-                    value = getattr(self, name)
-                    value -= pace * (first / (1 - 0.9**count)) / (np.sqrt(second / (1 - 0.99**count)) + 1e-7)
-        return self
+    def weights(self) -> np.ndarray:
+        """All weights in a row."""
+        return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
+
+    def set_weights(self, flat: np.ndarray) -> None:
+        at = 0
+        for name in self.NAMES:
+            old = getattr(self, name)
+            setattr(self, name, np.ascontiguousarray(flat[at:at + old.size].reshape(old.shape), old.dtype))
+            at += old.size
+
+    def learner(self, rate: float = 0.004) -> Learner:
+        return Learner(self, rate)
 
     def _slopes(self, inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, end: int):
         h, (streams, window) = self.hidden, inputs.shape
@@ -168,7 +154,7 @@ class Recurrent:
             slope["token_bias"][span] += p.sum(axis=0)
             back[rows] += p @ self.to_token[span]
 
-        down = np.zeros((streams, h), np.float32)
+        down, moved = np.zeros((streams, h), np.float32), []
         for t in range(window - 1, -1, -1):
             tokens, old, update, reset, kept, fresh = saved[t]
             down = down + back[t * streams:(t + 1) * streams]
@@ -177,11 +163,49 @@ class Recurrent:
             d_gates = np.concatenate([down * (fresh - old) * update * (1 - update), d_kept * old * reset * (1 - reset)], axis=1)
             slope["carry"][:, :2 * h] += old.T @ d_gates
             slope["carry"][:, 2 * h:] += kept.T @ d_fresh
-            np.add.at(slope["inputs"], tokens, np.concatenate([d_gates, d_fresh], axis=1))
+            moved.append(np.concatenate([d_gates, d_fresh], axis=1))
             down = down * (1 - update) + d_kept * reset + d_gates @ self.carry[:, :2 * h].T
             down = np.where((tokens == end)[:, None], np.float32(0), down)  # a text's first state has no past
+        used = np.concatenate([past[0] for past in reversed(saved)])
+        order = np.argsort(used, kind="stable")
+        firsts = np.flatnonzero(np.append(True, np.diff(used[order]) != 0))
+        slope["inputs"][used[order[firsts]]] = np.add.reduceat(np.concatenate(moved)[order], firsts, axis=0)
         norm = float(np.sqrt(sum((s * s).sum() for s in slope.values())))
         if norm > 1:
             for s in slope.values():
                 s *= 1 / norm
         return slope, state
+
+
+class Learner:
+    """Truncated back-propagation, by Adam: texts are laid end to end in ``streams`` rows, states are carried from
+    window to window and reset where a text begins, gradients stop at the window's start."""
+
+    def __init__(self, model: Recurrent, rate: float):
+        self.model, self.rate, self.count = model, rate, 0
+        self.means = {n: [np.zeros_like(getattr(model, n)), np.zeros_like(getattr(model, n))] for n in model.NAMES}
+
+    def learn(self, texts: list[np.ndarray], end: int, streams: int = 64, window: int = 32) -> int:
+        """One pass over all tokens of the texts, their ends included; how many there were."""
+        flat = np.concatenate([np.append(t, end) for t in texts])
+        before = np.append(end, flat[:-1])
+        width = len(flat) // streams
+        if width < 2:
+            streams, width = 1, len(flat)
+        even = streams * width
+        self._rows(before[:even].reshape(streams, width), flat[:even].reshape(streams, width), end, window)
+        if even < len(flat):  # fewer than ``streams`` tokens are left
+            self._rows(before[None, even:], flat[None, even:], end, window)
+        return len(flat)
+
+    def _rows(self, before: np.ndarray, rows: np.ndarray, end: int, window: int) -> None:
+        state = np.zeros((len(rows), self.model.hidden), np.float32)
+        for low in range(0, rows.shape[1], window):
+            slopes, state = self.model._slopes(before[:, low:low + window], rows[:, low:low + window], state, end)
+            self.count += 1
+            for name, slope in slopes.items():
+                first, second = self.means[name]
+                first += 0.1 * (slope - first)
+                second += 0.01 * (slope * slope - second)
+                value = getattr(self.model, name)
+                value -= self.rate * (first / (1 - 0.9**self.count)) / (np.sqrt(second / (1 - 0.99**self.count)) + 1e-7)

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pulsegrid.llm import lm_scores as module
 from pulsegrid.llm.lm_scores import LmSettings, lm_scores
 from pulsegrid.llm.recurrent import Recurrent
 
@@ -91,3 +92,12 @@ def test_state_is_carried_through_the_text():
             before = np.array([token])
             total += float(model.log_prob(state, before)[0])
         assert got == pytest.approx(total, rel=1e-4)
+
+
+def test_every_training_token_is_learnt_from_in_each_epoch(docs, monkeypatch):
+    learnt, fit = [], module.fit
+    monkeypatch.setattr(module, "fit", lambda *given: learnt.append(fit(*given)))
+    rows = [(i, f"w{i % 7} of " * 5) for i in range(300)] + [(300, "long " * 30_000), (301, None), (302, "")]
+    found = lm_scores(docs(*rows), LmSettings(vocabulary=10, frequent=20, hidden=4, fit_docs=50, epochs=2)).collect()
+    assert zlib.crc32(b"300") % 10 and len(found) == 303
+    assert learnt == [2 * found[0].train_tokens]
