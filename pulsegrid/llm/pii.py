@@ -177,20 +177,55 @@ def sanitise(docs: DataFrame, by: Disclosure = Disclosure()) -> DataFrame:
                       F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("print"))
     row = row.join(chosen, "print", "left")
     text = F.col("text")
-    tokens, parts = _terms(text), F.split(text, _TERM, -1)
+    row = row.withColumns({f"hits_{k}": _hits(text, k) for k in KINDS})
+    none = F.array().cast(_PUTS)
+    spans = {k: F.when(F.size(f"hits_{k}") > 0, _put(_spans(_pieces(text, PATTERNS[k], F.col(f"hits_{k}")), lambda hit, k=k: _valid(
+        hit, k)), rank, lambda hit, k=k: F.lit(f"[{k.upper()}]"))).otherwise(none) for rank, k in enumerate(KINDS)}
 
     def replaced(hit: Column) -> Column:
-        low = F.lower(hit)
-        return (F.when(F.array_contains("drop", low), "").when(F.array_contains("blur", low), F.when(
-            hit.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]")).otherwise(hit))
-
-    row = row.withColumn("text", F.when(F.size(F.concat("drop", "blur")) > 0, F.array_join(F.zip_with(
-        parts, tokens, lambda gap, hit: F.concat(gap, F.when(hit.isNull(), "").otherwise(replaced(hit)))), "")).otherwise(text))
-    for kind in KINDS:  # a projection each, so that no search is repeated
-        row = row.withColumn("text", _masked(F.col("text"), kind))
+        return F.when(F.array_contains("drop", F.lower(hit)), "").when(hit.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]")
+
+    terms = F.concat("drop", "blur")
+    spans["term"] = F.when(F.size(terms) > 0, _put(_spans(_pieces(text, _TERM, _terms(text)), lambda hit: F.array_contains(
+        terms, F.lower(hit))), len(KINDS), replaced)).otherwise(none)
+    row = row.withColumn("puts", F.array_sort(F.concat(*spans.values())))
+    row = row.withColumn("text", F.when(F.size("puts") > 0, _replaced(text, F.col("puts"))).otherwise(text))
+    for kind in KINDS:  # what only taking terms out has joined; a projection each, so that no search is repeated
+        row = row.withColumn("text", F.when(F.size("drop") > 0, _masked(text, kind)).otherwise(text))
     return row.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
+_PUTS = "array<struct<start:int,end:int,rank:int,put:string>>"
+
+
+def _put(spans: Column, rank: int, put) -> Column:
+    """Spans with what is put in their place; of overlapping spans the lowest rank gives it."""
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(rank).alias("rank"),
+                                                 put(s["hit"]).alias("put")))
+
+
+def _replaced(text: Column, puts: Column) -> Column:
+    """The text with all spans (in order of their starts) replaced in one pass, overlapping ones as one."""
+    start = F.struct(F.lit(0).alias("done"), F.array().cast("array<string>").alias("parts"), F.lit(0).alias("start"),
+                     F.lit(0).alias("end"), F.lit(0).alias("rank"), F.lit("").alias("put"))
+
+    def closed(past: Column) -> Column:
+        gap = F.substring(text, past["done"] + 1, past["start"] - past["done"])
+        return F.array_append(past["parts"], F.concat(gap, past["put"]))
+
+    def step(past: Column, span: Column) -> Column:
+        better = span["rank"] < past["rank"]
+        joined = F.struct(past["done"].alias("done"), past["parts"].alias("parts"), past["start"].alias("start"),
+                          F.greatest(past["end"], span["end"]).alias("end"), F.least(past["rank"], span["rank"]).alias("rank"),
+                          F.when(better, span["put"]).otherwise(past["put"]).alias("put"))
+        opened = F.struct(past["end"].alias("done"), closed(past).alias("parts"), span["start"].alias("start"),
+                          span["end"].alias("end"), span["rank"].alias("rank"), span["put"].alias("put"))
+        return F.when(span["start"] < past["end"], joined).otherwise(opened)
+
+    return F.aggregate(puts, start, step, lambda past: F.concat(
+        F.array_join(closed(past), ""), F.substring(text, past["end"] + 1, F.length(text))))
+
+
 def _masked(text: Column, kind: str) -> Column:
     hits = _hits(text, kind)
     return F.when(F.size(hits) > 0, F.array_join(F.zip_with(F.split(text, PATTERNS[kind], -1), hits, lambda gap, hit: F.concat(

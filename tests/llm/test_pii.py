@@ -91,3 +91,13 @@ def test_empty_and_repeated_rows(docs):
 def test_no_python_in_the_plan(docs, name):
     frame = {"personal_data": personal_data, "sanitise": sanitise}[name](docs((1, "a@b.c")))
     assert "Python" not in frame._jdf.queryExecution().toString() and "Arrow" not in frame._jdf.queryExecution().toString()
+
+
+def test_a_removed_term_does_not_hide_a_phone_and_overlapping_kinds_are_one(docs):
+    rows = {i: f"the +4915112345679 Quillfeather 2019 {chr(97 + i) * 4} the" for i in range(4)}
+    rows |= {i: f"the plain text number {chr(97 + i % 26) * (i % 7 + 1)} of the rest" for i in range(10, 200)}
+    texts = {r.doc_id: r.text for r in sanitise(docs(*rows.items())).collect()}
+    assert texts[0] == "the [PHONE]  2019 aaaa the"
+    kinds = docs((1, "\u00e9\U0001f600 +4111111111111111, 4111111111111111@x.org and 10.0.0.1@x.org; +49 30 10.20.30.40 end"), (2, "a@b.c"))
+    texts = {r.doc_id: r.text for r in sanitise(kinds).collect()}
+    assert texts == {1: "\u00e9\U0001f600 +[CARD], [EMAIL] and [EMAIL]; [IP] end", 2: "[EMAIL]"}
