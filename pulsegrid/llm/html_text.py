@@ -3,12 +3,14 @@
 One pass of the standard-library parser turns a page into lines, one per block (paragraph, heading, list
 item, cell, ...).  A line knows its text, the tags seen since the line before, the element that holds it and
 whether it lies in something that is never an article: menus, page headers, footers, sidebars, notices,
-adverts, forms, reader comments (by element, role, or a word of class or id), scripts and styles.
+adverts, forms, reader comments (by element, role, or the class or id of a container), scripts and styles.
+A container is judged by whole class tokens; outside an article also by ids and by tokens that end in such a
+name (not ``has-sidebar``).  Sections are not judged by id, headings never, nor what holds the first article or main.
 
 Lines outside those are ranked by text length per tag, smoothed with a Gaussian along the page; lines at or
 above one standard deviation of the smoothed ratios are content.  A region is then completed: where content
 lies in an ``article`` (or, without one, in ``main``), all lines of that element belong to it; elsewhere all
-lines directly in the same element do.  So short paragraphs between long ones are not lost.
+lines directly in the same element do (headings, quotations and cells as if they were paragraphs).  So short paragraphs between long ones are not lost.
 
 Rows: NULL, empty and tag-only pages give an empty text; broken markup (unclosed or crossed tags) is read as
 far as it goes; repeated pages are computed alike; an empty table gives no rows.  Extra columns are ignored.
@@ -31,12 +33,17 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _HIDDEN = frozenset("head script style noscript template iframe object svg math canvas audio video map".split())
 _ASIDE = frozenset("nav footer aside form menu dialog button select textarea fieldset datalist".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
+_BOXES = frozenset("div section ul ol li dl table tbody tr td header figure details center".split())  # judged by name
+_LEAVES = frozenset("p li h1 h2 h3 h4 h5 h6 blockquote pre caption figcaption".split())
+_CELLS = frozenset("td th dt dd".split())
+_GRIDS = frozenset("tr tbody thead tfoot table dl".split())
 # words of class or id that name something beside the article
 _NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promoted promotion nav navbar navigation "
     "menu breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets cookie cookies consent gdpr notice "
     "notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
     "related recommended comment comments commentlist disqus replies respond discussion pagination pager toolbar".split())
+_NOT = frozenset("has have no not non with without is hide hidden".split())  # before a name: says something of a layout
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _BLANK = re.compile(r"\s+")
 
@@ -47,22 +54,36 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int]] = []
-        self.open: list[tuple[str, bool, int, bool]] = []  # name, hides, id, is a root
+        self.open: list[tuple[str, int, int, bool]] = []  # name, hides (2: by name only), id, is a root
         self.named: dict[str, int] = {}
         self.hides, self.tags, self.count = 0, 0, 0
         self.parts: list[str] = []
         self.roots: list[tuple[int, int]] = []  # id, rank (2 article, 1 main)
+        self.met = 0  # the highest rank met so far
 
     def _flush(self) -> None:
         if self.parts:
             text = _BLANK.sub(" ", "".join(self.parts)).strip()
             self.parts = []
             if text and not self.hides:
-                holder = next((e[2] for e in reversed(self.open) if e[0] not in _INLINE and e[0] not in ("p", "li")), 0)
+                holder = self._holder()
                 articles = [r for r in self.roots if r[1] == 2] or self.roots
                 self.lines.append((text, self.tags, holder, articles[0][0] if articles else -1))
                 self.tags = 0
 
+    def _holder(self) -> int:
+        """The block container of a line; of a cell's own text, that of its table."""
+        inner, cell = True, False
+        for name, _, number, _ in reversed(self.open):
+            if name in _INLINE:
+                continue
+            if inner and name in _CELLS:
+                cell = True
+            elif name not in _LEAVES and not (cell and name in _GRIDS):
+                return number
+            inner = False
+        return 0
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag in _VOID:
@@ -74,15 +95,21 @@ class _Lines(HTMLParser):
             if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and self.named.get(tag):
                 self._implied(tag)
         self.count += 1
-        hides = tag in _HIDDEN or tag in _ASIDE or self._beside(tag, attrs)
+        hides = int(tag in _HIDDEN or tag in _ASIDE or self._beside(tag, attrs))
         if tag == "header" and not self.roots:
-            hides = True
+            hides = 1
+        if not hides and self._named(tag, attrs):
+            hides = 2
         rank = 2 if tag == "article" else 1 if tag == "main" or ("role", "main") in attrs else 0
         if hides:
             rank = 0
         self.open.append((tag, hides, self.count, bool(rank)))
         self.named[tag] = self.named.get(tag, 0) + 1
-        self.hides += hides
+        self.hides += hides > 0
+        if rank > self.met:  # what holds the first article or main is not beside it
+            self.met = rank
+            self.hides -= sum(e[1] == 2 for e in self.open)
+            self.open = [(name, 0 if how == 2 else how, *rest) for name, how, *rest in self.open]
         if rank:
             self.roots.append((self.count, rank))
 
@@ -95,11 +122,23 @@ class _Lines(HTMLParser):
                 return True
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 return True
-            if name in ("class", "id") and value and tag not in ("html", "body", "article", "main"):
-                if any(w.lower() in _NAMES for w in _WORD.findall(value)):
-                    return True
-            elif name in ("class", "id") and value and tag == "article":
-                if "comment" in value.lower():
+            if name in ("class", "id") and value and tag == "article" and "comment" in value.lower():
+                return True
+        return False
+
+    def _named(self, tag, attrs) -> bool:
+        if tag not in _BOXES:
+            return False
+        inside = any(rank == 2 for _, rank in self.roots)
+        for name, value in attrs:
+            if name not in ("class", "id") or not value or (name == "id" and (inside or tag == "section")):
+                continue
+            for token in value.split():
+                words = [w.lower() for w in _WORD.findall(token)]
+                if inside:
+                    if token.lower() in _NAMES and token.lower() != "header":
+                        return True
+                elif words and words[-1] in _NAMES and words[0] not in _NOT:
                     return True
         return False
 
@@ -116,7 +155,7 @@ class _Lines(HTMLParser):
         while self.open:
             name, hides, number, is_root = self.open.pop()
             self.named[name] -= 1
-            self.hides -= hides
+            self.hides -= hides > 0
             if is_root:
                 self.roots.pop()
             if name == tag:

@@ -34,3 +34,19 @@ def test_frame(spark):
 def test_smoothing_keeps_a_constant():
     assert np.allclose(smoothed(np.full(9, 3.0)), 3.0)
     assert main_text("<div>" * 3000 + LONG) == LONG
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<div class='content has-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+    (f"<div class='no-comments'><p>{LONG}</p></div>", LONG),
+    (f"<div class='page-sidebar'><main><p>{LONG}</p></main></div><div class='sidebar'><p>Side</p></div>", LONG),
+    (f"<article><section id='discussion'><p>{LONG}</p></section><section id='related-work'><p>{LONG}</p></section></article>",
+     f"{LONG}\n{LONG}"),
+    (f"<section id='discussion'><h2 id='notice-periods'>Periods</h2><p>{LONG}</p></section>", f"Periods\n{LONG}"),
+    (f"<article><div class='article-header'><h1>Title</h1></div><p>{LONG}</p><div class='ad'>Buy</div></article>", f"Title\n{LONG}"),
+    (f"<article><p>{LONG}</p></article><section class='related'><article><p>{LONG} Another.</p></article></section>", LONG),
+    (f"<div><h2>A</h2><p>{LONG}</p><blockquote>Q</blockquote><table><tr><td>c</td></tr></table><p>{LONG}</p></div>",
+     f"A\n{LONG}\nQ\nc\n{LONG}"),
+])
+def test_names_of_layouts_and_sections_lose_nothing(html, text):
+    assert main_text(html) == text
