@@ -65,3 +65,17 @@ def test_clusters_separate_clear_groups(spark):
     labels = {r["key"]: r["cluster"] for r in cluster_entities(df, "key", k=4, restarts=3).collect()}
     groups = [{labels[f"e{i}"] for i in range(40) if i % 4 == g} for g in range(4)]
     assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 4
+
+
+def test_registered_models_are_the_published_ones(spark):
+    import inspect
+
+    from pulsegrid.queries import QUERIES
+
+    for name in ("forecast_gbt", "feature_importance"):
+        assert inspect.signature(QUERIES[name]).parameters["settings"].default == BoostedTrees()
+    few = BoostedTrees(trees=1)
+    rows = {r["horizon"]: r for r in QUERIES["forecast_gbt"](spark, "/root/testdata/sf0.01", few).collect()}
+    assert set(rows) == set(HORIZONS) and all(r["n_tr"] > 0 and r["n_te"] > 0 for r in rows.values())
+    weights = QUERIES["feature_importance"](spark, "/root/testdata/sf0.01", few).collect()
+    assert {r["feature"] for r in weights} == set(FEATURES)
