@@ -34,7 +34,7 @@ TILE = 16  # boundaries of a tile
 LEAST = 12  # words of the shortest run
 FIRST = 8  # the first octave holds all periods below
 
-_GRAM = 8  # most words of a hash that decides whether a tile can hold a run
+_TOGETHER = 100_000  # words of short texts that are looked at together
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,47 +52,72 @@ def word_ids(words: list[bytes]) -> np.ndarray:
     return np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int32, len(words))
 
 
-def _grams(ids: np.ndarray) -> dict[int, np.ndarray]:
-    """Hashes of 1, 2, 4 and 8 words from each position, zeros after the end."""
-    out, size = {1: (ids.astype(np.uint64) + np.uint64(1)) * _MIX}, 1
-    while size < _GRAM:
-        h = out[size]
-        later = np.zeros_like(h)
-        later[:-size or None] = h[size:]
-        h = (h ^ (h >> np.uint64(29))) * _MIX + later
-        size *= 2
-        out[size] = h
-    return out
+def _grams(ids: np.ndarray, salt: np.ndarray | int = 0) -> dict[int, np.ndarray]:
+    """Hashes of 1, 3, 4 and 8 words from each position, as if zeros followed the end."""
+    def joined(first: np.ndarray, after: int, second: np.ndarray) -> np.ndarray:
+        out = (first ^ (first >> np.uint64(29))) * _MIX
+        out[:max(len(out) - after, 0)] += second[after:]
+        return out
+
+    one = (ids.astype(np.uint64) + np.uint64(1)) * _MIX + np.asarray(salt, np.uint64)
+    two = joined(one, 1, one)
+    four = joined(two, 2, two)
+    return {1: one, 3: joined(two, 2, one), 4: four, 8: joined(four, 4, four)}
+
+
+def _open_boundaries(grams: dict[int, np.ndarray], low: int, high: int, apart: int) -> np.ndarray:
+    """For each boundary whether words before or after it recur at a period of the octave.
+
+    A stretch of ``apart`` agreements around a boundary has half of them on one of its sides.
+    """
+    size = max(s for s in grams if s <= max((apart + 1) // 2, 1))
+    near = grams[size]
+    n = len(near)
+    before = np.arange(n, dtype=np.uint64)  # of the words that end here; too few words equal nothing
+    before[size:] = near[:max(n - size, 0)]
+    found = np.zeros(-(-n // apart), bool)
+    if apart == low and high == 2 * low:
+        for h in (near, before):
+            rows = np.zeros((len(found) + 1) * low, np.uint64)
+            rows[:n] = h
+            rows = rows.reshape(-1, low)
+            found |= (rows[1:] == rows[:-1, :1]).any(1)
+    else:
+        for h in (near, before):
+            at = h[::apart]
+            for q in range(low, min(high, n)):
+                later = h[q::apart]
+                found[:len(later)] |= at[:len(later)] == later
+    return found
 
 
 def open_tiles(ids: np.ndarray, least: int = LEAST) -> Iterator[tuple[int, int, int, int]]:
     """low, high, distance and first boundary of the tiles that may hold a run."""
-    n = len(ids)
-    if n < least:
+    if len(ids) < least:
         return
     grams = _grams(ids)
-    for low, high, apart in octaves(n, least):
-        size = max(s for s in grams if s <= max(apart // 2, 1))
-        near = grams[size]
-        before = np.concatenate([np.zeros(size, np.uint64), near[:-size]])  # of the words that end here
-        count = -(-n // apart)
-        found = np.zeros(count, bool)
-        if apart == low and high == 2 * low:
-            for h in (near, before):
-                rows = np.zeros((count + 1) * low, np.uint64)
-                rows[:n] = h
-                rows = rows.reshape(-1, low)
-                found[:len(rows) - 1] |= (rows[1:] == rows[:-1, :1]).any(1)
-        else:
-            at = np.arange(0, n, apart)
-            for h in (near, before):
-                for q in range(low, high):
-                    inside = at + q < n
-                    found[inside] |= h[at[inside]] == h[at[inside] + q]
+    for low, high, apart in octaves(len(ids), least):
+        found = _open_boundaries(grams, low, high, apart)
         for tile in np.unique(np.flatnonzero(found) // TILE):
             yield low, high, apart, int(tile) * TILE * apart
 
 
+def may_have_runs(texts: list[list[bytes]], least: int = LEAST) -> np.ndarray:
+    """For each list of words whether any tile is left; one look at all lists together.
+
+    Boundaries then lie elsewhere in a text than those of its tiles, which hold a run's agreements as well.
+    """
+    sizes = np.array([len(w) for w in texts], np.int64)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    ids = word_ids([w for words in texts for w in words])
+    grams = _grams(ids, owner.astype(np.uint64) << np.uint64(40))
+    out = np.zeros(len(texts), bool)
+    for low, high, apart in octaves(int(sizes.max(initial=0)), least):
+        at = np.flatnonzero(_open_boundaries(grams, low, high, apart)) * apart
+        out[owner[at]] = True
+    return out & (sizes >= least)
+
+
 def z_function(s: list[int]) -> list[int]:
     """For each position how many items from there on equal those from the beginning on."""
     n = len(s)
@@ -176,14 +201,23 @@ def _batches(names: list[str], types: list[pa.DataType], rows: Iterator[tuple],
 
 
 def _prepare(least: int):
+    def looked_at(held):
+        for (doc_id, text, words), may in zip(held, may_have_runs([h[2] for h in held], least)):
+            key = hashlib.sha256(b"%s|" % str(doc_id).encode() + text).digest()
+            yield doc_id, key, hashlib.sha256(b" ".join(words)).hexdigest(), text if may else None
+
     def rows(batches):
+        held, count = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
                 text = text.as_py()
                 words = text.split()
-                may = next(open_tiles(word_ids(words), least), None) is not None
-                key = hashlib.sha256(b"%s|" % str(doc_id).encode() + text).digest()
-                yield doc_id, key, hashlib.sha256(b" ".join(words)).hexdigest(), text if may else None
+                held.append((doc_id.as_py(), text, words))
+                count += len(words)
+                if count > _TOGETHER:
+                    yield from looked_at(held)
+                    held, count = [], 0
+        yield from looked_at(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batches(["doc_id", "key", "plain", "text"], [pa.int64(), pa.binary(), pa.string(), pa.binary()],
