@@ -10,8 +10,9 @@ further on; a run is then a stretch of at least ``max(q, least - q)`` agreements
   left out: that test looks at hashes of all words, and equal words have equal hashes.
 * A tile is solved by itself, wherever Spark puts it: Z-functions from each boundary onward and backward give,
   for all periods of the octave at once, how far the agreements reach, up to the next boundary either way.
-* These fragments are shuffled by document and period and touching ones stitched.  A stitched stretch whose
-  smallest period is less is the same stretch of that period, so the least period of each stretch remains.
+* Fragments whose block of words is itself a repeat are dropped: the same stretch has that smaller period, and so
+  is found under it.  Those that end inside their tile are kept only if they are a run.
+* The rest is shuffled by document and period, and touching fragments are stitched.
 
 Work grows with the words times the octaves; a document's tiles are dealt to all tasks.
 
@@ -167,6 +168,27 @@ def merged(fragments: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
+def is_repeat(block: np.ndarray) -> bool:
+    """Whether a block of words is a shorter block two or more times."""
+    n = rest = len(block)
+    factor = 2
+    while rest > 1:
+        if rest % factor == 0:
+            if np.array_equal(block[n // factor:], block[:-(n // factor)]):
+                return True
+            while rest % factor == 0:
+                rest //= factor
+        factor = rest if factor * factor > rest else factor + 1
+    return False
+
+
+def tile_fragments(words: np.ndarray, start: int, low: int, high: int, apart: int, first: int, least: int = LEAST) -> list[tuple[int, int, int]]:
+    """What a tile tells the other tiles of its document: runs, and parts of stretches that may go on beside it."""
+    left, right = first - apart, first + TILE * apart
+    return [(q, s, e) for q, s, e in merged(solve_tile(words.tolist(), start, low, high, apart, first, least))
+            if (e - s >= max(q, least - q) or s <= left or e >= right) and not is_repeat(words[s - start:s - start + q])]
+
+
 def kept_words(words: list[bytes], runs: list[dict]) -> bytes:
     """The words that no run holds after its first period, joined by one space."""
     change = np.zeros(len(words) + 1, np.int32)
@@ -180,7 +202,7 @@ def kept_words(words: list[bytes], runs: list[dict]) -> bytes:
 # -- Spark ---------------------------------------------------------------------------------------
 
 _PREPARED = "doc_id long, key binary, plain string, text binary"
-_TILES = "key binary, low int, high int, apart int, first long, start long, words binary"
+_TILES = "key binary, low int, high int, apart int, first long, start long, small boolean, words binary"
 _FRAGMENTS = "key binary, period long, start long, end long"
 RUN = "start: bigint, period: bigint, length: bigint"
 _DONE = "doc_id long, collapsed_sha256 string, collapsed binary, runs array<struct<" + RUN + ">>"
@@ -203,7 +225,7 @@ def _batches(names: list[str], types: list[pa.DataType], rows: Iterator[tuple],
 def _prepare(least: int):
     def looked_at(held):
         for (doc_id, text, words), may in zip(held, may_have_runs([h[2] for h in held], least)):
-            key = hashlib.sha256(b"%s|" % str(doc_id).encode() + text).digest()
+            key = hashlib.sha256(b"%s|" % str(doc_id).encode() + text).digest()[:16]
             yield doc_id, key, hashlib.sha256(b" ".join(words)).hexdigest(), text if may else None
 
     def rows(batches):
@@ -231,15 +253,16 @@ def _explode(least: int):
         for batch in batches:
             for key, text in zip(batch.column(0), batch.column(1)):
                 key, ids = key.as_py(), word_ids(text.as_py().split())
+                small = int(ids.max(initial=0)) < 1 << 16
                 for low, high, apart, first in open_tiles(ids, least):
                     start = max(first - apart, 0)
                     part = ids[start:first + TILE * apart + high - 1]
-                    yield key, low, high, apart, first, start, part.tobytes()
+                    yield key, low, high, apart, first, start, small, part.astype(np.uint16 if small else np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _batches(["key", "low", "high", "apart", "first", "start", "words"],
-                        [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()],
-                        rows(batches), lambda r: len(r[6]))
+        return _batches(["key", "low", "high", "apart", "first", "start", "small", "words"],
+                        [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()],
+                        rows(batches), lambda r: len(r[7]))
 
     return run
 
@@ -248,9 +271,9 @@ def _solve(least: int):
     def rows(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                key, low, high, apart, first, start, words = (batch.column(c)[i].as_py() for c in range(7))
-                found = solve_tile(np.frombuffer(words, np.int32).tolist(), start, low, high, apart, first, least)
-                for q, s, e in merged(found):
+                key, low, high, apart, first, start, small, words = (batch.column(c)[i].as_py() for c in range(8))
+                words = np.frombuffer(words, np.uint16 if small else np.uint32)
+                for q, s, e in tile_fragments(words, start, low, high, apart, first, least):
                     yield key, q, s, e
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,17 +301,18 @@ def stitched(fragments: DataFrame, least: int = LEAST) -> DataFrame:
     before = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(F.col("start") <= before, 0).otherwise(1)
     number = F.sum("fresh").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    stretches = (fragments.distinct().withColumn("fresh", fresh).withColumn("number", number)
-                 .groupBy("key", "period", "number").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-                 .where(F.col("end") - F.col("start") >= F.greatest(F.col("period"), least - F.col("period"))))
-    return (stretches.groupBy("key", "start", (F.col("end") - F.col("start") + F.col("period")).alias("length"))
-            .agg(F.min("period").alias("period")))
+    return (fragments.withColumn("fresh", fresh).withColumn("number", number)
+            .groupBy("key", "period", "number").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+            .where(F.col("end") - F.col("start") >= F.greatest(F.col("period"), least - F.col("period")))
+            .select("key", "start", "period", (F.col("end") - F.col("start") + F.col("period")).alias("length")))
 
 
 def find_runs(prepared: DataFrame, least: int = LEAST) -> DataFrame:
-    """key, start, length and period of every run of the prepared texts."""
+    """key, start, period and length of every run of the prepared texts."""
+    # tiles are short for the work they make, so their number of tasks is not left to their bytes
+    tasks = int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = (prepared.where("text is not null").select("key", "text").mapInArrow(_explode(least), _TILES)
-             .repartition("key", "low", "first"))  # a long document's tiles go to all tasks
+             .repartition(tasks, "key", "low", "first"))
     return stitched(tiles.mapInArrow(_solve(least), _FRAGMENTS), least)
 
 

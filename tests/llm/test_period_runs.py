@@ -94,6 +94,14 @@ def test_tiles_give_each_stretch_of_agreements_in_touching_pieces():
         assert have == sorted(want)
 
 
+def test_is_repeat():
+    draw = random.Random(4)
+    for _ in range(500):
+        block = [draw.randint(0, 1) for _ in range(draw.randint(1, 6))] * draw.choice([1, 1, 2, 3, 5, 7])
+        shorter = any(len(block) % d == 0 and block == block[:d] * (len(block) // d) for d in range(1, len(block)))
+        assert period_runs.is_repeat(np.array(block)) == shorter
+
+
 def test_every_period_is_in_one_octave():
     for n in (0, 1, 16, 1000):
         periods = [q for low, high, _ in octaves(n) for q in range(low, high)]
