@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pulsegrid.functions import calendar_parts, clip_low, regression_scores, row_mean, share_of
 from pulsegrid.operators.latest import first_per_key
 from pulsegrid.operators.median import fill_with_median, median_of
-from pulsegrid.operators.series import bucket_series, offset_lookup, temporal_split
-from pulsegrid.session import ensure_checkpoint_dir
+from pulsegrid.operators.series import bucket_series, offset_lookup, shift
+from pulsegrid.session import ensure_checkpoint_dir, scratch_path
 
 from .stations import FEATURES, LAGS
 
 MINUTE = 60
 TWO_DAYS = 2 * 86_400
+ROWS_PER_TASK = 200_000  # of a training table
+_VECTOR = "_features"
 
 
 def lag_features(
@@ -69,9 +72,9 @@ def station_features(series: DataFrame, keys: Sequence[str] = ("stationcode",),
     )
 
 
-def scores(df: DataFrame, actual: str, predicted: str, baseline: str, split: str = "split") -> DataFrame:
-    """MAE, RMSE, R2 of a prediction and MAE, RMSE of a baseline on test rows, set sizes and the
-    RMSE gain in percent, all from one aggregation."""
+def score_columns(actual: str, predicted: str, baseline: str, split: str = "split") -> dict[str, Column]:
+    """MAE, RMSE, R2 of a prediction and MAE, RMSE of a baseline on test rows, set sizes and the RMSE gain in
+    percent, as aggregates.  Rows whose split is NULL take no part."""
     test = F.col(split) == "test"
 
     def only_test(column: str):
@@ -79,13 +82,16 @@ def scores(df: DataFrame, actual: str, predicted: str, baseline: str, split: str
 
     model = regression_scores(only_test(actual), only_test(predicted))
     base = regression_scores(only_test(actual), only_test(baseline))
-    out = df.agg(
-        model["mae"].alias("mae"), model["rmse"].alias("rmse"), model["r2"].alias("r2"),
-        base["mae"].alias("mae_b"), base["rmse"].alias("rmse_b"),
-        F.count_if(~test).alias("n_tr"), F.count_if(test).alias("n_te"),
-    )
-    gain = (F.try_divide(F.col("rmse"), F.col("rmse_b")) - 1) * 100
-    return out.withColumn("rmse_gain_pct", gain)
+    return {
+        "mae": model["mae"], "rmse": model["rmse"], "r2": model["r2"], "mae_b": base["mae"], "rmse_b": base["rmse"],
+        "n_tr": F.count_if(~test), "n_te": F.count_if(test),
+        "rmse_gain_pct": (F.try_divide(model["rmse"], base["rmse"]) - 1) * 100,
+    }
+
+
+def scores(df: DataFrame, actual: str, predicted: str, baseline: str, split: str = "split") -> DataFrame:
+    """:func:`score_columns` as one row."""
+    return df.agg(*[c.alias(name) for name, c in score_columns(actual, predicted, baseline, split).items()])
 
 
 @dataclass(frozen=True)
@@ -111,23 +117,34 @@ def _usable(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str
     return df.withColumns(columns), list(columns)
 
 
+def _trees(settings: BoostedTrees, label: str, prediction: str) -> GBTRegressor:
+    return GBTRegressor(
+        featuresCol=_VECTOR, labelCol=label, predictionCol=prediction,
+        maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.step,
+        subsamplingRate=settings.row_share, featureSubsetStrategy=str(settings.column_share),
+        minInstancesPerNode=settings.min_rows, seed=settings.seed,
+        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512,
+    )
+
+
+def _few_partitions(df: DataFrame, rows: int) -> DataFrame:
+    """Training rows in as few partitions as their number needs: every level of every tree is a job over all of them."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def fit_delta_trees(
     train: DataFrame, features: Sequence[str], current: str, target: str, settings: BoostedTrees = BoostedTrees()
 ) -> PipelineModel:
     """Boosted trees on the change from the current value to the target."""
     ensure_checkpoint_dir(train.sparkSession)
     usable, inputs = _usable(train, features)
-    usable = usable.withColumn("_delta", (F.col(target) - F.col(current)).cast("double"))
-    trees = GBTRegressor(
-        featuresCol="_features", labelCol="_delta", predictionCol="_delta_hat",
-        maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.step,
-        subsamplingRate=settings.row_share, featureSubsetStrategy=str(settings.column_share),
-        minInstancesPerNode=settings.min_rows, seed=settings.seed,
-        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512,
-    )
-    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="_features"), trees]).fit(
-        usable.select(*inputs, "_delta")
-    )
+    usable = usable.withColumn("_delta", (F.col(target) - F.col(current)).cast("double")).select(*inputs, "_delta")
+    usable = usable.persist()
+    try:
+        stages = [VectorAssembler(inputCols=inputs, outputCol=_VECTOR), _trees(settings, "_delta", "_delta_hat")]
+        return Pipeline(stages=stages).fit(_few_partitions(usable, usable.count()))
+    finally:
+        usable.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], current: str, name: str = "prediction") -> DataFrame:
@@ -135,33 +152,85 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], curren
     usable, inputs = _usable(df, features)
     out = model.transform(usable)
     forecast = clip_low(F.col(current).cast("double") + F.col("_delta_hat"))
-    return out.withColumn(name, forecast).drop(*inputs, "_features", "_delta_hat")
+    return out.withColumn(name, forecast).drop(*inputs, _VECTOR, "_delta_hat")
 
 
-def evaluate(
-    features: DataFrame, keys: Sequence[str], ts: str, current: str, inputs: Sequence[str], horizon_seconds: int,
-    *, holdout_seconds: int = TWO_DAYS, settings: BoostedTrees = BoostedTrees(),
+def horizon_targets(
+    features: DataFrame, keys: Sequence[str], ts: str, current: str, horizons: Mapping[str, int],
+    holdout_seconds: int = TWO_DAYS,
 ) -> DataFrame:
-    """Train on all but the newest hold-out of one horizon and score model and persistence."""
-    labelled = temporal_split(with_target(features, keys, ts, current, horizon_seconds), ts, holdout_seconds)
-    model = fit_delta_trees(labelled.where(F.col("split") == "train"), inputs, current, "target", settings)
-    return scores(predict(model, labelled, inputs, current), "target", "prediction", current)
+    """``features`` with target_0, split_0, ... for each horizon in turn, from one look-up.
+
+    A row without a target ahead has no split for that horizon; the cut of a horizon is its newest row that has
+    one, less the hold-out.
+    """
+    names = {f"target_{i}": seconds for i, seconds in enumerate(horizons.values())}
+    for column in (*keys, ts):
+        features = features.where(F.col(column).isNotNull())
+    ahead = offset_lookup(features, keys, ts, current, names)
+    cuts = ahead.agg(F.struct(*[shift(F.max(F.when(F.col(t).isNotNull(), F.col(ts))), -holdout_seconds).alias(t)
+                                for t in names]).alias("cuts")).scalar()
+    ahead = ahead.withColumn("_cuts", cuts)
+    return ahead.withColumns({f"split_{i}": F.when(F.col(t).isNotNull(), F.when(F.col(ts) <= F.col(f"_cuts.{t}"), "train").otherwise("test"))
+                              for i, t in enumerate(names)}).drop("_cuts")
+
+
+def horizon_baselines(
+    features: DataFrame, keys: Sequence[str], ts: str, current: str, horizons: Mapping[str, int], holdout_seconds: int = TWO_DAYS,
+) -> DataFrame:
+    """Set sizes and the scores of persistence for each horizon, one row each."""
+    table = horizon_targets(features, keys, ts, current, horizons, holdout_seconds)
+    return _per_horizon(table, horizons, lambda i: score_columns(f"target_{i}", current, current, f"split_{i}")).select(
+        "horizon", "n_tr", "n_te", "mae_b", "rmse_b")
+
+
+def _per_horizon(table: DataFrame, horizons: Mapping[str, int], measures) -> DataFrame:
+    """One aggregation over the table, one row per horizon."""
+    rows = [F.struct(F.lit(label).alias("horizon"), *[c.alias(name) for name, c in measures(i).items()])
+            for i, label in enumerate(horizons)]
+    return table.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def evaluate_horizons(
-    features: DataFrame, keys: Sequence[str], ts: str, current: str, inputs: Sequence[str],
-    horizons: Mapping[str, int], **options,
+    features: DataFrame, keys: Sequence[str], ts: str, current: str, inputs: Sequence[str], horizons: Mapping[str, int],
+    *, holdout_seconds: int = TWO_DAYS, settings: BoostedTrees = BoostedTrees(),
 ) -> DataFrame:
-    """:func:`evaluate` for several horizons (label -> seconds), one row each.
+    """Train on all but the newest hold-out of each horizon (label -> seconds) and score model and persistence.
 
-    The models are trained one after the other; the feature table is the shared input of all of
-    them, so hand over a stored one when building it is expensive.
+    Targets of all horizons and the assembled inputs are written once to the shared folder.  The horizons are
+    fitted at the same time, each in a scheduler pool of its own, so one model's short jobs fill the cores that
+    another one leaves idle; all predictions are scored in one pass.
     """
-    parts = [
-        evaluate(features, keys, ts, current, inputs, seconds, **options).withColumn("horizon", F.lit(label))
-        for label, seconds in horizons.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    spark = features.sparkSession
+    ensure_checkpoint_dir(spark)
+    usable, columns = _usable(horizon_targets(features, keys, ts, current, horizons, holdout_seconds), inputs)
+    ahead = [f"{kind}_{i}" for i in range(len(horizons)) for kind in ("target", "split")]
+    assembled = VectorAssembler(inputCols=columns, outputCol=_VECTOR).transform(usable).select(
+        F.col(current).cast("double").alias("current"), *ahead, _VECTOR)
+    path = scratch_path(spark, "horizons")
+    assembled.write.parquet(path)
+    table = spark.read.schema(assembled.schema).parquet(path)
+
+    def fit(i: int, label: str):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"forecast {label}")
+        train = table.where(F.col(f"split_{i}") == "train").select(
+            _VECTOR, (F.col(f"target_{i}") - F.col("current")).cast("double").alias("_delta"))
+        return _trees(settings, "_delta", f"_delta_{i}").fit(_few_partitions(train, train.count()))
+
+    with ThreadPoolExecutor(len(horizons)) as pool:
+        models = list(pool.map(inheritable_thread_target(spark)(fit), range(len(horizons)), horizons))
+    predicted = table
+    for i, model in enumerate(models):
+        predicted = model.transform(predicted).withColumn(
+            f"prediction_{i}", clip_low(F.col("current") + F.col(f"_delta_{i}")))
+    return _per_horizon(predicted, horizons, lambda i: score_columns(f"target_{i}", f"prediction_{i}", "current", f"split_{i}"))
+
+
+def evaluate(
+    features: DataFrame, keys: Sequence[str], ts: str, current: str, inputs: Sequence[str], horizon_seconds: int, **options,
+) -> DataFrame:
+    """:func:`evaluate_horizons` for one horizon."""
+    return evaluate_horizons(features, keys, ts, current, inputs, {"": horizon_seconds}, **options).drop("horizon")
 
 
 def importances(model: PipelineModel, inputs: Sequence[str], spark) -> DataFrame:
@@ -176,6 +245,6 @@ def importances(model: PipelineModel, inputs: Sequence[str], spark) -> DataFrame
 
 
 __all__ = [
-    "BoostedTrees", "evaluate", "evaluate_horizons", "fit_delta_trees", "importances", "lag_features", "predict", "scores",
-    "station_features", "station_rates", "station_series", "with_target",
+    "BoostedTrees", "evaluate", "evaluate_horizons", "fit_delta_trees", "horizon_baselines", "horizon_targets", "importances",
+    "lag_features", "predict", "score_columns", "scores", "station_features", "station_rates", "station_series", "with_target",
 ]

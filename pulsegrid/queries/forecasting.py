@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import clip_low
 from pulsegrid.operators import temporal_split
 from pulsegrid.plans.forecast import (
-    MINUTE, BoostedTrees, evaluate_horizons, fit_delta_trees, importances, scores, station_features, station_series, with_target,
+    MINUTE, BoostedTrees, evaluate_horizons, fit_delta_trees, horizon_baselines, importances, scores, station_features,
+    station_series, with_target,
 )
 from pulsegrid.plans.stations import FEATURES, HORIZONS
 from pulsegrid.session import scratch_path
@@ -83,10 +84,28 @@ def _features(spark, sf):
     return spark.read.parquet(path)
 
 
+_SECONDS = {label: minutes * MINUTE for label, minutes in HORIZONS.items()}
+
+
+@query("forecast_baselines", " UNION ALL ".join(f"""
+SELECT '{label}' AS horizon, count(*) FILTER (slot <= c) AS n_tr, count(*) FILTER (slot > c) AS n_te,
+  avg(abs(ahead - bikes)) FILTER (slot > c) AS mae_b, round(sqrt(avg((ahead - bikes) ^ 2) FILTER (slot > c)), 9) AS rmse_b
+FROM (SELECT a.slot, a.bikes, b.bikes AS ahead, max(a.slot) OVER () - INTERVAL '2 days' AS c
+      FROM slots a JOIN slots b ON a.user_id = b.user_id AND b.slot = a.slot + INTERVAL '{minutes} minutes')"""
+    for label, minutes in HORIZONS.items()).join(["""
+WITH once AS (SELECT user_id, ts, min(round(CAST(value AS DECIMAL(12,2)))) AS bikes FROM events GROUP BY user_id, ts),
+slots AS (SELECT user_id, time_bucket(INTERVAL '15 minutes', ts) AS slot, CAST(round_even(avg(CAST(bikes AS DOUBLE)), 0) AS BIGINT) AS bikes
+          FROM once GROUP BY user_id, slot)
+""", ""]))
+def forecast_baselines(spark, sf):
+    """What the trees of :func:`forecast_gbt` are measured against: set sizes and persistence for each horizon."""
+    out = horizon_baselines(_features(spark, sf), _KEYS, _TS, _BIKES, _SECONDS)
+    return out.withColumn("rmse_b", F.round("rmse_b", 9))
+
+
 @query("forecast_gbt")
 def forecast_gbt(spark, sf, settings=BoostedTrees()):
-    horizons = {label: minutes * MINUTE for label, minutes in HORIZONS.items()}
-    return evaluate_horizons(_features(spark, sf), _KEYS, _TS, _BIKES, FEATURES, horizons, settings=settings)
+    return evaluate_horizons(_features(spark, sf), _KEYS, _TS, _BIKES, FEATURES, _SECONDS, settings=settings)
 
 
 @query("feature_importance")
