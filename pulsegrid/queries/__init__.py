@@ -4,8 +4,8 @@ The tables stand in for telemetry: ``lineitem`` holds readings per part, ``part`
 entities, ``events`` is a time series per user (``value``, and ``k`` inside ``props``).
 """
 
-from . import audits, forecasting, messages, metrics, profiles, quality, serving, streams, timeseries
+from . import audits, forecasting, messages, metrics, profiles, quality, serving, storage, streams, timeseries
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "audits", "forecasting", "messages", "metrics", "profiles", "quality", "serving",
-           "streams", "timeseries"]
+           "storage", "streams", "timeseries"]

@@ -73,16 +73,18 @@ def skipped_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return present.join(read.select(plain("file").alias("path")), "path", "left_anti")
 
 
-def inventory(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
+def inventory(spark: SparkSession, roots: Mapping[str, str], gone_too: bool = False) -> DataFrame:
     """Objects below each root: zone, path, bytes, modification time.  Contents are not read.
 
+    A file that a stream's log still names but that is gone is an error, or left out with ``gone_too``.
+
     Names starting with ``_`` or ``.`` are hidden from a scan; pass a checkpoint or metadata
     folder as a root of its own to see it.
     """
     listing = None
     for zone, root in roots.items():
         part = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", gone_too).load(root)
             .select(F.lit(zone).alias("zone"), "path", F.col("length").alias("bytes"), "modificationTime")
         )
         listing = part if listing is None else listing.unionByName(part)
