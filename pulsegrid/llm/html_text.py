@@ -4,8 +4,11 @@ One pass of the standard-library parser turns a page into lines, one per block (
 item, cell, ...).  A line knows its text, the tags seen since the line before, the element that holds it and
 whether it lies in something that is never an article: menus, page headers, footers, sidebars, notices,
 adverts, forms, reader comments (by element, role, or the class or id of a container), scripts and styles.
-A container is judged by whole class tokens; outside an article also by ids and by tokens that end in such a
-name (not ``has-sidebar``).  Sections are not judged by id, headings never, nor what holds the first article or main.
+A container is judged by the words of its class tokens and ids: a name alone, one at the end (``user-comments``), or one followed
+by words that only say what kind of box it is (``comment-list``, ``ad-slot``), but not ``has-sidebar``.  Names that
+may also be part of an article (``header``, ``discussion``, ``related``) count less inside one; ids of sections count
+only if every word is a name or a kind of box.  Headings are never judged, nor what holds the first article or main.  A
+``header`` in ``main`` stays only if it holds a heading.
 
 Lines outside those are ranked by text length per tag, smoothed with a Gaussian along the page; lines at or
 above one standard deviation of the smoothed ratios are content.  A region is then completed: where content
@@ -34,15 +37,22 @@ _HIDDEN = frozenset("head script style noscript template iframe object svg math
 _ASIDE = frozenset("nav footer aside form menu dialog button select textarea fieldset datalist".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 _BOXES = frozenset("div section ul ol li dl table tbody tr td header figure details center".split())  # judged by name
+_HEADINGS = frozenset("h1 h2 h3".split())
 _LEAVES = frozenset("p li h1 h2 h3 h4 h5 h6 blockquote pre caption figcaption".split())
 _CELLS = frozenset("td th dt dd".split())
 _GRIDS = frozenset("tr tbody thead tfoot table dl".split())
-# words of class or id that name something beside the article
-_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promoted promotion nav navbar navigation "
-    "menu breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets cookie cookies consent gdpr notice "
-    "notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "related recommended comment comments commentlist disqus replies respond discussion pagination pager toolbar".split())
+# words of class or id that name something beside the article, whatever they are combined with ...
+_BESIDE = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promoted promotion nav navbar navigation menu "
+    "breadcrumb breadcrumbs sidebar widget widgets cookie cookies consent gdpr popup modal overlay newsletter subscribe "
+    "subscription signup login share sharing comment comments commentlist disqus pagination pager toolbar".split())
+# ... and those that may also name a part of one
+_NAMES = _BESIDE | frozenset("banner header masthead footer aside notice notices notification alert social related recommended "
+                             "replies respond discussion".split())
+# words that say only what kind of box it is
+_PARTS = frozenset("area articles bar block body bottom box button buttons container content count entry form frame group holder icons "
+                   "inner item items left link links list main news panel posts right row section slot stories text thread "
+                   "title top unit videos wrap wrapper".split())
 _NOT = frozenset("has have no not non with without is hide hidden".split())  # before a name: says something of a layout
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _BLANK = re.compile(r"\s+")
@@ -60,6 +70,7 @@ class _Lines(HTMLParser):
         self.parts: list[str] = []
         self.roots: list[tuple[int, int]] = []  # id, rank (2 article, 1 main)
         self.met = 0  # the highest rank met so far
+        self.headings, self.headers = 0, {}  # headings met; open headers of main: lines and headings before them
 
     def _flush(self) -> None:
         if self.parts:
@@ -92,6 +103,8 @@ class _Lines(HTMLParser):
             return
         if tag not in _INLINE:
             self._flush()
+            if tag in _HEADINGS:
+                self.headings += 1
             if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and self.named.get(tag):
                 self._implied(tag)
         self.count += 1
@@ -103,6 +116,8 @@ class _Lines(HTMLParser):
         rank = 2 if tag == "article" else 1 if tag == "main" or ("role", "main") in attrs else 0
         if hides:
             rank = 0
+        if tag == "header" and not hides and not any(r == 2 for _, r in self.roots):
+            self.headers[self.count] = (len(self.lines), self.headings)
         self.open.append((tag, hides, self.count, bool(rank)))
         self.named[tag] = self.named.get(tag, 0) + 1
         self.hides += hides > 0
@@ -127,21 +142,30 @@ class _Lines(HTMLParser):
         return False
 
     def _named(self, tag, attrs) -> bool:
+        """Whether class or id name a container as something beside the article."""
         if tag not in _BOXES:
             return False
         inside = any(rank == 2 for _, rank in self.roots)
         for name, value in attrs:
-            if name not in ("class", "id") or not value or (name == "id" and (inside or tag == "section")):
-                continue
-            for token in value.split():
-                words = [w.lower() for w in _WORD.findall(token)]
-                if inside:
-                    if token.lower() in _NAMES and token.lower() != "header":
+            if name in ("class", "id") and value:
+                for token in value.split():
+                    words = [w.lower() for w in _WORD.findall(token)]
+                    if words and words[0] not in _NOT and self._foreign(words, name, tag, inside):
                         return True
-                elif words and words[-1] in _NAMES and words[0] not in _NOT:
-                    return True
         return False
 
+    @staticmethod
+    def _foreign(words: list[str], name: str, tag: str, inside: bool) -> bool:
+        first, last = words[0], words[-1]
+        rest = all(w in _PARTS or w in _NAMES for w in words[1:])
+        if name == "id" and tag == "section":  # ids of sections are mostly slugs of their headings
+            return first in _BESIDE and rest
+        if len(words) == 1:
+            return first in _BESIDE or (first in _NAMES and name == "class" and not (inside and first == "header")) or (
+                first in _NAMES and not inside)
+        known = first in _BESIDE if inside and name == "id" else first in _NAMES - {"header"}
+        return known and rest or last in (_BESIDE if inside else _NAMES)
+
     def _implied(self, tag) -> None:
         """A new item ends an open one of its kind, unless a container was opened within it."""
         for name, *_ in reversed(self.open):
@@ -158,6 +182,11 @@ class _Lines(HTMLParser):
             self.hides -= hides > 0
             if is_root:
                 self.roots.pop()
+            if number in self.headers:  # a page's header, unless it holds the heading
+                since, headings = self.headers.pop(number)
+                if headings == self.headings:
+                    self._flush()
+                    del self.lines[since:]
             if name == tag:
                 return
 
@@ -201,7 +230,7 @@ def main_text(html: str | None) -> str:
     content = np.flatnonzero(ratio >= min(ratio.std(), ratio.max()))
     roots = {lines[i][3] for i in content} - {-1}
     holders = {lines[i][2] for i in content if lines[i][3] == -1} if not roots else set()
-    return "\n".join(t for t, _, holder, root in lines if root in roots or holder in holders)
+    return "\n\n".join(t for t, _, holder, root in lines if root in roots or holder in holders)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
