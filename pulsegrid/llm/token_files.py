@@ -1,7 +1,8 @@
 """Token-id shards with a minimal perfect hash index.
 
-A shard holds the documents of one range of ids (``width`` consecutive doc_ids, so its size is bounded
-whatever the table) in ascending order.  One row of the table is one shard file:
+A shard holds the documents of one range of ids (``width`` consecutive doc_ids) in ascending order; a range
+whose texts have more than ``most_bytes`` is cut into parts of about that size, so what a task holds is bounded
+by that and its longest document (all rows of one id count as one).  One row of the table is one shard file:
 
 * ``payload``: the raw little-endian ids of all documents, each closed by ``end_id``; 16 bits an id while
   the vocabulary allows, else 32 (``id_bytes``);
@@ -14,7 +15,7 @@ A look-up hashes the key to its bucket, applies the bucket's seed, compares the
 ``payload[start:start + count]``: constant time.  A foreign key passes with probability 2**-32.
 
 Shards are written and read by Spark, so they live wherever the cluster keeps its tables and a lost
-executor's shards are made again.  NULL or empty texts hold the end id alone; rows that repeat a doc_id lie
+executor's shards are made again.  Names of added tokens in a text are read as those tokens.  NULL or empty texts hold the end id alone; rows that repeat a doc_id lie
 beside each other, ordered by text, the key finds the
 first and scans find all; rows without a doc_id are left out;
 an empty table gives no shard.  Extra columns are ignored.
@@ -22,9 +23,12 @@ an empty table gives no shard.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -33,11 +37,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from .common import per_batch
 
 WIDTH = 512  # consecutive doc_ids of a shard
+MOST_BYTES = 32 << 20  # of the texts of a shard
 BLOCK = 4096  # shards whose sizes are summed in one task
-SHARD = ("shard long, n_docs long, n_tokens long, id_bytes int, end_id long, "
+SHARD = ("shard long, part int, n_docs long, n_tokens long, id_bytes int, end_id long, "
          "doc_ids binary, seeds binary, slots binary, payload binary")
 _SLOT = np.dtype([("start", "<u4"), ("count", "<u4"), ("print", "<u4")])
 _PER_BUCKET = 4
+_MARKS = frozenset(",.;:!?")  # each a pre-token of its own after letters and before a blank
 
 
 # --- minimal perfect hash ----------------------------------------------------------------------------
@@ -164,13 +170,15 @@ class WordEncoder:
 
     # fixed value: the pre-token pattern of byte-level BPE vocabularies
     _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    marks: dict[str, bytes] = {}
     _CUT, _ODD = re.compile(r" (?=\S)"), re.compile(r" (?=\s|$)")
 
     def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        # names of added tokens ("<|endoftext|>") stand for those tokens, as the library has it
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.pieces, self.tokens = _Memory(most), _Memory(most)
         self.blank = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
@@ -179,7 +187,7 @@ class WordEncoder:
         self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type)  # no offsets
 
     def _many(self, texts: list[str], between: str) -> Iterator[tuple[str, bytes]]:
         """(text, ids) of words that all begin with a blank, or of bare words with a line end between them."""
@@ -226,15 +234,44 @@ class WordEncoder:
         for name, tokens in cut.items():
             into[name] = b"".join([known[t] for t in tokens])
 
+    def _learn_tailed(self, pieces: list[str], into: dict[str, bytes]) -> list[str]:
+        """Ids of words of letters with one mark after them, from those of the word; returns the other pieces."""
+        tailed = [p for p in pieces if p[-1:] in _MARKS and p[:-1].isalpha()]
+        self._learn_words(self.pieces.missing({p[:-1] for p in tailed if p[:-1] not in into}), into)
+        if not self.marks:
+            self.marks = {mark: self._ids(mark).tobytes() for mark in _MARKS}
+        into.update((p, into[p[:-1]] + self.marks[p[-1]]) for p in tailed)
+        return [p for p in pieces if p not in into]
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        collecting = gc.isenabled()
+        gc.disable()  # many short-lived lists and no cycles
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         self.pieces.age()
-        cut = [self._CUT.split(t) if self._ODD.search(t) else t.split(" ") for t in texts]
+        whole = {i: self._ids(t).tobytes() for i, t in enumerate(texts) if any(name in t for name in self.added)}
+        cut = [[""] if i in whole else self._CUT.split(t) if self._ODD.search(t) else t.split(" ") for i, t in enumerate(texts)]
         known, heads = self.pieces.new, {}
-        unknown = self.pieces.missing({p for pieces in cut for p in pieces[1:] if p not in known})
+        first = [pieces.pop(0) for pieces in cut]
+        bodies: list[bytes | None] = []
+        for pieces in cut:
+            try:
+                bodies.append(b"".join(map(known.__getitem__, pieces)))
+            except KeyError:
+                bodies.append(None)
+        unknown = set(chain.from_iterable(pieces for pieces, body in zip(cut, bodies) if body is None))
+        unknown = self.pieces.missing(unknown.difference(known))
         self._learn_words([p for p in unknown if p.isalpha()], known)
-        self._learn({p: " " + p for p in unknown if not p.isalpha()}, known)
-        self._learn({pieces[0]: pieces[0] for pieces in cut}, heads)  # these have no blank before them
-        return [heads[pieces[0]] + b"".join(map(known.__getitem__, pieces[1:])) for pieces in cut]
+        rest = self._learn_tailed([p for p in unknown if p not in known], known)
+        self._learn({p: " " + p for p in rest}, known)
+        self._learn({text: text for text in first}, heads)  # these have no blank before them
+        return [whole[i] if i in whole else heads[head] + (b"".join(map(known.__getitem__, pieces)) if body is None else body)
+                for i, (head, pieces, body) in enumerate(zip(first, cut, bodies))]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # one per worker process and vocabulary
@@ -246,7 +283,7 @@ def _encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def make_shard(shard: int, doc_ids: np.ndarray, encoded: list[bytes], id_type: np.dtype, end_id: int) -> dict:
+def make_shard(shard: int, doc_ids: np.ndarray, encoded: list[bytes], id_type: np.dtype, end_id: int, part: int = 0) -> dict:
     """One shard row from documents in order."""
     end = np.array([end_id], id_type).tobytes()
     payload = end.join(encoded) + end
@@ -258,33 +295,43 @@ def make_shard(shard: int, doc_ids: np.ndarray, encoded: list[bytes], id_type: n
     slots["start"][slot_of] = starts
     slots["count"][slot_of] = counts
     slots["print"][slot_of] = _prints(keys)
-    return {"shard": shard, "n_docs": len(doc_ids), "n_tokens": int(counts.sum()),
+    return {"shard": shard, "part": part, "n_docs": len(doc_ids), "n_tokens": int(counts.sum()),
             "id_bytes": id_type.itemsize, "end_id": end_id, "doc_ids": doc_ids.astype("<i8").tobytes(),
             "seeds": seeds.astype("<u4").tobytes(),
             "slots": slots.tobytes(), "payload": payload}
 
 
-_SHARD_TYPE = pa.schema([(n, pa.int64()) for n in ("shard", "n_docs", "n_tokens")] + [("id_bytes", pa.int32()), (
+_SHARD_TYPE = pa.schema([("shard", pa.int64()), ("part", pa.int32())] + [(n, pa.int64()) for n in ("n_docs", "n_tokens")] + [("id_bytes", pa.int32()), (
     "end_id", pa.int64())] + [(n, pa.binary()) for n in ("doc_ids", "seeds", "slots", "payload")])
 
 
-def token_shards(docs: DataFrame, tokenizer: str, end_id: int = 2, width: int = WIDTH) -> DataFrame:
+def _parts(sizes: DataFrame, most_bytes: int) -> DataFrame:
+    """doc_id and part of the documents in ranges of more than ``most_bytes``, by running sums of their sizes."""
+    heavy = sizes.groupBy("shard").agg(F.sum("bytes").alias("all")).where(F.col("all") > most_bytes).select("shard")
+    per_id = sizes.join(heavy, "shard", "left_semi").groupBy("shard", "doc_id").agg(F.sum("bytes").alias("bytes"))
+    before = F.sum("bytes").over(Window.partitionBy("shard").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1))
+    return per_id.select("doc_id", F.floor(F.coalesce(before, F.lit(0)) / most_bytes).cast("int").alias("part"))
+
+
+def token_shards(docs: DataFrame, tokenizer: str, end_id: int = 2, width: int = WIDTH, most_bytes: int = MOST_BYTES) -> DataFrame:
     """The shards of ``docs`` (doc_id, text)."""
 
     def build(key: tuple, group: pa.Table) -> pa.Table:
         order = group.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         encoder = _encoder(tokenizer)
         encoded = encoder.encode(order["text"].to_pylist())
-        row = make_shard(key[0].as_py(), order["doc_id"].to_numpy(), encoded, encoder.type, end_id)
+        row = make_shard(key[0].as_py(), order["doc_id"].to_numpy(), encoded, encoder.type, end_id, key[1].as_py())
         return pa.Table.from_pylist([row], schema=_SHARD_TYPE)
 
     rows = docs.where("doc_id IS NOT NULL").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.floor(F.col("doc_id") / width).cast("long").alias("shard"))
-    return rows.groupBy("shard").applyInArrow(build, SHARD)
+    parts = _parts(rows.select("doc_id", "shard", F.octet_length("text").alias("bytes")), most_bytes)
+    placed = rows.join(parts, "doc_id", "left").select("doc_id", "text", "shard", F.coalesce("part", F.lit(0)).alias("part"))
+    return placed.groupBy("shard", "part").applyInArrow(build, SHARD)
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, width: int = WIDTH) -> None:
-    token_shards(docs, tokenizer, end_id, width).write.option("compression", "zstd").parquet(path)
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, width: int = WIDTH, most_bytes: int = MOST_BYTES) -> None:
+    token_shards(docs, tokenizer, end_id, width, most_bytes).write.option("compression", "zstd").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -292,19 +339,19 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
-    """shard and base: the number of ids in all shards before it.  Sums run within blocks of shards,
+    """shard, part and base: the number of ids in all shards before it.  Sums run within blocks of shards,
     then over one row per block."""
-    sizes = shards.select("shard", "n_tokens", F.floor(F.col("shard") / BLOCK).alias("block"))
-    inner = Window.partitionBy("block").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = shards.select("shard", "part", "n_tokens", F.floor(F.col("shard") / BLOCK).alias("block"))
+    inner = Window.partitionBy("block").orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)
     blocks = sizes.groupBy("block").agg(F.sum("n_tokens").alias("n"))
     blocks = blocks.select("block", F.coalesce(F.sum("n").over(
         Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     return sizes.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inner), F.lit(0))).join(blocks, "block").select(
-        "shard", (F.col("before") + F.col("inside")).alias("base"))
+        "shard", "part", (F.col("before") + F.col("inside")).alias("base"))
 
 
 def token_documents(shards: DataFrame) -> DataFrame:
-    """doc_id, shard, start in the shard, n_tokens and ids_crc32 of every document, each found by its key."""
+    """doc_id, shard and part, start in the shard, n_tokens and ids_crc32 of every document, each found by its key."""
 
     def look_up(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = []
@@ -313,14 +360,14 @@ def token_documents(shards: DataFrame) -> DataFrame:
             start, count = shard.where(_keys(ids))
             raw = shard.ids.astype("<u4")
             crcs = [zlib.crc32(raw[a:a + n]) for a, n in zip(start.tolist(), count.tolist())]
-            parts.append((ids, np.full(len(ids), row["shard"]), start, count, np.array(crcs, np.int64)))
+            parts.append((ids, np.full(len(ids), row["shard"]), np.full(len(ids), row["part"]), start, count, np.array(crcs, np.int64)))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*parts)],
-                                          names=["doc_id", "shard", "start", "n_tokens", "ids_crc32"])
+                                          names=["doc_id", "shard", "part", "start", "n_tokens", "ids_crc32"])
 
-    return shards.mapInArrow(per_batch(look_up), "doc_id long, shard long, start long, n_tokens long, ids_crc32 long")
+    return shards.mapInArrow(per_batch(look_up), "doc_id long, shard long, part long, start long, n_tokens long, ids_crc32 long")
 
 
 def corpus_positions(shards: DataFrame) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32, read from the files."""
-    return token_documents(shards).join(shard_starts(shards), "shard").select(
+    return token_documents(shards).join(shard_starts(shards), ["shard", "part"]).select(
         "doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")

@@ -13,13 +13,12 @@ from pulsegrid.llm.token_files_queries import byte_bpe
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(byte_bpe())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_ids_are_the_librarys(library):
     draw = random.Random(3)
-    parts = ["a", "B", " ", "  ", "\n", "\t", "'s", "1", "é", " ", "\x1c", "<|endoftext|>", "你", "!", "   ", "\r", "Ġ", "x́", " the"]
+    parts = ["word,", "Ab.", "x;", "é!", "ß:", "a", "B", " ", "  ", "\n", "\t", "'s", "1", "é", " ", "\x1c", "<|endoftext|>", "你", "!", "   ", "\r", "Ġ", "x́", " the"]
     texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(30))) for _ in range(4000)] + ["", " ", "  ", "a ", "\n\n a"]
     encoder = WordEncoder(byte_bpe(), most=500)  # forgets often
     for at in range(0, len(texts), 200):
@@ -46,6 +45,16 @@ def test_positions_read_back(spark, docs, library, tmp_path, monkeypatch):
     assert sorted(map(tuple, found.select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == expected(rows, library)
 
 
+def test_ranges_of_many_bytes_are_cut_into_parts(spark, docs, library, tmp_path):
+    rows = [(i, f"text {i} " * (20 if i % 7 else 400)) for i in range(90)] + [(3, "again"), (3, "again")]
+    path = str(tmp_path / "tokens")
+    write_token_files(docs(*rows), path, byte_bpe(), width=64, most_bytes=4000)
+    shards = read_token_files(spark, path)
+    assert shards.count() > 10 and shards.where("part > 3").count()
+    found = corpus_positions(shards)
+    assert sorted(map(tuple, found.select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == expected(rows, library)
+
+
 def test_no_documents(spark, docs, tmp_path):
     write_token_files(docs((1, "a")).limit(0), str(tmp_path / "none"), byte_bpe())
     assert corpus_positions(read_token_files(spark, str(tmp_path / "none"))).count() == 0
