@@ -41,9 +41,9 @@ from .recurrent import Recurrent
 class LmSettings:
     vocabulary: int = 2046
     frequent: int = 200_000
-    hidden: int = 32
-    fit_docs: int = 1000  # laid out at a time; all are learnt from
-    epochs: int = 2
+    hidden: int = 16
+    fit_docs: int = 2000  # laid out at a time; all are learnt from
+    epochs: int = 1
     alpha: float = 0.1
 
 
@@ -119,6 +119,7 @@ def _numbered(ids: dict[bytes, int], other: int, batch: pa.RecordBatch) -> pa.Re
 
 _SLICES = (0, 1, 4, 16)  # the rounds of an epoch: weights are first averaged while tasks have learnt little
 _CHUNK = 4096  # weights in a row
+_GROUP = 256  # tasks whose weights are averaged at a time
 _LESSON = "task int, chunk int, tokens long, weights binary"
 
 
@@ -145,24 +146,30 @@ def _learnt(start, end: int, fit_docs: int, rate: float, batches):
 
 
 def _mean(key: tuple, group: pa.Table) -> pa.Table:
+    """The mean of weights of one chunk by tokens, under the first task's number."""
     group = group.sort_by("task")
     total, tokens = 0.0, group["tokens"].to_numpy()
     for n, raw in zip(tokens.tolist(), group["weights"]):
         total = total + n * np.frombuffer(raw.as_py(), np.float32).astype(np.float64)
-    return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "tokens": pa.array([tokens.sum()], pa.int64()),
+    return pa.table({"task": group["task"].slice(0, 1), "chunk": pa.array([key[0].as_py()], pa.int32()),
+                     "tokens": pa.array([tokens.sum()], pa.int64()),
                      "weights": pa.array([(total / tokens.sum()).astype(np.float32).tobytes()], pa.binary())})
 
 
-def fit(model: Recurrent, lessons: DataFrame, end: int, of: LmSettings, rate: float = 0.004) -> int:
-    """Fits ``model`` to all rows of ``lessons`` in each epoch; the number of tokens learnt from."""
+def fit(model: Recurrent, lessons: DataFrame, end: int, of: LmSettings, rate: float = 0.01) -> int:
+    """Fits ``model`` to all rows of ``lessons`` in each epoch; the number of tokens learnt from.
+
+    Tasks' weights are averaged by groups of tasks first, so no task holds those of all.
+    """
     context, learnt = lessons.sparkSession.sparkContext, 0
     for epoch in range(of.epochs):
-        pace = rate * (0.3 if epoch == of.epochs - 1 else 1.0)
         for low, high in zip(_SLICES, _SLICES[1:]):
+            pace = rate * (0.4 if epoch == of.epochs - 1 and high == _SLICES[-1] else 1.0)
             start = context.broadcast(model)
             some = lessons.where((F.col("slice") >= low) & (F.col("slice") < high)).select("ids")
-            found = some.mapInArrow(partial(_learnt, start, end, of.fit_docs, pace), _LESSON).groupBy("chunk").applyInArrow(
-                _mean, "chunk int, tokens long, weights binary").collect()  # as many rows as the model has chunks
+            found = some.mapInArrow(partial(_learnt, start, end, of.fit_docs, pace), _LESSON)
+            found = found.groupBy("chunk", F.floor(F.col("task") / _GROUP)).applyInArrow(_mean, _LESSON)
+            found = found.groupBy("chunk").applyInArrow(_mean, _LESSON).collect()  # as many rows as the model has chunks
             start.unpersist()
             if found:
                 found.sort(key=lambda r: r.chunk)
@@ -182,7 +189,9 @@ def lm_scores(docs: DataFrame, of: LmSettings = LmSettings()) -> DataFrame:
     n, v = sums[0] + ends, sums[1] + (ends > 0)
     below = n + of.alpha * (v + 1)
 
-    top = counts.where(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(of.frequent).toPandas()  # bounded
+    # written first: collecting a limit sends as many rows from every partition
+    top = store.save(counts.where(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(of.frequent), "top")
+    top = top.orderBy(F.desc("n"), "word").toPandas()  # bounded
     frequent = [bytes(w) for w in top["word"]]
     size = min(of.vocabulary, len(frequent))
     top_counts = top["n"].to_numpy(np.float64)

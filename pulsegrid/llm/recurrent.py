@@ -2,35 +2,65 @@
 
 from __future__ import annotations
 
+import ctypes
+from functools import cache
+from pathlib import Path
+
 import numpy as np
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+@cache
+def one_thread() -> bool:
+    """Keeps numpy's matrix products in the calling thread: for small ones the others only wait, at full speed."""
+    for library in Path(np.__file__).parent.parent.glob("numpy.libs/*openblas*"):
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(found := ctypes.CDLL(str(library)), name):
+                getattr(found, name)(1)
+                return True
+    return False
 
 
 class Recurrent:
-    """Token ids are grouped in classes of ``per_class`` consecutive ids: P(token) = P(class) * P(token in class).
+    """P(token) = P(class) * P(token in class).
+
+    Classes are cut from the tokens in the order of their frequency, each as soon as its share of all tokens
+    times its size comes to ``WIDTH`` or its share to ``SHARE``: frequent tokens share a class with few others or none, so
+    most targets need a short softmax.  Inside, tokens are numbered in that order.
 
     ``frequency`` (of every token, over all training texts) sets the output biases, so an untrained model is
     the unigram model of the corpus.
     """
 
     NAMES = ("inputs", "carry", "to_class", "class_bias", "to_token", "token_bias")
+    WIDTH, SHARE = 1.0, 0.04
 
     def __init__(self, frequency: np.ndarray, hidden: int = 32, seed: int = 5):
         size = len(frequency)
-        self.hidden, self.per_class = hidden, max(1, int(np.ceil(np.sqrt(size))))
-        self.classes = -(-size // self.per_class)
+        self.hidden = hidden
         draw = np.random.default_rng(seed)
         share = (frequency + 0.5) / (frequency + 0.5).sum()
-        in_class = np.add.reduceat(share, np.arange(0, size, self.per_class))
+        order = np.argsort(-share, kind="stable")
+        self.number = np.empty(size, np.int32)  # inside, of each token
+        self.number[order] = np.arange(size, dtype=np.int32)
+        share = share[order]
+        starts, mass = [0], 0.0
+        for at, own in enumerate(share.tolist()):
+            mass += own
+            if mass * (at + 1 - starts[-1]) >= self.WIDTH or mass >= self.SHARE:
+                starts.append(at + 1)
+                mass = 0.0
+        if starts[-1] == size:
+            starts.pop()
+        self.starts = np.array([*starts, size])
+        self.classes = len(starts)
+        self.class_of = np.repeat(np.arange(self.classes, dtype=np.int16), np.diff(self.starts))
+        in_class = np.add.reduceat(share, self.starts[:-1])
         small = lambda *shape: draw.normal(0, 0.1, shape)
         self.inputs = small(size, 3 * hidden)  # update, reset and candidate of a one-hot input
         self.carry = small(hidden, 3 * hidden)
         self.to_class, self.class_bias = small(hidden, self.classes), np.log(in_class)
         self.to_token = small(size, hidden)
-        self.token_bias = np.log(share / in_class[np.arange(size) // self.per_class])
+        self.token_bias = np.log(share / in_class[self.class_of])
         self._set(np.float32)
 
     def _set(self, kind) -> None:
@@ -41,32 +71,41 @@ class Recurrent:
         """Next state, and what the way back needs."""
         h = self.hidden
         x = self.inputs[tokens]
-        gates = _sigmoid(x[:, :2 * h] + state @ self.carry[:, :2 * h])
+        gates = state @ self.carry[:, :2 * h]
+        gates += x[:, :2 * h]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
         update, reset = gates[:, :h], gates[:, h:]
         kept = reset * state
-        fresh = np.tanh(x[:, 2 * h:] + kept @ self.carry[:, 2 * h:])
-        return state + update * (fresh - state), (tokens, state, update, reset, kept, fresh)
+        fresh = kept @ self.carry[:, 2 * h:]
+        fresh += x[:, 2 * h:]
+        np.tanh(fresh, out=fresh)
+        after = fresh - state
+        after *= update
+        after += state
+        return after, (tokens, state, update, reset, kept, fresh)
 
     def _by_class(self, targets: np.ndarray):
-        """(class, rows of its targets) for every class that occurs."""
-        of = (targets // self.per_class).astype(np.int16)
+        """First and last number and the rows of the targets of every class that occurs and holds several tokens."""
+        of = self.class_of[targets]
         order = np.argsort(of, kind="stable")
         ends = np.cumsum(np.bincount(of, minlength=self.classes))
         start = 0
-        for number, end in enumerate(ends.tolist()):
-            if end > start:
-                yield number, order[start:end]
+        for low, high, end in zip(self.starts[:-1].tolist(), self.starts[1:].tolist(), ends.tolist()):
+            if end > start and high - low > 1:
+                yield low, high, order[start:end]
             start = end
 
     def log_prob(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log-probability of each target after each state."""
+        """Natural log-probability of each target (by number) after each state."""
         scores = states @ self.to_class + self.class_bias
         np.minimum(scores, 60, out=scores)
-        out = scores[np.arange(len(targets)), targets // self.per_class]
+        out = scores[np.arange(len(targets)), self.class_of[targets]]
         out = out - np.log(np.exp(scores, out=scores).sum(axis=1))
-        for number, rows in self._by_class(targets):
-            low = number * self.per_class
-            scores = states[rows] @ self.to_token[low:low + self.per_class].T + self.token_bias[low:low + self.per_class]
+        for low, high, rows in self._by_class(targets):
+            scores = states[rows] @ self.to_token[low:high].T + self.token_bias[low:high]
             np.minimum(scores, 60, out=scores)
             own = scores[np.arange(len(rows)), targets[rows] - low]
             out[rows] += own - np.log(np.exp(scores, out=scores).sum(axis=1))
@@ -80,6 +119,8 @@ class Recurrent:
         All texts advance together, the longest first, so finished ones drop off at the back; states are
         carried from window to window until the text ends.
         """
+        one_thread()
+        texts, end = [self.number[t] for t in texts], int(self.number[end])
         total = np.zeros(len(texts))
         sizes = np.array([len(t) for t in texts], np.int64)
         order = np.argsort(-sizes, kind="stable")
@@ -137,13 +178,12 @@ class Recurrent:
         scores = flat @ self.to_class + self.class_bias
         p = np.exp(scores - scores.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(goal)), goal // self.per_class] -= 1
+        p[np.arange(len(goal)), self.class_of[goal]] -= 1
         p *= scale
         slope["to_class"], slope["class_bias"] = flat.T @ p, p.sum(axis=0)
         back = p @ self.to_class.T
-        for number, rows in self._by_class(goal):
-            low = number * self.per_class
-            span = slice(low, low + self.per_class)
+        for low, high, rows in self._by_class(goal):
+            span = slice(low, high)
             own = flat[rows]
             p = own @ self.to_token[span].T + self.token_bias[span]
             p = np.exp(p - p.max(axis=1, keepdims=True))
@@ -185,10 +225,16 @@ class Learner:
         self.model, self.rate, self.count = model, rate, 0
         self.means = {n: [np.zeros_like(getattr(model, n)), np.zeros_like(getattr(model, n))] for n in model.NAMES}
 
-    def learn(self, texts: list[np.ndarray], end: int, streams: int = 64, window: int = 32) -> int:
-        """One pass over all tokens of the texts, their ends included; how many there were."""
-        flat = np.concatenate([np.append(t, end) for t in texts])
+    def learn(self, texts: list[np.ndarray], end: int, streams: int | None = None, window: int = 32) -> int:
+        """One pass over all tokens of the texts, their ends included; how many there were.
+
+        Unless given, ``streams`` grows with the tokens, so that a pass makes 128 updates or more.
+        """
+        one_thread()
+        end = int(self.model.number[end])
+        flat = np.concatenate([np.append(self.model.number[t], np.int32(end)) for t in texts])
         before = np.append(end, flat[:-1])
+        streams = streams or min(256, max(8, len(flat) // (128 * window)))
         width = len(flat) // streams
         if width < 2:
             streams, width = 1, len(flat)
