@@ -32,17 +32,23 @@ class Stored:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, scratch_path(spark, label)
+        self.names: list[str] = []
 
     def save(self, frame: DataFrame, name: str, **options: str) -> DataFrame:
         path = f"{self.root}/{name}"
+        self.names.append(name)
         frame.write.options(**options).parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def drop_all(self) -> None:
+        self.drop(*self.names)
+
     def drop(self, *names: str) -> None:
         jvm = self.spark._jvm
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.names = [name for name in self.names if name not in names]
 
 
 def binary_text(column: str | Column = "text") -> Column:

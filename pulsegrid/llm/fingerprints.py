@@ -5,8 +5,7 @@ The set of spots of a text is its fingerprint, written as sorted 32-bit hashes i
 fingerprints and an edit touches only the spots it overlaps.  Texts with few common words (less than one spot
 in ``SPARSE`` words: tables, lists, noise) add a spot for every word and its follower.
 
-Sets are compared by intersection over union.  Set lengths are partitioned first: a pair whose lengths alone
-bound the likeness below ``LEAST`` counts as 0 and its sets are not intersected.
+Sets are compared by intersection over union, whatever their lengths.
 
 The next document in order of doc_id is found without a global sort: rows go to chunks of ``SPAN`` consecutive
 ids (each bounded by the ids it spans), and the first row of every chunk also goes to the chunk before it.
@@ -29,7 +28,7 @@ COMMON = (
     "de", "la", "le", "les", "et", "un", "une", "du", "en", "que", "qui", "dans", "est", "pour", "par", "el", "los", "y", "las",
     "del", "se", "por", "con", "su", "para", "no", "|",
 )
-CHAIN, SPARSE, LEAST = 3, 8, 0.05
+CHAIN, SPARSE = 3, 8
 SPAN, BLOCK = 256, 4096  # ids of a chunk; chunks whose order is settled in one task
 
 # blanks before a common word (with marks around it or not) that begins a spot
@@ -61,10 +60,9 @@ def fingerprint(of: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Intersection over union; 0 where the lengths prove it below LEAST, 1 for two empty sets."""
-    short, long = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+    """Intersection over union; 1 for two empty sets."""
     common = F.size(F.array_intersect(a, b))
-    return (F.when(long == 0, 1.0).when(short < LEAST * long, 0.0)
+    return (F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0)
             .otherwise(common / (F.size(a) + F.size(b) - common)))
 
 

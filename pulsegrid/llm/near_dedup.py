@@ -56,6 +56,10 @@ class NearDedup:
     seed: int = 7
 
 
+SALTS = 16  # tasks that the copies of one text are dealt to
+BROADCAST_IDS = 1_000_000  # most ids sent to all tasks
+
+
 class _WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
@@ -259,13 +263,26 @@ def _shared(texts: DataFrame, of: NearDedup) -> DataFrame:
     return seen.join(several, "rep").select("rep", "n", F.when(F.col("texts") == 1, F.col("shared")).alias("shared"))
 
 
-def near_duplicates(docs: DataFrame, of: NearDedup = NearDedup()) -> DataFrame:
+def _copies(signed: DataFrame) -> DataFrame:
+    """Documents with a set, their ``rep`` (the smallest doc_id of equal sets), and the signature of representatives.
+
+    Only sets that occur again are looked up, and their representatives are dealt over ``SALTS`` tasks, so the
+    copies of one text meet theirs in many places.
+    """
+    signed = signed.where("same IS NOT NULL")
+    again = signed.groupBy("same").agg(F.min("doc_id").alias("first"), F.count("*").alias("times")).where("times > 1")
+    again = again.select("same", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = signed.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    rep = F.coalesce("first", "doc_id")
+    met = dealt.select("doc_id", "n_shingles", "same", "salt", "signature").join(again, ["same", "salt"], "left")
+    return met.select("doc_id", "n_shingles", rep.alias("rep"), F.when(F.col("doc_id") == rep, F.col("signature")).alias("signature"))
+
+
+def near_duplicates(docs: DataFrame, of: NearDedup = NearDedup(), store: Stored | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id connected) and kept (whether it is that document)."""
-    store = Stored(docs.sparkSession, "near")
+    store = store or Stored(docs.sparkSession, "near")
     signed = store.save(signatures(docs, of), "signed")
-    first = signed.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"))
-    copies = store.save(signed.join(first, "same").select("doc_id", "n_shingles", "rep", F.when(
-        F.col("doc_id") == F.col("rep"), F.col("signature")).alias("signature")), "copies")
+    copies = store.save(_copies(signed), "copies")
     single = signed.where("same IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     reps = copies.where("signature IS NOT NULL").select("rep", "signature")
 
@@ -333,10 +350,17 @@ def near_duplicates(docs: DataFrame, of: NearDedup = NearDedup()) -> DataFrame:
 def keep_first(docs: DataFrame, of: NearDedup = NearDedup()) -> DataFrame:
     """The rows of ``docs`` without those near an earlier one; rows without a doc_id stay, of rows that
     repeat a doc_id one stays."""
-    found = Stored(docs.sparkSession, "near").save(near_duplicates(docs, of), "classes")
+    store = Stored(docs.sparkSession, "near")
+    found = Stored(docs.sparkSession, "classes").save(near_duplicates(docs, of, store), "classes")
+    store.drop_all()
     again = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     gone = found.where("NOT kept").select("doc_id")
+
+    def small(ids: DataFrame) -> DataFrame:
+        """Ids that are few enough go to all tasks, so that texts stay where they are; others are joined by exchange."""
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
     if again.isEmpty():
-        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+        return docs.join(small(gone), "doc_id", "left_anti").select(docs.columns)
     once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return docs.join(gone.unionByName(again), "doc_id", "left_anti").select(docs.columns).unionByName(once)
+    return docs.join(small(gone.unionByName(again)), "doc_id", "left_anti").select(docs.columns).unionByName(once)

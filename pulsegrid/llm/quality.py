@@ -154,8 +154,12 @@ def fit_quality(features: DataFrame, labels: DataFrame, fit_rows: int = 20_000,
                .where("q = 1").select("doc_id"))
     positives = seen.join(trusted, "doc_id", "left_semi")
 
+    store, drawn = Stored(features.sparkSession, "quality-sample"), []
+
     def sample(rows: DataFrame) -> np.ndarray:  # bounded by fit_rows
-        rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select(*FEATURES)
+        # written first: collecting a limit sends as many rows from every partition
+        drawn.append(f"drawn{len(drawn)}")
+        rows = store.save(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select(*FEATURES), drawn[-1])
         return rows.toPandas().to_numpy(np.float32).reshape(-1, len(FEATURES))
 
     model = Model([np.unique(np.array(cuts[f], np.float32)) for f in FEATURES])

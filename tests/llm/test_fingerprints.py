@@ -48,7 +48,7 @@ def test_texts_without_common_words_are_compared_too(docs):
 
 
 def test_likeness(spark):
-    cases = [([1, 2, 3, 4], [3, 4, 5], 0.4), ([], [], 1.0), ([1], [], 0.0), ([1], list(range(1, 30)), 0.0)]
+    cases = [([1, 2, 3, 4], [3, 4, 5], 0.4), ([], [], 1.0), ([1], [], 0.0), ([1], list(range(1, 31)), 1 / 30)]
     frame = spark.createDataFrame([(a, b) for a, b, _ in cases], "a array<int>, b array<int>")
     assert [r[0] for r in frame.select(likeness(F.col("a"), F.col("b"))).collect()] == [c for *_, c in cases]
 
