@@ -53,5 +53,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES):
-            docs = store.save(docs, name)
+            docs, before = store.save(docs, name), store.names[:-1]
+            store.drop(*before)  # the stage's result holds all that later ones read
     return docs
