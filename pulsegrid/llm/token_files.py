@@ -34,10 +34,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import per_batch
+from .common import Stored, per_batch
 
 WIDTH = 512  # consecutive doc_ids of a shard
 MOST_BYTES = 32 << 20  # of the texts of a shard
+BROADCAST_PARTS = 1_000_000  # documents of cut ranges that are sent to all tasks; more are joined by exchange
 BLOCK = 4096  # shards whose sizes are summed in one task
 SHARD = ("shard long, part int, n_docs long, n_tokens long, id_bytes int, end_id long, "
          "doc_ids binary, seeds binary, slots binary, payload binary")
@@ -325,7 +326,10 @@ def token_shards(docs: DataFrame, tokenizer: str, end_id: int = 2, width: int =
 
     rows = docs.where("doc_id IS NOT NULL").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.floor(F.col("doc_id") / width).cast("long").alias("shard"))
-    parts = _parts(rows.select("doc_id", "shard", F.octet_length("text").alias("bytes")), most_bytes)
+    parts = Stored(docs.sparkSession, "token-parts").save(
+        _parts(rows.select("doc_id", "shard", F.octet_length("text").alias("bytes")), most_bytes), "parts")
+    if parts.count() <= BROADCAST_PARTS:  # as a rule there are few: texts are then exchanged once
+        parts = F.broadcast(parts)
     placed = rows.join(parts, "doc_id", "left").select("doc_id", "text", "shard", F.coalesce("part", F.lit(0)).alias("part"))
     return placed.groupBy("shard", "part").applyInArrow(build, SHARD)
 
