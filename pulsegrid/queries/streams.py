@@ -6,7 +6,9 @@ from pulsegrid.plans.curate import CurateSpec
 from pulsegrid.session import scratch_path
 from pulsegrid.sources import envelope, parquet_stream, payload_columns, read_published
 from pulsegrid.sources.messages import ENVELOPE
-from pulsegrid.streaming import JobFolders, deduplicated, start_append, start_curated, start_raw
+from pulsegrid.streaming import (
+    ExactSpec, JobFolders, apply_batch, deduplicated, read_exact, start_append, start_curated, start_exact, start_raw,
+)
 
 from .registry import EVENTS_SQL, query, table
 
@@ -56,6 +58,47 @@ def stream_raw_to_clean(spark, sf):
     return rows.select("key", F.col("kafka_timestamp").cast("timestamp_ntz").alias("ts"), "user_id", "k", "event_type")
 
 
+def _exact(spark, sf):
+    """Messages as landed, every tenth cut short, through the exact job; the first batch's messages are applied again."""
+    landed = spark.read.parquet(_landed(spark, sf))
+    broken = F.when(F.col("key").cast("long") % 10 == 0, F.substring("value", 1, 5)).otherwise(F.col("value"))
+    folder, root = scratch_path(spark, "broken"), scratch_path(spark, "exact")
+    landed.withColumn("value", broken).repartition(12).write.parquet(folder)
+
+    def parsed(rows):
+        return rows.withColumn("m", F.from_json("value", _PAYLOAD)).select(
+            "key", "value", F.col("timestamp").alias("kafka_timestamp"), "m.user_id", "m.k", "m.event_type")
+
+    spec = ExactSpec(root, ["key"], "kafka_timestamp", F.col("user_id").isNotNull(), raw=["key", "value", "kafka_timestamp"], cuts=1, pages=1)
+    _drain(start_exact(parsed(parquet_stream(spark, folder, _TOPIC, files_per_trigger=3)), spec, every=None))
+    last = read_exact(spark, spec, "counts").agg(F.max("batch")).first()[0]
+    again = read_exact(spark, spec, "bad")            # a batch of known bad ones and all clean rows: nothing is new
+    rows = read_exact(spark, spec).unionByName(parsed(again.select("key", "value", F.col("kafka_timestamp").alias("timestamp"))))
+    for _ in range(2):                                # applied twice, as after a failure
+        apply_batch(rows, last + 1, spec)
+    return spec
+
+
+@query("stream_exact_clean", f"""
+WITH {EVENTS_SQL} SELECT CAST(event_id AS VARCHAR) AS key, ts, user_id, k, event_type FROM ev WHERE event_id % 10 > 0
+""")
+def stream_exact_clean(spark, sf):
+    rows = read_exact(spark, _exact(spark, sf))
+    return rows.select("key", F.col("kafka_timestamp").cast("timestamp_ntz").alias("ts"), "user_id", "k", "event_type")
+
+
+# views arrive twice; bad ones are kept as they came; the last batch brings everything once more
+@query("stream_fanout_counts", """
+WITH n AS (SELECT count(*) AS sent, count(*) FILTER (event_id % 10 > 0) AS good, count(*) FILTER (event_type = 'view') AS views,
+    count(*) FILTER (event_type = 'view' AND event_id % 10 > 0) AS good_views FROM events)
+SELECT sent + views + good + (sent - good) + (views - good_views) AS n_read, good + good_views + good AS n_good,
+       2 * (sent - good + views - good_views) AS n_bad, good AS n_clean, good_views + good AS n_repeated FROM n
+""")
+def stream_fanout_counts(spark, sf):
+    counts = read_exact(spark, _exact(spark, sf), "counts")
+    return counts.agg(*[F.sum(c).cast("long").alias(c) for c in ("n_read", "n_good", "n_bad", "n_clean", "n_repeated")])
+
+
 _LIVE = CurateSpec(
     key="user_id", newest_by=["kafka_timestamp", "key"], part="k", whole="capacity",
     reference_fields=["capacity", "zone"], reference_newest_by=["capacity", "zone"],

@@ -1,3 +1,4 @@
+from .exact import ExactSpec, apply_batch, read_exact, start_exact
 from .jobs import (
     JobFolders, clean_info, clean_status, clean_weather, deduplicated, latest_reference, progress_rows, run_curation, start_append,
     start_curated, start_raw, start_reference, start_station_clean, start_station_curated,
@@ -5,6 +6,7 @@ from .jobs import (
 )
 
 __all__ = [
+    "ExactSpec", "apply_batch", "read_exact", "start_exact",
     "JobFolders", "clean_info", "clean_status", "clean_weather", "deduplicated", "latest_reference", "progress_rows",
     "run_curation", "start_append", "start_curated", "start_raw", "start_reference",
     "start_station_clean", "start_station_curated", "start_station_raw", "station_tables",

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 QUERIES = entry.queries()
 # these run jobs of their own while the query is built
 EAGER = {"forecast_gbt", "feature_importance", "kmeans_profiles", "stream_raw_to_clean", "stream_curated",
-         "compaction_preserves_rows", "compaction_live", "schema_promotion", "sorted_lookup", "write_integrity", "mixed_source_union", "csv_roundtrip", "format_sizes"}
+         "compaction_preserves_rows", "compaction_live", "stream_exact_clean", "stream_fanout_counts", "schema_promotion", "sorted_lookup", "write_integrity", "mixed_source_union", "csv_roundtrip", "format_sizes"}
 
 
 def plan(df):
