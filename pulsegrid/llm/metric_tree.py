@@ -12,10 +12,10 @@ every entry its distance from the page's object.
 Blocks of queries meet every tree.  Within a tree a query visits pages in the order of their lower bounds
 (best first) and stops when the bound passes its k-th best; pages whose distance to the root object already rules
 them out are not measured, and entries whose distance from the page's object rules them out are not multiplied.
-Bounds carry slack for rounding; scores are exact integer products.
+Bounds carry slack for rounding; scores are exact integer products, in Python's integers where a long could overflow.
 
-Rows: vectors that are NULL, empty or hold NULL or non-finite components (or such of 2**20 and
-more, whose products leave the range of a long) take no part; vectors of another length than the query's do
+Rows: vectors that are NULL, empty or hold NULL or non-finite components take no part.  Components and scores that
+leave the range of a long stand at its end (scores there tie); vectors of another length than the query's do
 not meet it; repeated vectors tie
 and the smaller vec_id wins; of rows that repeat a query's id the smallest vector asks, and none of
 them answers; an empty table gives no rows.  Extra columns are
@@ -35,6 +35,7 @@ from .common import Stored, per_batch
 
 
 NONE = np.iinfo(np.int64).min + 1  # score of an empty place; its negative is still a number
+LEAST, MOST = NONE + 1, np.iinfo(np.int64).max  # scores beyond stand here
 
 
 @dataclass(frozen=True)
@@ -51,10 +52,10 @@ class TreeSettings:
 def integral(vectors: DataFrame, scale: float = 256.0) -> DataFrame:
     """vec_id and v = floor(scale * component) as array of long, without unusable vectors."""
     x = F.transform("embedding", lambda c: c.cast("double") * scale)
-    # larger components could leave the range of an integer score
-    usable = (F.size("embedding") > 0) & F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < 2.0**20))
+    usable = (F.size("embedding") > 0) & F.forall(
+        "embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")))
     return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable).select(
-        "vec_id", F.transform(x, lambda c: F.floor(c).cast("long")).alias("v"))
+        "vec_id", F.transform(x, lambda c: F.greatest(F.least(F.floor(F.greatest(F.least(c, F.lit(2.0**63)), F.lit(-(2.0**63)))), F.lit(MOST)), F.lit(-MOST))).alias("v"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -67,7 +68,9 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if most < 2.0**53:
         return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    if most < 2.0**62:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    return np.clip(a.astype(object) @ b.astype(object).T, LEAST, MOST).astype(np.int64)
 
 
 class Tree:
@@ -86,7 +89,7 @@ class Tree:
         self.root = points.mean(axis=0)
         self.to_root = np.sqrt(((parents - self.root) ** 2).sum(axis=1))  # pages' parent distances
         self.limit = limit
-        self.slack = 1e-9 * (1 + limit) + 1e-7
+        self.slack = 1e-7 * (1 + limit)  # roots of differences of squares lose half their digits
 
     @staticmethod
     def _pages(points: np.ndarray, page_rows: int):
@@ -148,7 +151,7 @@ class Tree:
                 first = np.lexsort((ids, -scores), axis=1)[:, :k]
                 best[0][rows], best[1][rows] = (np.take_along_axis(x, first, axis=1) for x in (scores, ids))
                 worst = best[0][rows, -1]
-                kth[rows] = np.where(worst == NONE, np.inf, np.sqrt(np.maximum(squares[rows] + self.limit**2 - 2.0 * worst, 0)))
+                kth[rows] = np.where(worst <= LEAST, np.inf, np.sqrt(np.maximum(squares[rows] + self.limit**2 - 2.0 * worst, 0)))
         return best[1], best[0]
 
 

@@ -49,3 +49,18 @@ def test_few_and_no_rows(spark):
     assert found(spark, [(0, [1.0])]) == []
     assert found(spark, [(0, [1.0]), (7, [0.5])]) == [(0, 1, 7, 256 * 128)]
     assert found(spark, [(1, None)]) == []
+
+
+def test_large_components_take_part(spark):
+    draw = random.Random(8)
+    rows = [(i, [draw.choice([-1, 1]) * 2.0 ** draw.randint(-4, 20), draw.random(), 2.0 ** draw.randint(0, 21)]) for i in range(200)]
+    assert found(spark, rows, tree_rows=32, page_rows=4) == brute(rows)
+    assert found(spark, [(0, [2.0**30, 1.0]), (1, [2.0**30, 0.0]), (2, [2.0**30, 3.0]), (3, [-(2.0**100), 0.0])]) == [
+        (0, 1, 1, 2**63 - 1), (0, 2, 2, 2**63 - 1), (0, 3, 3, -(2**63) + 2)]
+
+
+def test_the_longest_vector_and_its_copies(spark):
+    draw = random.Random(9)
+    top = [0.9, 0.8, 0.7, 0.6]
+    rows = [(i, top if i % 3 == 0 else [draw.gauss(0, 0.2) for _ in top]) for i in range(400)]
+    assert found(spark, rows, tree_rows=64, page_rows=4) == brute(rows)
