@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import digest_sum, row_digest
+from pulsegrid.operators import recovery_point
 from pulsegrid.session import scratch_path
+from pulsegrid.sources import backup_objects, compare_objects, restore_objects
 from pulsegrid.sources import Compaction, live_files, read_live, read_promoted, read_range, write_sorted
 
 from .audits import _TERM_SQL, _columns
@@ -85,3 +87,45 @@ def sorted_lookup(spark, sf):
 
     found = read_range(spark, root, l_partkey=(40, 60), l_shipdate=(dt.datetime(1995, 1, 1), None))
     return found.rows.withColumn("files_skipped", F.lit(found.files_opened < found.files))
+
+
+# Orders as text, a file per priority and status, three times: four fifths, then the rest after a first backup, then a status
+# lost whole.  The second backup copies only what is new; lines have one byte a character and a line end.
+_LINE_SQL = "length(CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR)) + 1"
+_RECOVERED = ("phase string, objects_expected long, objects_intact long, objects_lost long, size_lost long, "
+              "objects_copied long, bytes_copied long")
+
+
+@query("object_recovery", f"""
+WITH o AS (SELECT o_orderstatus AS s, o_orderpriority AS p, o_orderkey % 5 = 0 AS late, sum({_LINE_SQL}) AS bytes
+           FROM orders GROUP BY 1, 2, 3),
+n AS (SELECT count(*) AS objects, count(*) FILTER (s = 'P') AS lost, CAST(sum(bytes) FILTER (s = 'P') AS BIGINT) AS lost_bytes,
+      count(*) FILTER (late) AS late, CAST(sum(bytes) FILTER (late) AS BIGINT) AS late_bytes FROM o)
+SELECT 'lost' AS phase, objects AS objects_expected, objects - lost AS objects_intact, lost AS objects_lost, lost_bytes AS size_lost,
+       late AS objects_copied, late_bytes AS bytes_copied FROM n
+UNION ALL SELECT 'restored', objects, objects, 0, 0, lost, lost_bytes FROM n
+""")
+def object_recovery(spark, sf):
+    root, store = scratch_path(spark, "objects"), scratch_path(spark, "object-store")
+    lines = table(spark, sf, "orders").select(
+        F.concat_ws(",", "o_orderkey", "o_custkey").alias("value"), "o_orderstatus", "o_orderpriority", "o_orderkey")
+
+    def land(rows):
+        rows.drop("o_orderkey").repartition("o_orderstatus", "o_orderpriority").write.mode("append").partitionBy(
+            "o_orderstatus", "o_orderpriority").text(root)
+
+    land(lines.where("o_orderkey % 5 > 0"))
+    backup_objects(spark, root, store, "first")
+    land(lines.where("o_orderkey % 5 = 0"))
+    kept = backup_objects(spark, root, store, "second", after="first")
+    lost = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/o_orderstatus=P")
+    lost.getFileSystem(spark._jsc.hadoopConfiguration()).delete(lost, True)
+
+    def state(phase, copied):
+        found = recovery_point(compare_objects(spark, root, store, "second")).first()
+        done = copied.agg(F.count("*"), F.sum("bytes")).first()
+        return (phase, *found, *done)
+
+    after_loss = state("lost", kept.where("copied"))
+    restored = restore_objects(spark, root, store, "second")
+    return spark.createDataFrame([after_loss, state("restored", restored)], _RECOVERED)
