@@ -1,13 +1,16 @@
 """The streaming jobs, drained over the events as a message topic."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from pulsegrid.operators import stalls
 from pulsegrid.plans.curate import CurateSpec
 from pulsegrid.session import scratch_path
 from pulsegrid.sources import envelope, parquet_stream, payload_columns, read_published
 from pulsegrid.sources.messages import ENVELOPE
 from pulsegrid.streaming import (
-    ExactSpec, JobFolders, apply_batch, deduplicated, read_exact, start_append, start_curated, start_exact, start_raw,
+    ExactSpec, JobFolders, ProgressLog, apply_batch, deduplicated, file_resume_audit, progress_history, read_exact, start_append,
+    start_curated, start_exact, start_raw,
 )
 
 from .registry import EVENTS_SQL, query, table
@@ -140,3 +143,71 @@ def envelope_by_topic(spark, sf):
     return envelope(records).groupBy("topic").agg(
         F.count(F.lit(1)).alias("n_messages"), F.min("kafka_timestamp").alias("first_ts"),
         F.max("kafka_timestamp").alias("last_ts"))
+
+
+_MINUTES = 120  # files of the topic, one a batch
+
+
+# Events dealt to 120 files by id; 90 arrive before a restart and the rest after it.  Spark itself remembers the last 100
+# commits of a process; the table has them all, and a time limit of no seconds finds each pause between two of them.
+@query("stream_history", f"""
+SELECT 'events' AS query, {_MINUTES}::BIGINT AS n_commits, 2::BIGINT AS n_runs, 0::BIGINT AS first_batch, {_MINUTES - 1}::BIGINT AS last_batch,
+       count(*) AS input_rows, count(DISTINCT event_id % {_MINUTES}) - 1 AS n_pauses FROM events
+""")
+def stream_history(spark, sf):
+    topic, log, checkpoint = scratch_path(spark, "topic"), scratch_path(spark, "history"), scratch_path(spark, "history-checkpoint")
+    rows = table(spark, sf, "events").select("event_id", "user_id", F.pmod("event_id", F.lit(_MINUTES)).cast("int").alias("minute"))
+
+    def run(part):
+        part.repartition(_MINUTES, "minute").write.mode("append").partitionBy("minute").parquet(topic)
+        stream = spark.readStream.schema("event_id BIGINT, user_id BIGINT").option("maxFilesPerTrigger", 1).parquet(topic)
+        job = stream.drop("minute").writeStream.queryName("events").format("noop").option("checkpointLocation", checkpoint)
+        job = job.trigger(availableNow=True).start()
+        job.awaitTermination()
+        history.wait(job)
+
+    with ProgressLog(spark, log) as history:
+        run(rows.where("minute < 90"))
+        run(rows.where("minute >= 90"))
+    commits = progress_history(spark, log)
+    pauses = stalls(commits, ["query"], "committed_at", 0).agg(F.count("*")).scalar()
+    return commits.groupBy("query").agg(
+        F.count("*").alias("n_commits"), F.count_distinct("run_id").alias("n_runs"), F.min("batch_id").alias("first_batch"),
+        F.max("batch_id").alias("last_batch"), F.sum("input_rows").alias("input_rows")).withColumn("n_pauses", pauses)
+
+
+# Eight files: five batches commit, the sixth fails with two files planned, of which one is then lost; one more waits.
+@query("stream_resume", """
+SELECT p.part, CASE WHEN p.part < 5 THEN 'read' WHEN p.part = 5 THEN 'repeats' WHEN p.part = 6 THEN 'lost' ELSE 'waiting' END AS state,
+       CASE WHEN p.part < 5 THEN p.part WHEN p.part < 7 THEN 5 END AS batch_id
+FROM (SELECT DISTINCT event_id % 8 AS part FROM events) p
+""")
+def stream_resume(spark, sf):
+    topic, checkpoint = scratch_path(spark, "topic"), scratch_path(spark, "resume-checkpoint")
+    rows = table(spark, sf, "events").select("event_id", F.pmod("event_id", F.lit(8)).alias("part"))
+
+    def land(part):
+        rows.where(F.col("part") == part).coalesce(1).write.mode("append").partitionBy("part").parquet(topic)
+
+    def run(files, work):
+        stream = spark.readStream.schema("event_id BIGINT").option("maxFilesPerTrigger", files).parquet(topic)
+        job = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        try:
+            job.awaitTermination()
+        except StreamingQueryException:
+            pass                                     # the sixth batch
+
+    def fail(batch, number):
+        raise RuntimeError("the job ends here")
+
+    for part in range(5):
+        land(part)
+        run(1, lambda batch, number: batch.write.format("noop").mode("append").save())
+    land(5)
+    land(6)
+    run(2, fail)
+    land(7)
+    gone = spark._jvm.org.apache.hadoop.fs.Path(f"{topic}/part=6")
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    found = file_resume_audit(spark, checkpoint, topic)
+    return found.select(F.regexp_extract("path", "part=([0-9]+)", 1).cast("bigint").alias("part"), "state", "batch_id")
