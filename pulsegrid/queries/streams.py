@@ -9,11 +9,12 @@ from pulsegrid.session import scratch_path
 from pulsegrid.sources import envelope, parquet_stream, payload_columns, read_published
 from pulsegrid.sources.messages import ENVELOPE
 from pulsegrid.streaming import (
-    ExactSpec, JobFolders, ProgressLog, apply_batch, deduplicated, file_resume_audit, progress_history, read_exact, start_append,
-    start_curated, start_exact, start_raw,
+    BucketSpec, ExactSpec, ExtentSpec, JobFolders, ProgressLog, apply_batch, deduplicated, file_resume_audit, fold, merge_batch,
+    progress_history, read_exact, read_states, start_append, start_curated, start_exact, start_raw,
 )
 
-from .registry import EVENTS_SQL, query, table
+from .registry import EVENTS_SQL, events, query, table
+from .timeseries import bucket_sql
 
 _TOPIC = "key STRING, value STRING, topic STRING, timestamp TIMESTAMP"
 _PAYLOAD = "user_id BIGINT, k BIGINT, event_type STRING"
@@ -211,3 +212,28 @@ def stream_resume(spark, sf):
     gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
     found = file_resume_audit(spark, checkpoint, topic)
     return found.select(F.regexp_extract("path", "part=([0-9]+)", 1).cast("bigint").alias("part"), "state", "batch_id")
+
+
+def _merged(spark, sf, spec):
+    """Six batches of events, one of them run twice and two folded, merged by the states alone."""
+    root, rows = scratch_path(spark, "states"), events(spark, sf)
+    for number in (0, 1, 2, 3, 2, 4):
+        if number == 3:
+            fold(spark, root, spec, 1)
+        merge_batch(rows.where(F.pmod("event_id", F.lit(6)) == number), number, root, spec)
+    merge_batch(rows.where("event_id % 6 = 0"), 0, root, spec)         # a replay of what the snapshot holds
+    merge_batch(rows.where("event_id % 6 = 5"), 5, root, spec)
+    return spec.finish(read_states(spark, root, spec))
+
+
+@query("merged_buckets", f"WITH {bucket_sql('15 minutes')} SELECT * FROM series")
+def merged_buckets(spark, sf):
+    return _merged(spark, sf, BucketSpec(
+        ["user_id"], "ts", "15 minutes", maxima=["k"], firsts=["event_type"], means=["value"], bucket="slot"))
+
+
+@query("merged_extent", """
+SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_series, min(ts) AS first_ts, max(ts) AS last_ts FROM events
+""")
+def merged_extent(spark, sf):
+    return _merged(spark, sf, ExtentSpec("user_id", "ts"))

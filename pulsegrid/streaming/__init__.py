@@ -5,9 +5,11 @@ from .jobs import (
     start_curated, start_raw, start_reference, start_station_clean, start_station_curated,
     start_station_raw, station_tables,
 )
+from .partials import BucketSpec, ExtentSpec, fold, merge_batch, read_states
 from .resume import file_log, file_resume_audit, offset_log, resume_point, topic_positions, topic_resume_audit
 
 __all__ = [
+    "BucketSpec", "ExtentSpec", "fold", "merge_batch", "read_states",
     "ProgressLog", "progress_history",
     "file_log", "file_resume_audit", "offset_log", "resume_point", "topic_positions", "topic_resume_audit",
     "ExactSpec", "apply_batch", "read_exact", "start_exact",
