@@ -152,9 +152,24 @@ def rule_values(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_se
 def evaluate_rules(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_seconds: int = HOUR) -> DataFrame:
     """Episodes of every rule over the whole metric table."""
     values = rule_values(metrics, rules, chunk_seconds)
-    breached = _per_rule(rules, lambda r: f"value {r.test} {float(r.threshold)}D")
+    return described(rule_episodes(values, rules, chunk_seconds), rules)
+
+
+def breached(rules: Sequence[AlertRule]) -> Column:
+    """Whether a row of :func:`rule_values` breaks its rule."""
+    return _per_rule(rules, lambda r: f"value {r.test} {float(r.threshold)}D")
+
+
+def rule_episodes(values: DataFrame, rules: Sequence[AlertRule] = RULES, chunk_seconds: int = HOUR,
+                  broken: Column | None = None) -> DataFrame:
+    """Episodes by ``rule`` and ``group``; ``broken`` replaces the rules' own test."""
     hold = _per_rule(rules, lambda r: str(r.hold_seconds))
-    episodes = alert_episodes(values, ["rule", "group"], "ts", breached, hold, chunk_seconds=chunk_seconds)
+    return alert_episodes(values, ["rule", "group"], "ts", breached(rules) if broken is None else broken, hold,
+                          chunk_seconds=chunk_seconds)
+
+
+def described(episodes: DataFrame, rules: Sequence[AlertRule] = RULES) -> DataFrame:
+    """Episodes as alerts: name, severity, component and labels."""
     return episodes.select(
         F.col("rule").alias("alertname"),
         _per_rule(rules, lambda r: _text(r.severity)).alias("severity"),
@@ -164,6 +179,15 @@ def evaluate_rules(metrics: DataFrame, rules: Sequence[AlertRule] = RULES, chunk
     )
 
 
+def counter_metrics(rules: Sequence[AlertRule] = RULES) -> list[str]:
+    return sorted({r.metric for r in rules if r.shape in ("increase", "rate")})
+
+
+def series_key(labels: str = "labels") -> Column:
+    """A label map in a form that can be compared."""
+    return F.expr(_entries(labels))
+
+
 def firing_count(episodes: DataFrame) -> DataFrame:
     """Currently firing alerts, grouped the way notifications are."""
     return (

@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 from pulsegrid.operators import (
     alert_episodes, alert_history, consumer_lag, counter_increase, counter_rate, gauge_latest, gauge_ratio, stalls,
 )
+from pulsegrid.operators.neighbours import epoch_micros
 from pulsegrid.plans.alerts import RULES, evaluate_rules
+from pulsegrid.session import scratch_path
 from pulsegrid.sources import alert_log
+from pulsegrid.streaming import LiveAlerts, apply_samples, live_episodes
 
 from .registry import EVENTS_SQL, events, query, table
 
@@ -143,16 +146,32 @@ _FULL_SQL = """folded AS (SELECT date_trunc('hour', ts) AS ts,
   FROM ev WHERE event_type IN ('purchase', 'signup') GROUP BY 1)"""
 
 
-@query("alert_rules", " UNION ALL ".join([
+_RULES_SQL = " UNION ALL ".join([
     _rule_sql("IngestionStopped", "critical", "ingestion", _increase_rule_sql("click"), "value = 0", 120),
     _rule_sql("KafkaExporterDown", "critical", "monitoring", _UP_SQL, "value = 0", 30),
     _rule_sql("MinioStorageAlmostFull", "warning", "minio", _FULL_SQL, "value > 80", 300),
     _rule_sql("PrometheusRuleEvaluationFailures", "warning", "monitoring", _increase_rule_sql("error"), "value > 0", 60),
-]))
+])
+
+
+@query("alert_rules", _RULES_SQL)
 def alert_rules(spark, sf):
     return evaluate_rules(metric_table(spark, sf), RULES).drop("labels")
 
 
+# Samples in three stretches of time, the second applied twice, as after a failure.
+@query("alert_rules_live", _RULES_SQL)
+def alert_rules_live(spark, sf):
+    live, samples = LiveAlerts(scratch_path(spark, "alerts")), metric_table(spark, sf)
+    at = epoch_micros("ts")
+    first, last = samples.agg(F.min(at), F.max(at)).first()
+    third = (last - first) // 3 + 1
+    for number in (0, 1, 1, 2):
+        stretch = samples.where((at >= first + number * third) & (at < first + (number + 1) * third))
+        apply_samples(stretch, number, live, last=number == 2)
+    return live_episodes(spark, live).drop("labels")
+
+
 @query("alert_history", """
 WITH a AS (
   SELECT event_type AS alertname, CASE WHEN value > 100 THEN 'critical' ELSE 'warning' END AS severity,
