@@ -91,25 +91,24 @@ def trailing_sum(
 ) -> DataFrame:
     """Sum of ``value`` over the last ``window_seconds`` (left end open) at every row.
 
-    Rows near the end of a chunk are also sent to the next one, where they only feed the
-    frame of later rows; each row is sent at most twice.
+    Time is cut into blocks as wide as the window, so a frame is the start of its row's own block and the end of the
+    block before.  Both are running sums: no frame is added up again, however many rows it holds.  Each row is sent
+    twice, to its own block and, one window later, to the next.  ``chunk_seconds`` has no part in this.
     """
-    width = max(chunk_seconds, window_seconds)
-    micros, chunk, home = "_pg_us", "_pg_chunk", "_pg_home"
-    own = chunk_of(ts, width)
-    near_end = F.col(micros) > (own + 1) * F.lit(width * 1_000_000) - F.lit(window_seconds * 1_000_000)
-    spread = (
-        df.withColumn(micros, epoch_micros(ts))
-        .withColumn(home, own)
-        .withColumn(chunk, F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))))
-    )
-    frame = (
-        W.partitionBy(*series, chunk)
-        .orderBy(micros)
-        .rangeBetween(-(window_seconds * 1_000_000 - 1), 0)
-    )
+    width = window_seconds * 1_000_000
+    micros, block, at, home = "_pg_us", "_pg_block", "_pg_at", "_pg_home"
+    start = F.col(micros) - F.pmod(F.col(micros), F.lit(width))
+    places = [F.struct((start + gap).alias(block), (F.col(micros) + gap).alias(at), F.lit(gap == 0).alias(home)) for gap in (0, width)]
+    spread = df.withColumn(micros, epoch_micros(ts)).where(F.col(micros).isNotNull()).select(*df.columns, F.inline(F.array(*places)))
+    parts = W.partitionBy(*series, block)
+    own = F.sum(F.when(F.col(home), F.col(value))).over(parts.orderBy(at).rangeBetween(W.unboundedPreceding, 0))
+    # rows of the block before leave the frame one window after their time
+    before = F.sum(F.when(~F.col(home), F.col(value))).over(parts.orderBy(F.desc(at)).rangeBetween(W.unboundedPreceding, -1))
+    total = F.coalesce(F.col("_pg_own") + F.col("_pg_before"), F.col("_pg_own"), F.col("_pg_before"))
+    kind = df.select(F.sum(value)).schema[0].dataType
     return (
-        spread.withColumn(name, F.sum(value).over(frame))
-        .where(F.col(chunk) == F.col(home))
-        .drop(micros, chunk, home)
+        spread.withColumns({"_pg_own": own, "_pg_before": before})
+        .where(home)
+        .withColumn(name, total.cast(kind))
+        .drop("_pg_own", "_pg_before", block, at, home)
     )

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -150,6 +151,19 @@ def test_trailing_sum_matches_brute_force(spark, chunk, window):
     assert got == want
 
 
+def test_trailing_sum_adds_no_frame_again(spark):
+    data = [("a", at(i * 20), float(i)) for i in range(9)] + [("a", at(170), None), ("a", None, 1.0), (None, at(0), None)]
+    df = spark.createDataFrame(data, "s STRING, ts TIMESTAMP, v DOUBLE")
+    out = trailing_sum(df.withColumn("v", F.when(F.col("v") == 2, float("inf")).otherwise(F.col("v"))), ["s"], "ts", "v", 3600, "x")
+    got = {(r["s"], r["ts"]): r["x"] for r in out.collect()}
+    inf = float("inf")
+    assert got == {("a", at(i * 20)): x for i, x in enumerate([0.0, 1.0, inf, inf, inf, 12.0, 15.0, 18.0, 21.0])} | {
+        ("a", at(170)): 21.0, (None, at(0)): None}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    frames = re.findall(r"specifiedwindowframe\(RangeFrame, ([^,]*),", plan)
+    assert len(frames) == 2 and all("unboundedpreceding" in f for f in frames)      # running sums only
+
+
 def test_profile_fill_matches_pandas(spark):
     pick = random.Random(3)
     profiles = [[None if pick.random() < 0.4 else round(pick.random(), 3) for _ in range(24)] for _ in range(40)]
