@@ -67,6 +67,21 @@ def test_clusters_separate_clear_groups(spark):
     assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 4
 
 
+def test_restarts_run_in_few_tasks(spark):
+    rows = [(f"e{i}", *[float((i % 4) * (10 if h < 12 else -10) + 0.01 * i) for h in range(24)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "key STRING, " + ", ".join(f"{c} DOUBLE" for c in profile_columns())).repartition(80)
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("restarts", "")
+    try:
+        labels = cluster_entities(df, "key", k=4, restarts=3)
+    finally:
+        context._jsc.clearJobGroup()
+    stages = [s for job in tracker.getJobIdsForGroup("restarts") for s in tracker.getJobInfo(job).stageIds]
+    tasks = [found.numTasks for s in stages if (found := tracker.getStageInfo(s))]
+    assert len(tasks) > 12 and sorted(tasks)[len(tasks) // 2] <= 16      # 80 in each stage of a run, before
+    assert labels.inputFiles() and "Aggregate" not in labels._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_registered_models_are_the_published_ones(spark):
     import inspect
 
