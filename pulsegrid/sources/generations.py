@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 import pandas as pd
@@ -131,6 +132,18 @@ def packing_plan(files: DataFrame, target_bytes: int, small_bytes: int) -> DataF
     return small.groupBy("folder", "part").applyInPandas(pack, "path string, bytes long, folder string, bin string")
 
 
+@contextmanager
+def _unsorted(spark: SparkSession, files: int = 256) -> Iterator[None]:
+    """Writes inside keep a file open for each folder a task writes to, up to ``files``, rather than sort the task's rows first."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Compaction:
     """One generation in the making: ``rewrite`` makes the new files, ``publish`` swaps them in."""
 
@@ -161,8 +174,9 @@ class Compaction:
             packed = rows.join(bins, "_key").drop("_key").withColumn("_generation", F.lit(f"{self.label}-{place}"))
             # a bin's rows meet in one task and one file
             count = plan.select("folder", "bin").distinct().count()
-            (packed.repartition(min(count, 10_000), "_folder", "_bin").drop("_folder")
-             .write.partitionBy("_generation", *partitions, "_bin").mode("append").parquet(_added(self.root)))
+            with _unsorted(spark):
+                (packed.repartition(min(count, 10_000), "_folder", "_bin").drop("_folder")
+                 .write.partitionBy("_generation", *partitions, "_bin").mode("append").parquet(_added(self.root)))
         return len(names)
 
     @staticmethod
