@@ -57,12 +57,13 @@ def binary_text(column: str | Column = "text") -> Column:
     return F.coalesce(column, F.lit("")).cast("binary")
 
 
-def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
-    """A ``mapInArrow`` function from one that turns a batch into a batch (or nothing)."""
+def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int | None = None):
+    """A ``mapInArrow`` function from one that turns a batch into a batch (or nothing); it gets at most ``rows`` rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := work(batch)) is not None:
-                yield out
+            for at in range(0, batch.num_rows, rows or batch.num_rows or 1):
+                if (out := work(batch.slice(at, rows))) is not None:
+                    yield out
 
     return run

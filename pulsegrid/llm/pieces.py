@@ -270,6 +270,7 @@ class Transducer:
         return text[1:] if self.model.prefix and text[:1] == " " else text
 
 
+_ROWS = 500  # texts a worker holds decoded, with their ids, at a time
 _TRANSDUCERS: dict[str, Transducer] = {}  # one per worker process and model
 
 
@@ -295,7 +296,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                                           names=["doc_id", "n_ids", "ids", "round_trip"])
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(per_batch(work), "doc_id long, n_ids long, ids array<int>, round_trip boolean")
+    return rows.mapInArrow(per_batch(work, _ROWS), "doc_id long, n_ids long, ids array<int>, round_trip boolean")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
