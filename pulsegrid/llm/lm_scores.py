@@ -26,6 +26,7 @@ import copy
 from collections import Counter
 from dataclasses import dataclass
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +91,7 @@ def _scored(tables, batch: pa.RecordBatch) -> pa.RecordBatch:
     vocabulary_logs = []
     for text in batch["utf8"].to_pylist():
         found = words(text)
-        numbers = np.array([ids.get(w, -1) for w in found], np.int64)
+        numbers = np.fromiter(map(ids.get, found, repeat(-1)), np.int64, len(found))
         known = numbers[numbers >= 0]
         base.append(value.logs[known].sum())
         inside = known[known < value.vocabulary]
@@ -98,7 +99,7 @@ def _scored(tables, batch: pa.RecordBatch) -> pa.RecordBatch:
         n_tokens.append(len(found) + 1)
         n_frequent.append(len(known))
         n_other.append(len(found) - len(inside))
-        rare.append([w for w, i in zip(found, numbers.tolist()) if i < 0])
+        rare.append([found[i] for i in np.flatnonzero(numbers < 0).tolist()])
         texts.append(np.where((numbers >= 0) & (numbers < value.vocabulary), numbers, other))
     scores = model.score(texts, end) / np.log(10)
     arrays = [batch["row"], batch["doc_id"], pa.array(n_tokens, pa.int64()), pa.array(n_frequent, pa.int64()),
@@ -113,7 +114,7 @@ _PART_NAMES = [c.split()[0] for c in _PARTS.split(", ")]
 
 
 def _numbered(ids: dict[bytes, int], other: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-    rows = [np.array([ids.get(w, other) for w in words(text)], np.int32).tobytes() for text in batch["utf8"].to_pylist()]
+    rows = [np.fromiter(map(ids.get, words(text), repeat(other)), np.int32).tobytes() for text in batch["utf8"].to_pylist()]
     return pa.RecordBatch.from_arrays([batch["slice"], pa.array(rows, pa.binary())], names=["slice", "ids"])
 
 
