@@ -6,7 +6,7 @@ before it have left and overwrites its own folders, so its result is the same.
 
 *Repeats.*  Keys seen are a table cut by event date and key hash.  A batch of new rows first asks one Bloom filter
 per touched cut (bits as bitmaps, written with the keys); only keys that a filter may hold are looked up, in
-their cuts alone.  A repeat has the keys and the event time of the first; however late it comes, its cut is still
+their cuts alone; a filter that has filled up is passed over.  A repeat has the keys and the event time of the first; however late it comes, its cut is still
 there.  Cuts of dates that cannot come again may be deleted like any partition.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 _PAGE = 32_768  # bits of one of Spark's bitmaps
+_FULL = 0.85    # share of bits set beyond which half of all unknown keys pass four probes
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,14 @@ def _bits(spec: ExactSpec) -> Column:
 
 
 def _maybe_seen(new: DataFrame, filters: DataFrame, spec: ExactSpec) -> DataFrame:
-    """day, cut and key of the rows that a filter of an earlier batch may hold."""
+    """day, cut and key of the rows that a filter of an earlier batch may hold.
+
+    A filter with nearly all bits set would let most keys pass: keys of its cut go to the look-up unasked.
+    """
+    bits = filters.groupBy("day", "cut").agg(F.max(F.bitmap_count("bitmap")).alias("bits"))
+    new = new.join(bits, ["day", "cut"])
+    unasked = new.where(F.col("bits") > _FULL * _PAGE).select("day", "cut", "key").distinct()
+    new = new.where(F.col("bits") <= _FULL * _PAGE)
     asked = new.select("day", "cut", "key", _bits(spec).alias("at")).select("day", "cut", "key", "at.*")
     byte = F.conv(F.hex(F.substr("bitmap", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     found = asked.join(filters, ["day", "cut", "page"]).where(
@@ -66,7 +74,7 @@ def _maybe_seen(new: DataFrame, filters: DataFrame, spec: ExactSpec) -> DataFram
     # all probes must hit; hits may come from several batches, which only asks for one look-up more
     return (found.groupBy("day", "cut", "key").agg(F.count_distinct("page", "bit").alias("hits"))
             .join(asked.groupBy("day", "cut", "key").agg(F.count_distinct("page", "bit").alias("all")), ["day", "cut", "key"])
-            .where("hits = all").select("day", "cut", "key"))
+            .where("hits = all").select("day", "cut", "key").unionByName(unasked))
 
 
 def apply_batch(batch: DataFrame, number: int, spec: ExactSpec) -> None:
