@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pulsegrid.functions import mean_of, to_whole
 
+# a chunk of a look-up: at least so many seconds (sparse series make few rows a chunk) and so many longest offsets (at
+# most about an eighth of the rows is copied into each neighbour)
+CHUNK_SECONDS, CHUNK_OFFSETS = 7 * 86_400, 8
+
 
 def shift(ts: Column, seconds: int) -> Column:
     """``ts`` moved by a number of seconds, for TIMESTAMP and TIMESTAMP_NTZ alike."""
@@ -58,44 +62,44 @@ def offset_lookup(
     NULL; this is not a row-based lag.  (keys, ts) must be unique, which is checked; rows without key or time
     pass through with NULL.
 
-    One exchange does it all: every row is sent to its own (keys, ts) and its value to the
-    times that will ask for it, and each (keys, ts) puts the pieces together.  Nothing is
-    joined, and work is spread over (entity, time) pairs, so a hot entity does not land in one
-    task.
+    One exchange does it all.  Time is cut into chunks much longer than the offsets; a row goes to its own
+    chunk, and a copy of it to each other chunk with a time that will ask for it.  Inside (keys, chunk) each offset
+    is a range frame of one point in time.  Nothing is joined, and a hot entity is spread over its chunks.
     """
-    own = F.struct(F.col(ts).alias("at"), F.lit(-1).alias("slot"))
-    asked = [
-        F.struct(shift(F.col(ts), -seconds).alias("at"), F.lit(slot).alias("slot"))
-        for slot, seconds in enumerate(offsets.values())
-    ]
-    # rows without a value, key or time have nothing to send
-    sends = F.col(value).isNotNull() & F.col(ts).isNotNull()
-    for key in keys:
-        sends = sends & F.col(key).isNotNull()
-    targets = F.explode(F.when(sends, F.array(own, *asked)).otherwise(F.array(own)))
-    carried = [c for c in df.columns if c not in (*keys, ts)]
-    sent = df.select(*df.columns, targets.alias("_q"))
-    here = F.col("_q.slot") == -1
-    pieces = sent.select(
-        *keys, F.col("_q.at").alias(ts), F.col("_q.slot").alias("_slot"), F.col(value).alias("_v"),
-        *[F.when(here, F.col(c)).alias(c) for c in carried],
-    ).repartition(*keys, ts)
-    # rows without key or time never take part: they are told apart, so that two of them are no repeat
+    width = max([CHUNK_SECONDS, *(CHUNK_OFFSETS * abs(seconds) for seconds in offsets.values())])
     known = F.col(ts).isNotNull()
     for key in keys:
         known = known & F.col(key).isNotNull()
-    pieces = pieces.withColumn("_own", F.when(~known, F.monotonically_increasing_id()))
-    rows = F.count_if(F.col("_slot") == -1)
-    whole = pieces.groupBy(*keys, ts, "_own").agg(
-        rows.alias("_rows"),
-        *[F.any_value(c, True).alias(c) for c in carried],
-        *[F.max(F.when(F.col("_slot") == slot, F.col("_v"))).alias(name) for slot, name in enumerate(offsets)],
+
+    def chunk(time: Column) -> Column:
+        return F.floor(time.cast("timestamp").cast("long") / width)
+
+    # rows without key or time never take part: they are spread, and only looked through
+    placed = df.withColumn("_chunk", F.when(known, chunk(F.col(ts))).otherwise(F.monotonically_increasing_id()))
+    asked = [chunk(shift(F.col(ts), -seconds)) for seconds in offsets.values()]
+    # rows without a value have nothing to send; the first chunk is a row's own
+    chunks = F.when(known & F.col(value).isNotNull(), F.array_distinct(F.array("_chunk", *asked))).otherwise(F.array("_chunk"))
+    sent = placed.select(*df.columns, F.posexplode(chunks).alias("_nth", "_chunk"))
+    keyed = ", ".join(_quoted(c) for c in (*keys, "_chunk"))
+
+    def at_offset(measure: str, seconds: int) -> Column:
+        bound = f"INTERVAL '{abs(seconds)}' SECOND {'PRECEDING' if seconds < 0 else 'FOLLOWING'}" if seconds else "CURRENT ROW"
+        return F.expr(f"{measure} OVER (PARTITION BY {keyed} ORDER BY {_quoted(ts)} RANGE BETWEEN {bound} AND {bound})")
+
+    whole = sent.select(
+        *df.columns, "_nth", at_offset("count_if(_nth = 0)", 0).alias("_rows"),
+        *[F.when(known, at_offset(f"max({_quoted(value)})", seconds)).alias(name) for name, seconds in offsets.items()],
     )
     repeated = F.raise_error(F.lit(f"offset_lookup: ({', '.join([*keys, ts])}) is not unique"))
-    single = F.when(F.col("_rows") > 1, repeated.cast("boolean")).otherwise(F.col("_rows") == 1)
+    own = F.col("_nth") == 0
+    single = F.when(own & known & (F.col("_rows") > 1), repeated.cast("boolean")).otherwise(own)
     return whole.where(single).select(*df.columns, *offsets)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def temporal_split(df: DataFrame, ts: str, holdout_seconds: int, label: str = "split") -> DataFrame:
     """Mark rows as ``train`` (up to the cut) or ``test``; the cut is max(ts) minus the hold-out."""
     cut = df.agg(shift(F.max(ts), -holdout_seconds).alias("cut")).scalar()

@@ -22,7 +22,7 @@ from .stations import FEATURES, LAGS
 
 MINUTE = 60
 TWO_DAYS = 2 * 86_400
-ROWS_PER_TASK = 200_000  # of a training table
+ROWS_PER_TASK = 20_000  # of a training table, while there are free cores
 _VECTOR = "_features"
 
 
@@ -128,8 +128,11 @@ def _trees(settings: BoostedTrees, label: str, prediction: str) -> GBTRegressor:
 
 
 def _few_partitions(df: DataFrame, rows: int) -> DataFrame:
-    """Training rows in as few partitions as their number needs: every level of every tree is a job over all of them."""
-    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+    """Training rows in as few partitions as their number needs, a core's each at most: every level of every tree is a
+    job over all of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    needed = max(1, min(-(-rows // ROWS_PER_TASK), cores))
+    return df.coalesce(1) if needed == 1 else df.repartition(needed)
 
 
 def fit_delta_trees(
@@ -164,10 +167,17 @@ def horizon_targets(
     A row without a target ahead has no split for that horizon; the cut of a horizon is its newest row that has
     one, less the hold-out.
     """
-    names = {f"target_{i}": seconds for i, seconds in enumerate(horizons.values())}
+    return _with_splits(_with_targets(features, keys, ts, current, horizons), ts, horizons, holdout_seconds)
+
+
+def _with_targets(features: DataFrame, keys: Sequence[str], ts: str, current: str, horizons: Mapping[str, int]) -> DataFrame:
     for column in (*keys, ts):
         features = features.where(F.col(column).isNotNull())
-    ahead = offset_lookup(features, keys, ts, current, names)
+    return offset_lookup(features, keys, ts, current, {f"target_{i}": seconds for i, seconds in enumerate(horizons.values())})
+
+
+def _with_splits(ahead: DataFrame, ts: str, horizons: Mapping[str, int], holdout_seconds: int) -> DataFrame:
+    names = [f"target_{i}" for i in range(len(horizons))]
     cuts = ahead.agg(F.struct(*[shift(F.max(F.when(F.col(t).isNotNull(), F.col(ts))), -holdout_seconds).alias(t)
                                 for t in names]).alias("cuts")).scalar()
     ahead = ahead.withColumn("_cuts", cuts)
@@ -197,19 +207,21 @@ def evaluate_horizons(
 ) -> DataFrame:
     """Train on all but the newest hold-out of each horizon (label -> seconds) and score model and persistence.
 
-    Targets of all horizons and the assembled inputs are written once to the shared folder.  The horizons are
-    fitted at the same time, each in a scheduler pool of its own, so one model's short jobs fill the cores that
+    Targets of all horizons and the assembled inputs of rows with a target are written once to the shared folder; the
+    cuts are taken from there.  The horizons are fitted at the same time, each in a scheduler pool of its own, so one model's short jobs fill the cores that
     another one leaves idle; all predictions are scored in one pass.
     """
     spark = features.sparkSession
     ensure_checkpoint_dir(spark)
-    usable, columns = _usable(horizon_targets(features, keys, ts, current, horizons, holdout_seconds), inputs)
-    ahead = [f"{kind}_{i}" for i in range(len(horizons)) for kind in ("target", "split")]
+    targets = [f"target_{i}" for i in range(len(horizons))]
+    ahead = _with_targets(features, keys, ts, current, horizons).where(
+        " OR ".join(f"{t} IS NOT NULL" for t in targets))
+    usable, columns = _usable(ahead, inputs)
     assembled = VectorAssembler(inputCols=columns, outputCol=_VECTOR).transform(usable).select(
-        F.col(current).cast("double").alias("current"), *ahead, _VECTOR)
+        F.col(ts).alias("ts"), F.col(current).cast("double").alias("current"), *targets, _VECTOR)
     path = scratch_path(spark, "horizons")
     assembled.write.parquet(path)
-    table = spark.read.schema(assembled.schema).parquet(path)
+    table = _with_splits(spark.read.schema(assembled.schema).parquet(path), "ts", horizons, holdout_seconds)
 
     def fit(i: int, label: str):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"forecast {label}")

@@ -77,11 +77,16 @@ def station_status(spark, sf):
             "nom_arrondissement_communes"), F.col("ts").alias("ingestion_ts"))
 
 
+def _stored(frame, label):
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def _features(spark, sf):
-    """The published features, written once to the shared folder: every fit and score reads them."""
-    path = scratch_path(spark, "forecast")
-    station_features(station_series(station_status(spark, sf))).write.parquet(path)
-    return spark.read.parquet(path)
+    """The published features; the series and they are written once to the shared folder: every use reads them."""
+    series = _stored(station_series(station_status(spark, sf)), "series")
+    return _stored(station_features(series), "forecast")
 
 
 _SECONDS = {label: minutes * MINUTE for label, minutes in HORIZONS.items()}
@@ -110,7 +115,7 @@ def forecast_gbt(spark, sf, settings=BoostedTrees()):
 
 @query("feature_importance")
 def feature_importance(spark, sf, settings=BoostedTrees()):
-    ahead = with_target(_features(spark, sf), _KEYS, _TS, _BIKES, HORIZONS["H+1"] * MINUTE)
+    ahead = _stored(with_target(_features(spark, sf), _KEYS, _TS, _BIKES, HORIZONS["H+1"] * MINUTE), "ahead")
     train = temporal_split(ahead, _TS, 2 * DAY).where(F.col("split") == "train")
     return importances(fit_delta_trees(train, FEATURES, _BIKES, "target", settings), FEATURES, spark)
 

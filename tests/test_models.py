@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pulsegrid.plans.clusters import cluster_entities, profile_columns
 from pulsegrid.operators import cluster_summary, hourly_profile
 from pulsegrid.plans.forecast import (
-    BoostedTrees, evaluate_horizons, fit_delta_trees, importances, predict, scores, station_features, station_rates,
+    BoostedTrees, _few_partitions, evaluate_horizons, fit_delta_trees, importances, predict, scores, station_features, station_rates,
     station_series,
 )
 from pulsegrid.plans.stations import FEATURES, HORIZONS
@@ -82,6 +82,14 @@ def test_restarts_run_in_few_tasks(spark):
     assert labels.inputFiles() and "Aggregate" not in labels._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_training_rows_use_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(200_000, numPartitions=1)     # in one partition, before
+    assert _few_partitions(rows, 200_000).rdd.getNumPartitions() == min(10, cores)
+    assert _few_partitions(rows, 10**9).rdd.getNumPartitions() == cores
+    assert _few_partitions(spark.range(100, numPartitions=8), 100).rdd.getNumPartitions() == 1
+
+
 def test_registered_models_are_the_published_ones(spark):
     import inspect
 

@@ -63,6 +63,26 @@ def test_lookup_keeps_incomplete_rows_and_rejects_repeats(spark, rows):
         offset_lookup(df.union(df), ["s"], "ts", "v", {"lag": -900}).collect()
 
 
+@pytest.mark.parametrize("kind", ["TIMESTAMP", "TIMESTAMP_NTZ"])
+def test_lookup_crosses_chunks(spark, monkeypatch, kind):
+    monkeypatch.setattr("pulsegrid.operators.series.CHUNK_SECONDS", 3600)
+    minutes = random.Random(7).sample(range(3000), 700)
+    values = {(s, m): None if m % 11 == 0 else m * s for m in minutes for s in (1, 2)}
+    df = spark.createDataFrame([(s, at(m), v) for (s, m), v in values.items()], f"s INT, ts {kind}, v INT")
+    offsets = {"back": -900, "far": -86_400, "next": 60, "same": 0}
+    got = {(r["s"], r["ts"]): tuple(r[c] for c in offsets) for r in offset_lookup(df, ["s"], "ts", "v", offsets).collect()}
+    assert got == {(s, at(m)): tuple(values.get((s, m + seconds // 60)) for seconds in offsets.values()) for s, m in values}
+    assert offset_lookup(df, ["s"], "ts", "v", {}).count() == len(values)
+
+
+def test_lookup_sends_a_row_once_or_to_a_neighbouring_chunk(spark):
+    df = spark.range(4000).select(F.lit("hot").alias("s"), F.timestamp_seconds(F.col("id") * 900).alias("ts"), "id")
+    out = offset_lookup(df, ["s"], "ts", "id", {f"lag_{i}": -900 * i for i in range(1, 5)})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan and "HashAggregate" not in plan
+    assert out.where("lag_4 = id - 4").count() == 3996
+
+
 def test_gap_report_counts(spark):
     minutes = [0, 15, 30, 75, 4 * 1440]
     df = spark.createDataFrame([("a", at(m)) for m in minutes] + [("b", at(0))], "s STRING, ts TIMESTAMP")
