@@ -131,14 +131,15 @@ class Recurrent:
         state, tokens = np.zeros((len(texts), self.hidden), np.float32), np.full(len(texts), end)
         sums, t = np.zeros(len(texts)), 0
         while t < len(running):
-            states, targets, active = [], [], []
-            while t < len(running) and sum(active) < 8192:
+            states, targets, active, held = [], [], [], 0
+            while t < len(running) and held < 8192:
                 a = running[t]
                 state, _ = self.step(tokens[:a], state[:a])
                 tokens = flat[starts[:a] + t]
                 states.append(state)
                 targets.append(tokens)
                 active.append(a)
+                held += a
                 t += 1
             values, at = self.log_prob(np.concatenate(states), np.concatenate(targets)), 0
             for a in active:
@@ -175,8 +176,10 @@ class Recurrent:
         flat, goal = np.concatenate(states), targets.T.ravel()
         scale = np.float32(1 / len(goal))
 
-        scores = flat @ self.to_class + self.class_bias
-        p = np.exp(scores - scores.max(axis=1, keepdims=True))
+        p = flat @ self.to_class
+        p += self.class_bias
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(goal)), self.class_of[goal]] -= 1
         p *= scale
@@ -185,8 +188,10 @@ class Recurrent:
         for low, high, rows in self._by_class(goal):
             span = slice(low, high)
             own = flat[rows]
-            p = own @ self.to_token[span].T + self.token_bias[span]
-            p = np.exp(p - p.max(axis=1, keepdims=True))
+            p = own @ self.to_token[span].T
+            p += self.token_bias[span]
+            p -= p.max(axis=1, keepdims=True)
+            np.exp(p, out=p)
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(rows)), goal[rows] - low] -= 1
             p *= scale
@@ -194,22 +199,31 @@ class Recurrent:
             slope["token_bias"][span] += p.sum(axis=0)
             back[rows] += p @ self.to_token[span]
 
-        down, moved = np.zeros((streams, h), np.float32), []
+        down, moved = np.zeros((streams, h), back.dtype), np.empty((window, streams, 3 * h), back.dtype)
+        to_gates, to_fresh = self.carry[:, :2 * h].T, self.carry[:, 2 * h:].T
+        gates_slope, fresh_slope = slope["carry"][:, :2 * h], slope["carry"][:, 2 * h:]
         for t in range(window - 1, -1, -1):
             tokens, old, update, reset, kept, fresh = saved[t]
-            down = down + back[t * streams:(t + 1) * streams]
-            d_fresh = down * update * (1 - fresh * fresh)
-            d_kept = d_fresh @ self.carry[:, 2 * h:].T
-            d_gates = np.concatenate([down * (fresh - old) * update * (1 - update), d_kept * old * reset * (1 - reset)], axis=1)
-            slope["carry"][:, :2 * h] += old.T @ d_gates
-            slope["carry"][:, 2 * h:] += kept.T @ d_fresh
-            moved.append(np.concatenate([d_gates, d_fresh], axis=1))
-            down = down * (1 - update) + d_kept * reset + d_gates @ self.carry[:, :2 * h].T
-            down = np.where((tokens == end)[:, None], np.float32(0), down)  # a text's first state has no past
+            down += back[t * streams:(t + 1) * streams]
+            through = down * update
+            stay = 1 - update
+            slopes = moved[window - 1 - t]
+            d_gates, d_fresh = slopes[:, :2 * h], slopes[:, 2 * h:]
+            np.multiply(through, 1 - fresh * fresh, out=d_fresh)
+            d_kept = d_fresh @ to_fresh
+            np.multiply(down * (fresh - old) * update, stay, out=d_gates[:, :h])
+            np.multiply(d_kept * old * reset, 1 - reset, out=d_gates[:, h:])
+            gates_slope += old.T @ d_gates
+            fresh_slope += kept.T @ d_fresh
+            down *= stay
+            d_kept *= reset
+            down += d_kept
+            down += d_gates @ to_gates
+            down[tokens == end] = 0  # a text's first state has no past
         used = np.concatenate([past[0] for past in reversed(saved)])
         order = np.argsort(used, kind="stable")
         firsts = np.flatnonzero(np.append(True, np.diff(used[order]) != 0))
-        slope["inputs"][used[order[firsts]]] = np.add.reduceat(np.concatenate(moved)[order], firsts, axis=0)
+        slope["inputs"][used[order[firsts]]] = np.add.reduceat(moved.reshape(-1, 3 * h)[order], firsts, axis=0)
         norm = float(np.sqrt(sum((s * s).sum() for s in slope.values())))
         if norm > 1:
             for s in slope.values():

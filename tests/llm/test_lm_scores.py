@@ -101,3 +101,11 @@ def test_every_training_token_is_learnt_from_in_each_epoch(docs, monkeypatch):
     found = lm_scores(docs(*rows), LmSettings(vocabulary=10, frequent=20, hidden=4, fit_docs=50, epochs=2)).collect()
     assert zlib.crc32(b"300") % 10 and len(found) == 303
     assert learnt == [2 * found[0].train_tokens]
+
+
+def test_steps_held_back_are_not_added_up_again(monkeypatch):
+    from pulsegrid.llm import recurrent
+
+    calls = []
+    monkeypatch.setattr(recurrent, "sum", lambda items: calls.append(len(items)), raising=False)  # quadratic in a long text, before
+    assert np.isfinite(Recurrent(np.ones(12), 4).score([np.array([1, 2, 3] * 400)], 11)).all() and not calls
