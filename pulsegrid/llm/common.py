@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsegrid.session import scratch_path
@@ -18,6 +20,14 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def all_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts (UTF-8 bytes, none NULL) in a row, and where each text's begin; the number of all at the end."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    found, starts = cut.flatten().view(pa.binary()), cut.offsets.to_numpy()
+    full = pc.greater(pc.binary_length(found), 0)  # blanks at an end of a text leave an empty string there
+    return found.filter(full), np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))[starts]
+
+
 def word_count(column: str | Column) -> Column:
     """Number of words of a text; 0 for NULL."""
     column = F.col(column) if isinstance(column, str) else column

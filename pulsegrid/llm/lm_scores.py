@@ -23,17 +23,16 @@ empty corpus; an empty table gives no rows.  Extra columns are ignored.
 from __future__ import annotations
 
 import copy
-from collections import Counter
 from dataclasses import dataclass
 from functools import partial
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Stored, binary_text, per_batch, words
+from .common import Stored, all_words, binary_text, per_batch
 from .quality import remainder
 from .recurrent import Recurrent
 
@@ -48,64 +47,68 @@ class LmSettings:
     alpha: float = 0.1
 
 
+_ROWS = 2000  # texts whose words a task holds in a row
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word (bytes) and n over all texts; words are added up where they are read, within a bound."""
 
     def work(batches):
-        counts: Counter[bytes] = Counter()
+        held: list[pa.Table] = []
 
-        def rows():
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-                                              names=["word", "n"])
+        def summed():
+            return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(
+                ["word", "n_sum"]).rename_columns(["word", "n"])
 
         for batch in batches:
-            for text in batch["utf8"].to_pylist():
-                counts.update(words(text))
-                if len(counts) > 400_000:
-                    yield rows()
-                    counts.clear()
-        if counts:
-            yield rows()
+            for at in range(0, batch.num_rows, _ROWS):
+                counts = pc.value_counts(all_words(batch["utf8"].slice(at, _ROWS))[0])
+                held.append(pa.table({"word": counts.field("values"), "n": counts.field("counts")}))
+                if sum(map(len, held)) > 800_000:
+                    held = [summed()]
+                    if len(held[0]) > 400_000:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from summed().to_batches()
 
     return docs.select(binary_text().alias("utf8")).mapInArrow(work, "word binary, n long").groupBy("word").agg(
         F.sum("n").alias("n"))
 
 
 class _Tables:
-    """What a task needs: ids of frequent words, their base log-probabilities, and the recurrent model."""
+    """What a task needs: the frequent words, their base log-probabilities, and the recurrent model."""
 
-    def __init__(self, frequent: list[bytes], logs: np.ndarray, model: Recurrent, vocabulary: int):
+    def __init__(self, frequent: pa.Array, logs: np.ndarray, model: Recurrent, vocabulary: int):
         self.frequent, self.logs, self.model, self.vocabulary = frequent, logs, model, vocabulary
 
 
-_CURRENT: list = [None, None]  # of a worker process: the tables last used and the ids of their words
+def _looked_up(value: _Tables, utf8: pa.Array) -> tuple[list[np.ndarray], pa.Table]:
+    """Ids of every text, and its tokens, frequent and other words, their log-probabilities and its rare words."""
+    found, starts = all_words(utf8)
+    sizes = np.diff(starts)
+    numbers = pc.index_in(found, value_set=value.frequent).fill_null(-1).to_numpy()
+    known, inside = numbers >= 0, (numbers >= 0) & (numbers < value.vocabulary)
+    text_of, logs = np.repeat(np.arange(len(sizes)), sizes), np.append(value.logs, 0.0)[numbers]  # -1: 0
+    n_frequent, n_inside = np.bincount(text_of[known], minlength=len(sizes)), np.bincount(text_of[inside], minlength=len(sizes))
+    rare_starts = pa.array(np.append(0, np.cumsum(sizes - n_frequent)), pa.int32())
+    row = {"n_tokens": sizes + 1, "n_frequent": n_frequent, "n_other": sizes - n_inside, "frequent_log": np.bincount(text_of, logs, len(sizes)).astype(np.float64),
+           "vocabulary_log": np.bincount(text_of[inside], logs[inside], len(sizes)).astype(np.float64),  # integers without words
+           "rare": pa.ListArray.from_arrays(rare_starts, found.filter(pa.array(~known)))}
+    ids, starts = np.where(inside, numbers, value.vocabulary), starts.tolist()
+    return [ids[a:b] for a, b in zip(starts, starts[1:])], pa.table(row)
 
 
 def _scored(tables, batch: pa.RecordBatch) -> pa.RecordBatch:
     value = tables.value
-    if _CURRENT[0] is not value:
-        _CURRENT[:] = value, {w: i for i, w in enumerate(value.frequent)}
-    ids, model = _CURRENT[1], value.model
-    other, end = value.vocabulary, value.vocabulary + 1
-    base, n_tokens, n_frequent, n_other, rare, texts = [], [], [], [], [], []
-    vocabulary_logs = []
-    for text in batch["utf8"].to_pylist():
-        found = words(text)
-        numbers = np.fromiter(map(ids.get, found, repeat(-1)), np.int64, len(found))
-        known = numbers[numbers >= 0]
-        base.append(value.logs[known].sum())
-        inside = known[known < value.vocabulary]
-        vocabulary_logs.append(value.logs[inside].sum())
-        n_tokens.append(len(found) + 1)
-        n_frequent.append(len(known))
-        n_other.append(len(found) - len(inside))
-        rare.append([found[i] for i in np.flatnonzero(numbers < 0).tolist()])
-        texts.append(np.where((numbers >= 0) & (numbers < value.vocabulary), numbers, other))
-    scores = model.score(texts, end) / np.log(10)
-    arrays = [batch["row"], batch["doc_id"], pa.array(n_tokens, pa.int64()), pa.array(n_frequent, pa.int64()),
-              pa.array(n_other, pa.int64()), pa.array(base, pa.float64()), pa.array(vocabulary_logs, pa.float64()),
-              pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.binary()))]
-    return pa.RecordBatch.from_arrays(arrays, names=_PART_NAMES)
+    texts, rows = [], []
+    for at in range(0, batch.num_rows, _ROWS):
+        ids, row = _looked_up(value, batch["utf8"].slice(at, _ROWS))
+        texts += ids
+        rows.append(row)
+    scores = value.model.score(texts, value.vocabulary + 1) / np.log(10)
+    columns = pa.concat_tables(rows).combine_chunks()
+    columns = {n: columns[n].chunk(0) for n in columns.column_names} | {"row": batch["row"], "doc_id": batch["doc_id"], "model_log": pa.array(scores)}
+    return pa.RecordBatch.from_arrays([columns[n] for n in _PART_NAMES], names=_PART_NAMES)
 
 
 _PARTS = ("row long, doc_id long, n_tokens long, n_frequent long, n_other long, frequent_log double, vocabulary_log double, "
@@ -113,9 +116,11 @@ _PARTS = ("row long, doc_id long, n_tokens long, n_frequent long, n_other long,
 _PART_NAMES = [c.split()[0] for c in _PARTS.split(", ")]
 
 
-def _numbered(ids: dict[bytes, int], other: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-    rows = [np.fromiter(map(ids.get, words(text), repeat(other)), np.int32).tobytes() for text in batch["utf8"].to_pylist()]
-    return pa.RecordBatch.from_arrays([batch["slice"], pa.array(rows, pa.binary())], names=["slice", "ids"])
+def _numbered(vocabulary: pa.Array, batch: pa.RecordBatch) -> pa.RecordBatch:
+    found, starts = all_words(batch["utf8"])
+    numbers = pc.index_in(found, value_set=vocabulary).fill_null(len(vocabulary)).to_numpy()
+    rows = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer((4 * starts).astype(np.int32)), pa.py_buffer(numbers)])
+    return pa.RecordBatch.from_arrays([batch["slice"], rows], names=["slice", "ids"])
 
 
 _SLICES = (0, 1, 4, 16)  # the rounds of an epoch: weights are first averaged while tasks have learnt little
@@ -193,16 +198,16 @@ def lm_scores(docs: DataFrame, of: LmSettings = LmSettings()) -> DataFrame:
     # written first: collecting a limit sends as many rows from every partition
     top = store.save(counts.where(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(of.frequent), "top")
     top = top.orderBy(F.desc("n"), "word").toPandas()  # bounded
-    frequent = [bytes(w) for w in top["word"]]
+    frequent = pa.array([bytes(w) for w in top["word"]], pa.binary())
     size = min(of.vocabulary, len(frequent))
     top_counts = top["n"].to_numpy(np.float64)
     others = n - ends - top_counts[:size].sum()
     below_others = others + of.alpha * (v - size - (ends > 0) + 1)  # the other words, and one never seen
     model = Recurrent(np.append(top_counts[:size], [others, ends]), of.hidden)
 
-    ids = {w: i for i, w in enumerate(frequent[:size])}
+    vocabulary = pa.array(frequent.to_pylist()[:size], pa.binary())  # a slice would be sent whole
     lessons = store.save(training.select(F.pmod(F.xxhash64("doc_id"), F.lit(_SLICES[-1])).cast("int").alias("slice"), binary_text(
-        ).alias("utf8")).mapInArrow(per_batch(lambda batch: _numbered(ids, size, batch)), "slice int, ids binary"), "lessons")
+        ).alias("utf8")).mapInArrow(per_batch(lambda batch: _numbered(vocabulary, batch), _ROWS), "slice int, ids binary"), "lessons")
     if ends:
         fit(model, lessons, size + 1, of)
 

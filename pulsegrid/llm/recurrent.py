@@ -29,10 +29,13 @@ class Recurrent:
 
     ``frequency`` (of every token, over all training texts) sets the output biases, so an untrained model is
     the unigram model of the corpus.
+
+    While texts advance together, each is a column: the slices of the gates are then blocks without gaps.
     """
 
     NAMES = ("inputs", "carry", "to_class", "class_bias", "to_token", "token_bias")
     WIDTH, SHARE = 1.0, 0.04
+    TOGETHER = 512  # texts scored at a time: what a step touches stays in a core's cache
 
     def __init__(self, frequency: np.ndarray, hidden: int = 32, seed: int = 5):
         size = len(frequency)
@@ -68,47 +71,54 @@ class Recurrent:
             setattr(self, name, np.ascontiguousarray(getattr(self, name), kind))
 
     def step(self, tokens: np.ndarray, state: np.ndarray):
-        """Next state, and what the way back needs."""
+        """Next state, a row for each token, and the gates."""
+        gates = self._gates(tokens)
+        return self._step(gates, state.T).T, gates.T
+
+    def _gates(self, tokens: np.ndarray) -> np.ndarray:
+        """The tokens' inputs, the last axis of the tokens last."""
+        return np.ascontiguousarray(self.inputs.take(tokens, axis=0).swapaxes(-1, -2))
+
+    def _step(self, gates: np.ndarray, state: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+        """Next state; ``gates`` holds the tokens' inputs, and update, reset and candidate afterwards."""
         h = self.hidden
-        x = self.inputs[tokens]
-        gates = state @ self.carry[:, :2 * h]
-        gates += x[:, :2 * h]
-        np.negative(gates, out=gates)
-        np.exp(gates, out=gates)
-        gates += 1
-        np.reciprocal(gates, out=gates)
-        update, reset = gates[:, :h], gates[:, h:]
-        kept = reset * state
-        fresh = kept @ self.carry[:, 2 * h:]
-        fresh += x[:, 2 * h:]
+        both, fresh = gates[:2 * h], gates[2 * h:]
+        both += self.carry[:, :2 * h].T @ state
+        np.negative(both, out=both)
+        np.exp(both, out=both)
+        both += 1
+        np.reciprocal(both, out=both)
+        fresh += self.carry[:, 2 * h:].T @ (both[h:] * state)
         np.tanh(fresh, out=fresh)
-        after = fresh - state
-        after *= update
+        after = np.subtract(fresh, state, out=out)
+        after *= both[:h]
         after += state
-        return after, (tokens, state, update, reset, kept, fresh)
-
-    def _by_class(self, targets: np.ndarray):
-        """First and last number and the rows of the targets of every class that occurs and holds several tokens."""
-        of = self.class_of[targets]
-        order = np.argsort(of, kind="stable")
-        ends = np.cumsum(np.bincount(of, minlength=self.classes))
-        start = 0
-        for low, high, end in zip(self.starts[:-1].tolist(), self.starts[1:].tolist(), ends.tolist()):
-            if end > start and high - low > 1:
-                yield low, high, order[start:end]
-            start = end
+        return after
+
+    def _by_class(self, classes: np.ndarray) -> tuple[np.ndarray, list]:
+        """The order of targets by class; first and last number of every class that occurs and holds several tokens, and
+        the span of its targets in that order."""
+        ends = np.cumsum(np.bincount(classes, minlength=self.classes)).tolist()
+        spans = zip(self.starts[:-1].tolist(), self.starts[1:].tolist(), [0, *ends], ends)
+        return np.argsort(classes, kind="stable"), [span for span in spans if span[3] > span[2] and span[1] - span[0] > 1]
 
     def log_prob(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target (by number) after each state."""
-        scores = states @ self.to_class + self.class_bias
-        np.minimum(scores, 60, out=scores)
-        out = scores[np.arange(len(targets)), self.class_of[targets]]
-        out = out - np.log(np.exp(scores, out=scores).sum(axis=1))
-        for low, high, rows in self._by_class(targets):
-            scores = states[rows] @ self.to_token[low:high].T + self.token_bias[low:high]
+        each, classes = np.arange(len(targets)), self.class_of[targets]
+
+        def logs(weights, bias, some, goal):
+            scores = weights @ some.T
+            scores += bias[:, None]
             np.minimum(scores, 60, out=scores)
-            own = scores[np.arange(len(rows)), targets[rows] - low]
-            out[rows] += own - np.log(np.exp(scores, out=scores).sum(axis=1))
+            own = scores[goal, each[:len(goal)]]
+            return own - np.log(np.exp(scores, out=scores).sum(axis=0))
+
+        out = logs(self.to_class.T, self.class_bias, states, classes)
+        order, spans = self._by_class(classes)
+        states, targets, inside = states.take(order, axis=0), targets[order], np.zeros_like(out)
+        for low, high, a, b in spans:
+            inside[a:b] = logs(self.to_token[low:high], self.token_bias[low:high], states[a:b], targets[a:b] - low)
+        out[order] += inside
         return out
 
     # --- scoring whole texts ---
@@ -116,27 +126,33 @@ class Recurrent:
     def score(self, texts: list[np.ndarray], end: int) -> np.ndarray:
         """Log-probability of every text (ids without the end; the end is scored too).
 
-        All texts advance together, the longest first, so finished ones drop off at the back; states are
-        carried from window to window until the text ends.
+        ``TOGETHER`` texts of like length advance together, the longest first, so finished ones drop off at the
+        back; states are carried from window to window until the text ends.
         """
         one_thread()
         texts, end = [self.number[t] for t in texts], int(self.number[end])
         total = np.zeros(len(texts))
-        sizes = np.array([len(t) for t in texts], np.int64)
-        order = np.argsort(-sizes, kind="stable")
-        flat = np.concatenate([np.append(texts[i], end) for i in order]) if len(texts) else np.empty(0, np.int64)
-        steps = sizes[order] + 1
+        order = np.argsort([-len(t) for t in texts], kind="stable")
+        for at in range(0, len(texts), self.TOGETHER):
+            some = order[at:at + self.TOGETHER]
+            total[some] = self._scored([texts[i] for i in some.tolist()], end)
+        return total
+
+    def _scored(self, texts: list[np.ndarray], end: int) -> np.ndarray:
+        """Log-probability of every text, the longest first."""
+        steps = np.array([len(t) for t in texts], np.int64) + 1
+        flat = np.concatenate([np.append(t, end) for t in texts])
         starts = np.cumsum(steps) - steps
-        running = np.searchsorted(-steps, -np.arange(steps.max(initial=0)), "left")  # texts longer than t
-        state, tokens = np.zeros((len(texts), self.hidden), np.float32), np.full(len(texts), end)
+        running = np.searchsorted(-steps, -np.arange(steps[0]), "left").tolist()  # texts longer than t
+        state, tokens = np.zeros((self.hidden, len(texts)), np.float32), np.full(len(texts), end)
         sums, t = np.zeros(len(texts)), 0
         while t < len(running):
             states, targets, active, held = [], [], [], 0
             while t < len(running) and held < 8192:
                 a = running[t]
-                state, _ = self.step(tokens[:a], state[:a])
-                tokens = flat[starts[:a] + t]
-                states.append(state)
+                state = self._step(self._gates(tokens[:a]), state[:, :a])
+                tokens = flat.take(starts[:a] + t)
+                states.append(state.T)
                 targets.append(tokens)
                 active.append(a)
                 held += a
@@ -145,8 +161,7 @@ class Recurrent:
             for a in active:
                 sums[:a] += values[at:at + a]
                 at += a
-        total[order] = sums
-        return total
+        return sums
 
     # --- training ---
 
@@ -166,69 +181,72 @@ class Recurrent:
 
     def _slopes(self, inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, end: int):
         h, (streams, window) = self.hidden, inputs.shape
-        saved, states = [], []
+        tokens, goal = inputs.T, targets.T.ravel()
+        gates, state = self._gates(tokens), state.T
+        goes_on = (tokens != end).astype(gates.dtype)  # a text's first state has no past
+        old, states = np.empty((2, window, h, streams), gates.dtype)
         for t in range(window):
-            state = np.where((inputs[:, t] == end)[:, None], np.float32(0), state)
-            state, past = self.step(inputs[:, t], state)
-            saved.append(past)
-            states.append(state)
-        slope = {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
-        flat, goal = np.concatenate(states), targets.T.ravel()
-        scale = np.float32(1 / len(goal))
-
-        p = flat @ self.to_class
-        p += self.class_bias
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(goal)), self.class_of[goal]] -= 1
-        p *= scale
-        slope["to_class"], slope["class_bias"] = flat.T @ p, p.sum(axis=0)
-        back = p @ self.to_class.T
-        for low, high, rows in self._by_class(goal):
-            span = slice(low, high)
-            own = flat[rows]
-            p = own @ self.to_token[span].T
-            p += self.token_bias[span]
-            p -= p.max(axis=1, keepdims=True)
+            np.multiply(state, goes_on[t], out=old[t])
+            state = self._step(gates[t], old[t], states[t])
+        flat, slope = states.swapaxes(1, 2).reshape(-1, h), {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
+        each, classes, scale = np.arange(len(goal)), self.class_of[goal], gates.dtype.type(1 / len(goal))
+
+        def missed(weights, bias, some, goal):
+            """Slopes of the scores."""
+            p = weights @ some.T
+            p += bias[:, None]
+            p -= p.max(axis=0)
             np.exp(p, out=p)
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(rows)), goal[rows] - low] -= 1
-            p *= scale
-            slope["to_token"][span] += p.T @ own
-            slope["token_bias"][span] += p.sum(axis=0)
-            back[rows] += p @ self.to_token[span]
-
-        down, moved = np.zeros((streams, h), back.dtype), np.empty((window, streams, 3 * h), back.dtype)
-        to_gates, to_fresh = self.carry[:, :2 * h].T, self.carry[:, 2 * h:].T
-        gates_slope, fresh_slope = slope["carry"][:, :2 * h], slope["carry"][:, 2 * h:]
+            p *= scale / p.sum(axis=0)
+            p[goal, each[:len(goal)]] -= scale
+            return p
+
+        p = missed(self.to_class.T, self.class_bias, flat, classes)
+        slope["to_class"], slope["class_bias"] = (p @ flat).T, p.sum(axis=1)
+        back = p.T @ self.to_class.T
+        order, spans = self._by_class(classes)
+        flat, goal, inside = flat.take(order, axis=0), goal[order], np.zeros_like(back)
+        for low, high, a, b in spans:
+            span = slice(low, high)
+            p = missed(self.to_token[span], self.token_bias[span], flat[a:b], goal[a:b] - low)
+            slope["to_token"][span], slope["token_bias"][span] = p @ flat[a:b], p.sum(axis=1)
+            np.matmul(p.T, self.to_token[span], out=inside[a:b])
+        place = np.empty_like(order)
+        place[order] = each
+        back += inside.take(place, axis=0)
+        back = np.ascontiguousarray(back.reshape(window, streams, h).swapaxes(1, 2))
+
+        update, reset, fresh = gates[:, :h], gates[:, h:2 * h], gates[:, 2 * h:]
+        stay, kept = 1 - update, reset * old
+        to_update, to_reset, to_fresh = fresh - old, 1 - reset, fresh * fresh
+        to_update *= update
+        to_update *= stay
+        to_reset *= kept
+        np.subtract(1, to_fresh, out=to_fresh)
+        to_fresh *= update
+        down, moved = np.zeros((h, streams), back.dtype), np.empty_like(gates)
         for t in range(window - 1, -1, -1):
-            tokens, old, update, reset, kept, fresh = saved[t]
-            down += back[t * streams:(t + 1) * streams]
-            through = down * update
-            stay = 1 - update
-            slopes = moved[window - 1 - t]
-            d_gates, d_fresh = slopes[:, :2 * h], slopes[:, 2 * h:]
-            np.multiply(through, 1 - fresh * fresh, out=d_fresh)
-            d_kept = d_fresh @ to_fresh
-            np.multiply(down * (fresh - old) * update, stay, out=d_gates[:, :h])
-            np.multiply(d_kept * old * reset, 1 - reset, out=d_gates[:, h:])
-            gates_slope += old.T @ d_gates
-            fresh_slope += kept.T @ d_fresh
-            down *= stay
-            d_kept *= reset
+            d_gates, d_fresh = moved[t, :2 * h], moved[t, 2 * h:]
+            down += back[t]
+            np.multiply(down, to_update[t], out=d_gates[:h])
+            np.multiply(down, to_fresh[t], out=d_fresh)
+            d_kept = self.carry[:, 2 * h:] @ d_fresh
+            np.multiply(d_kept, to_reset[t], out=d_gates[h:])
+            d_kept *= reset[t]
+            down *= stay[t]
             down += d_kept
-            down += d_gates @ to_gates
-            down[tokens == end] = 0  # a text's first state has no past
-        used = np.concatenate([past[0] for past in reversed(saved)])
-        order = np.argsort(used, kind="stable")
-        firsts = np.flatnonzero(np.append(True, np.diff(used[order]) != 0))
-        slope["inputs"][used[order[firsts]]] = np.add.reduceat(moved.reshape(-1, 3 * h)[order], firsts, axis=0)
+            down += self.carry[:, :2 * h] @ d_gates
+            down *= goes_on[t]
+        slope["carry"] = np.concatenate([(past @ moves.swapaxes(1, 2)).sum(axis=0) for past, moves in (
+            (old, moved[:, :2 * h]), (kept, moved[:, 2 * h:]))], axis=1)
+        tokens = tokens.ravel()
+        for i in range(3 * h):
+            slope["inputs"][:, i] = np.bincount(tokens, moved[:, i].ravel(), len(self.inputs))
         norm = float(np.sqrt(sum((s * s).sum() for s in slope.values())))
         if norm > 1:
             for s in slope.values():
                 s *= 1 / norm
-        return slope, state
+        return slope, state.T
 
 
 class Learner:
@@ -265,7 +283,14 @@ class Learner:
             self.count += 1
             for name, slope in slopes.items():
                 first, second = self.means[name]
-                first += 0.1 * (slope - first)
-                second += 0.01 * (slope * slope - second)
-                value = getattr(self.model, name)
-                value -= self.rate * (first / (1 - 0.9**self.count)) / (np.sqrt(second / (1 - 0.99**self.count)) + 1e-7)
+                value, room = getattr(self.model, name), np.multiply(slope, 0.1)
+                first *= 0.9
+                first += room
+                second *= 0.99
+                second += np.multiply(room, room, out=room)  # a hundredth of the square
+                np.sqrt(second, out=room)
+                room *= 1 / np.sqrt(1 - 0.99**self.count)
+                room += 1e-7
+                np.divide(first, room, out=room)
+                room *= self.rate / (1 - 0.9**self.count)
+                value -= room

@@ -4,9 +4,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulsegrid.llm import lm_scores as module
+from pulsegrid.llm.common import all_words, words
 from pulsegrid.llm.lm_scores import LmSettings, lm_scores
 from pulsegrid.llm.recurrent import Recurrent
 
@@ -109,3 +111,20 @@ def test_steps_held_back_are_not_added_up_again(monkeypatch):
     calls = []
     monkeypatch.setattr(recurrent, "sum", lambda items: calls.append(len(items)), raising=False)  # quadratic in a long text, before
     assert np.isfinite(Recurrent(np.ones(12), 4).score([np.array([1, 2, 3] * 400)], 11)).all() and not calls
+
+
+def test_words_of_a_column_are_those_of_each_text():
+    texts = [b" a\x0bB\x1cc\xc2\xa0d  \r\n", b"", b"  ", "\u00c0\u00c9 Z\u0130".encode(), b"one two"]
+    found, starts = all_words(pa.array([b"left out", *texts], pa.binary())[1:])
+    assert [found.to_pylist()[a:b] for a, b in zip(starts, starts[1:])] == [words(t) for t in texts]
+
+
+def test_texts_scored_in_groups_and_words_counted_in_parts(spark, docs, monkeypatch):
+    draw = random.Random(4)
+    model = Recurrent(np.arange(1, 13.0), 4)
+    texts = [np.array([draw.randrange(11) for _ in range(draw.randrange(40))], np.int64) for _ in range(50)]
+    whole = model.score(texts, 11)
+    monkeypatch.setattr(Recurrent, "TOGETHER", 7)  # all texts advanced together, before
+    assert model.score(texts, 11) == pytest.approx(whole, rel=1e-5)
+    rows = [(i, f"W{i % 900} w{i % 7}  of ") for i in range(5000)] + [(5000, None), (5001, " ")]
+    assert {bytes(r.word): r.n for r in module.word_counts(docs(*rows)).collect()} == Counter(w for _, t in rows for w in (t or "").lower().encode().split())
