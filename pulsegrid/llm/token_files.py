@@ -31,6 +31,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -163,16 +164,17 @@ class _Memory:
 class WordEncoder:
     """Byte-level BPE ids of whole texts, as bytes, by the ``tokenizers`` library.
 
-    The pre-tokeniser of such a vocabulary always cuts before a blank that a non-blank follows, and ids never
-    depend on anything beyond a cut.  So texts are cut there; each different piece is cut on into the
-    pre-tokens of the vocabulary, each different pre-token is encoded once by the library, many in a call, and
-    both are remembered within bounds.
+    The pre-tokeniser of such a vocabulary always cuts before a blank or line end that no white space follows, and ids
+    never depend on anything beyond a cut.  So texts are cut there; the pieces of many texts are numbered, each different
+    one is cut on into the pre-tokens of the vocabulary, each different pre-token is encoded once by the library, many in a
+    call, and both are remembered within bounds.  A piece goes by its text without the blank, or with its line end; a mark
+    after a letter and before a blank or line end is a piece of its own, and goes by itself after ``_BARE``.
     """
 
     # fixed value: the pre-token pattern of byte-level BPE vocabularies
     _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-    marks: dict[str, bytes] = {}
-    _CUT, _ODD = re.compile(r" (?=\S)"), re.compile(r" (?=\s|$)")
+    _BARE, _MARK = "\x01", "([A-Za-zÀ-ÖØ-öø-ɏ])([,.;:!?]) "
+    _CUT = re.compile(r" (?=\S)|(?=\n\S)")
 
     def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
@@ -186,24 +188,25 @@ class WordEncoder:
         for token, number in self.tokenizer.get_vocab().items():
             self.blank[number] = token.startswith("Ġ")  # how byte-level pieces spell a blank
         self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.marks = {mark: self._ids(mark).tobytes() for mark in _MARKS}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type)  # no offsets
 
-    def _many(self, texts: list[str], between: str) -> Iterator[tuple[str, bytes]]:
-        """(text, ids) of words that all begin with a blank, or of bare words with a line end between them."""
+    def _many(self, words: list[str], bare: bool) -> Iterator[tuple[str, bytes]]:
+        """(word, ids) of words of letters, bare or with a blank before each."""
         size = self.type.itemsize
-        for at in range(0, len(texts), 2000):
-            some = texts[at:at + 2000]
-            ids = self._ids(between.join(some))
-            ends = np.flatnonzero(ids == self.line[0]) if between else np.flatnonzero(self.blank[ids])[1:]
-            starts, ends = np.append(0, ends + len(between)) * size, np.append(ends, len(ids)) * size
+        for at in range(0, len(words), 2000):
+            some = words[at:at + 2000]
+            ids = self._ids("\n".join(some) if bare else " " + " ".join(some))
+            ends = np.flatnonzero(ids == self.line[0]) if bare else np.flatnonzero(self.blank[ids])[1:]
+            starts, ends = np.append(0, ends + bare) * size, np.append(ends, len(ids)) * size
             raw = ids.tobytes()
             yield from zip(some, [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())], strict=True)
 
     def _learn_words(self, words: list[str], into: dict[str, bytes]) -> None:
         """Ids of words of letters only, each with a blank before it: one pre-token each."""
-        into.update((text[1:], ids) for text, ids in self._many([" " + w for w in words], ""))
+        into.update(self._many(words, False))
 
     def _learn_tokens(self, tokens: set[str]) -> None:
         """Ids of pre-tokens: words with and without a blank many at a time, all others one by one."""
@@ -216,8 +219,8 @@ class WordEncoder:
                 rest.append(t)
         led = [t for t in rest if t[0] == " " and t[1:].isalpha()]
         bare = [t for t in rest if t.isalpha()]
-        self.tokens.new.update(self._many(led, ""))
-        self.tokens.new.update(self._many(bare, "\n"))
+        self.tokens.new.update((" " + word, ids) for word, ids in self._many([t[1:] for t in led], False))
+        self.tokens.new.update(self._many(bare, True))
         for t in set(rest).difference(led, bare):
             self.tokens.new[t] = self._ids(t).tobytes()
 
@@ -235,12 +238,17 @@ class WordEncoder:
         for name, tokens in cut.items():
             into[name] = b"".join([known[t] for t in tokens])
 
+    def _learn_lines(self, pieces: list[str], into: dict[str, bytes]) -> None:
+        """Ids of words of letters, each with a line end before it."""
+        line = np.array(self.line, self.type).tobytes()
+        into.update(("\n" + word, line + ids) for word, ids in self._many([p[1:] for p in pieces], True))
+
     def _learn_tailed(self, pieces: list[str], into: dict[str, bytes]) -> list[str]:
         """Ids of words of letters with one mark after them, from those of the word; returns the other pieces."""
-        tailed = [p for p in pieces if p[-1:] in _MARKS and p[:-1].isalpha()]
-        self._learn_words(self.pieces.missing({p[:-1] for p in tailed if p[:-1] not in into}), into)
-        if not self.marks:
-            self.marks = {mark: self._ids(mark).tobytes() for mark in _MARKS}
+        tailed = [p for p in pieces if p[-1] in _MARKS and (p[1:-1] if p[0] == "\n" else p[:-1]).isalpha()]
+        words = self.pieces.missing({p[:-1] for p in tailed if p[:-1] not in into})
+        self._learn_words([w for w in words if w[0] != "\n"], into)
+        self._learn_lines([w for w in words if w[0] == "\n"], into)
         into.update((p, into[p[:-1]] + self.marks[p[-1]]) for p in tailed)
         return [p for p in pieces if p not in into]
 
@@ -255,24 +263,50 @@ class WordEncoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         self.pieces.age()
-        whole = {i: self._ids(t).tobytes() for i, t in enumerate(texts) if any(name in t for name in self.added)}
-        cut = [[""] if i in whole else self._CUT.split(t) if self._ODD.search(t) else t.split(" ") for i, t in enumerate(texts)]
         known, heads = self.pieces.new, {}
-        first = [pieces.pop(0) for pieces in cut]
-        bodies: list[bytes | None] = []
-        for pieces in cut:
-            try:
-                bodies.append(b"".join(map(known.__getitem__, pieces)))
-            except KeyError:
-                bodies.append(None)
-        unknown = set(chain.from_iterable(pieces for pieces, body in zip(cut, bodies) if body is None))
-        unknown = self.pieces.missing(unknown.difference(known))
+        known.update((self._BARE + mark, ids) for mark, ids in self.marks.items())
+        lines = pc.replace_substring(pa.array(texts, pa.string()), "\n", " \n")
+        cut = pc.split_pattern(pc.replace_substring_regex(lines, self._MARK, rf"\1 {self._BARE}\2 "), " ")
+        flat, starts = cut.flatten(), cut.offsets.to_numpy()
+        first, body = flat.take(pa.array(starts[:-1])).to_pylist(), np.ones(len(flat), bool)
+        body[starts[:-1]] = False
+        numbered = flat.filter(pa.array(body)).dictionary_encode()
+        names, numbers = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()  # to_pylist is slow
+        starts = starts - np.arange(len(starts))  # of the bodies
+
+        # cut where white space follows, or with the name of an added token
+        begin = pc.utf8_slice_codeunits(numbered.dictionary, 0, 2).dictionary_encode()
+        odd = [not n or (n == "\n" or n[1].isspace() if n[0] == "\n" else n[0].isspace()) for n in begin.dictionary.to_pylist()]
+        odd = np.array(odd, bool)[begin.indices.to_numpy()]
+        odd = set((np.searchsorted(starts, np.flatnonzero(odd[numbers]), "right") - 1).tolist()) if odd.any() else set()
+        whole = {i: self._ids(t).tobytes() for i, t in enumerate(texts) if self._BARE in t or any(name in t for name in self.added)}
+        apart = {i: self._CUT.split(texts[i]) for i in odd.difference(whole)}
+        for i, pieces in apart.items():
+            first[i] = pieces.pop(0)
+        if odd or whole:
+            used = np.ones(len(texts), bool)
+            used[list(odd.union(whole))] = False
+            used = set(np.unique(numbers[np.repeat(used, np.diff(starts))]).tolist())
+            names = [n if i in used else "" for i, n in enumerate(names)]
+
+        values = list(map(known.get, names))
+        unmet = [i for i, value in enumerate(values) if value is None]
+        unknown = {names[i] for i in unmet}.union(n for n in chain(*apart.values()) if n not in known)
+        unknown.discard("")
+        unknown = self.pieces.missing(unknown)
         self._learn_words([p for p in unknown if p.isalpha()], known)
+        self._learn_lines([p for p in unknown if p[0] == "\n" and p[1:].isalpha()], known)
         rest = self._learn_tailed([p for p in unknown if p not in known], known)
-        self._learn({p: " " + p for p in rest}, known)
+        self._learn({p: p if p[0] == "\n" else " " + p for p in rest}, known)
         self._learn({text: text for text in first}, heads)  # these have no blank before them
-        return [whole[i] if i in whole else heads[head] + (b"".join(map(known.__getitem__, pieces)) if body is None else body)
-                for i, (head, pieces, body) in enumerate(zip(first, cut, bodies))]
+        for i in unmet:
+            values[i] = known[names[i]] if names[i] else b""
+        ids = pa.array(values, pa.large_binary()).take(numbered.indices)
+        raw, ends = ids.buffers()[2], np.frombuffer(ids.buffers()[1], np.int64)[starts].tolist()
+        out = [heads[head] + raw[a:b].to_pybytes() for head, a, b in zip(first, ends, ends[1:])]
+        for i, pieces in apart.items():
+            out[i] = b"".join([heads[first[i]], *map(known.__getitem__, pieces)])
+        return [whole.get(i, raw) for i, raw in enumerate(out)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # one per worker process and vocabulary

@@ -26,6 +26,20 @@ def test_ids_are_the_librarys(library):
             assert np.frombuffer(raw, "<u2").tolist() == library(text), repr(text)
 
 
+def test_ids_where_lines_and_marks_are_cut(library, monkeypatch):
+    draw = random.Random(6)
+    parts = ["word,", "x", "Ab.", "é!", "ж;", ".", ",", "\n", "\n\n", "\nNext", "\nNext,", "\nA's", " \n", " ", "  ", ", ", ". ", "\r\n", "\x01", " \x01, ", "\x01,", "\xa0", "\x85", "\u2028", " a", "<|endoftext|>"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(12))) for _ in range(4000)] + ["\n", "\na", "a\n", " \n a", "\x01"]
+    encoder, met = WordEncoder(byte_bpe(), most=500), []
+    ids = [raw for at in range(0, len(texts), 200) for raw in encoder.encode(texts[at:at + 200])]
+    assert [np.frombuffer(raw, "<u2").tolist() for raw in ids] == [library(text) for text in texts]
+    assert encoder.encode([]) == [] and encoder.encode(["", ""]) == [b"", b""]
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda pieces, into: (met.extend(pieces), learn(pieces, into)))
+    encoder.encode([f"one two{i}.\nThree four, five".replace(str(i), chr(97 + i)) for i in range(9)])
+    assert met == ["one"]  # "twoa.\nThree" was a piece cut by a pattern, before
+
+
 def expected(rows, library):
     start, out = 0, []
     for i, text in sorted(((i, t or "") for i, t in rows if i is not None)):
