@@ -47,7 +47,7 @@ class LmSettings:
     alpha: float = 0.1
 
 
-_ROWS = 2000  # texts whose words a task holds in a row
+_ROWS = 500  # texts whose words a task holds in a row
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -64,10 +64,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, _ROWS):
                 counts = pc.value_counts(all_words(batch["utf8"].slice(at, _ROWS))[0])
                 held.append(pa.table({"word": counts.field("values"), "n": counts.field("counts")}))
-                if sum(map(len, held)) > 800_000:
+                if sum(map(len, held)) > 600_000:
                     held = [summed()]
                     if len(held[0]) > 400_000:
                         yield from held.pop().to_batches()
+                    pa.default_memory_pool().release_unused()  # a worker lives on
         if held:
             yield from summed().to_batches()
 
@@ -105,6 +106,7 @@ def _scored(tables, batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, row = _looked_up(value, batch["utf8"].slice(at, _ROWS))
         texts += ids
         rows.append(row)
+    pa.default_memory_pool().release_unused()  # a worker lives on
     scores = value.model.score(texts, value.vocabulary + 1) / np.log(10)
     columns = pa.concat_tables(rows).combine_chunks()
     columns = {n: columns[n].chunk(0) for n in columns.column_names} | {"row": batch["row"], "doc_id": batch["doc_id"], "model_log": pa.array(scores)}
