@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
+from operator import add
 
 import ahocorasick
 import numpy as np
@@ -82,23 +84,41 @@ class Model:
                 self.prefix, self.squeeze = bool(own.get(3, 1)), bool(own.get(4, 1))
 
 
+class _Made(dict):
+    """Values that are made when their key is first asked for."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
 class Transducer:
-    def __init__(self, model: Model, most: int = 200_000):
+    """most: words (twice over) and, twice as many, pairs of pieces remembered between two batches."""
+
+    def __init__(self, model: Model, most: int = 150_000):
         self.model, self.most = model, most
-        self.type = np.dtype("<u2" if len(model.pieces) <= 1 << 16 else "<u4")
+        self.type = np.dtype("u2" if len(model.pieces) <= 1 << 16 else "u4")
         self.number = {p: i for i, (p, k) in enumerate(zip(model.pieces, model.kinds)) if k in (_NORMAL, _USER)}
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds)) if k == _BYTE}
         self.unknown = next((i for i, k in enumerate(model.kinds) if k == _UNKNOWN), 0)
         self.inner = {p[i:i + 2] for p in self.number for i in range(len(p) - 1)}
+        # the ends of a line and tabs are cut out at once where no piece holds them beside another character
+        self.alone = [c for c in "\n\r\t" if not any(c in pair for pair in self.inner)]
+        # merging has one outcome, so among pieces of different scores one path at most reaches any place in a text
+        # (runs of blanks, which share a score, are merged plainly)
+        scores = [model.scores[i] for p, i in self.number.items() if BLANK * 2 not in p]
+        self.single = model.bpe and len(set(scores)) == len(scores)
         self.halves: dict[int, tuple[int, int]] = {}
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows = _Made(self._may_follow)  # by both numbers in one
         self.arcs = ahocorasick.Automaton()
         for piece, number in self.number.items():
             if not model.bpe or self._reachable(piece, number):
                 self.arcs.add_word(piece, (number, len(piece), -model.scores[number]))
         self.arcs.make_automaton()
-        self.parts: dict[str, bytes] = {}  # ids of parts no piece reaches across
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}  # ids of words, newer and older
+        self.words, self.older = _Made(self._again), {}  # ids of words and their parts, newer and older
         self.plain = [self._plain(i) for i in range(len(model.pieces))]
 
     # --- which pieces may follow each other in a BPE model ---
@@ -141,57 +161,74 @@ class Transducer:
             return True
         return False
 
-    def _may_follow(self, left: int, right: int) -> bool:
+    def _may_follow(self, both: int) -> bool:
         """Whether merging the characters of both pieces leaves both: undo their merges, the latest first, and
         see if anything across the border would have been merged before."""
-        key = (left, right)
-        if key not in self.follows:
-            scores, pieces, l, r = self.model.scores, self.model.pieces, left, right
-            # merges across the border happen at their score, or in case of a tie if they lie further left
-            last, tie = -float("inf"), True
-            free = True
-            while free:
-                across = self.number.get(pieces[l] + pieces[r])
-                if across is not None and (scores[across] > last or (scores[across] == last and tie)):
-                    free = False
-                    break
-                l_made, r_made = l in self.halves, r in self.halves
-                if not l_made and not r_made:
-                    break
-                # merges inside the left piece lie left of the border and win ties
-                if l_made and (not r_made or scores[l] < scores[r]):
-                    last, tie = scores[l], False
-                    l = self.halves[l][1]
-                else:
-                    last, tie = scores[r], True
-                    r = self.halves[r][0]
-            self.follows[key] = free
-        return self.follows[key]
+        left, right = both >> 32, both & 0xFFFFFFFF
+        scores, pieces, l, r = self.model.scores, self.model.pieces, left, right
+        # merges across the border happen at their score, or in case of a tie if they lie further left
+        last, tie = -float("inf"), True
+        while True:
+            across = self.number.get(pieces[l] + pieces[r])
+            if across is not None and (scores[across] > last or (scores[across] == last and tie)):
+                return False
+            l_made, r_made = l in self.halves, r in self.halves
+            if not l_made and not r_made:
+                return True
+            # merges inside the left piece lie left of the border and win ties
+            if l_made and (not r_made or scores[l] < scores[r]):
+                last, tie = scores[l], False
+                l = self.halves[l][1]
+            else:
+                last, tie = scores[r], True
+                r = self.halves[r][0]
 
     # --- composition and shortest path ---
 
     def _path(self, part: str) -> list[int]:
         """Ids of the path of least weight through a part."""
-        n = len(part)
-        weight: list[float | None] = [None] * (n + 1)
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-        weight[0] = 0.0
-        bpe = self.model.bpe
-        for end, (number, size, cost) in self.arcs.iter(part):
-            start = end + 1 - size
-            if weight[start] is None or (bpe and start and not self._may_follow(back[start][1], number)):
-                continue
-            total = weight[start] + cost
-            if weight[end + 1] is None or total < weight[end + 1]:
-                weight[end + 1], back[end + 1] = total, (start, number)
-        if weight[n] is None:  # no piece for some character
+        ids = self._through(part)
+        if ids is None:  # no piece for some character
             return [i for c in part for i in (self._path(c) if c in self.number else self._spelt(c))]
-        ids = []
-        while n:
-            n, number = back[n]
-            ids.append(number)
+        return ids
+
+    def _through(self, part: str) -> list[int] | None:
+        begin, last = self._only(part) if self.single else self._least(part)
+        ids, at = [], len(part) - 1
+        if part and last[at] < 0:
+            return None
+        while at >= 0:
+            ids.append(last[at])
+            at = begin[at]
         return ids[::-1]
 
+    def _only(self, part: str) -> tuple[list[int], list[int]]:
+        """For every character, the piece that ends there on the only path from the start (-1 without a path), and where the
+        piece before it ends."""
+        follows = self.follows
+        begin, last = [-1] * len(part), [-1] * len(part)
+        for end, (number, size, _) in self.arcs.iter(part):
+            if last[end] < 0:
+                start = end - size
+                if start < 0 or ((left := last[start]) >= 0 and follows[left << 32 | number]):
+                    begin[end], last[end] = start, number
+        return begin, last
+
+    def _least(self, part: str) -> tuple[list[int], list[int]]:
+        """The same on the path of least weight, of several that may meet."""
+        begin, last = [-1] * len(part), [-1] * len(part)
+        weight = [0.0] * len(part)
+        bpe = self.model.bpe
+        for end, (number, size, cost) in self.arcs.iter(part):
+            start = end - size
+            if start >= 0:
+                if last[start] < 0 or (bpe and not self.follows[last[start] << 32 | number]):
+                    continue
+                cost += weight[start]
+            if last[end] < 0 or cost < weight[end]:
+                begin[end], last[end], weight[end] = start, number, cost
+        return begin, last
+
     def _spelt(self, character: str) -> list[int]:
         if not self.model.byte_fallback:
             return [self.unknown]
@@ -202,16 +239,23 @@ class Transducer:
         score meet, by merging)."""
         if self.model.bpe and BLANK * 2 in word:
             return self._raw([i for run in re.findall(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+", word) for i in self._merged(run)])
-        inner, parts, out, start = self.inner, self.parts, [], 0
-        for i in range(1, len(word) + 1):
-            if i == len(word) or word[i - 1:i + 1] not in inner:
-                part = word[start:i]
-                if (ids := parts.get(part)) is None:
-                    ids = parts[part] = self._raw(self._path(part))
-                out.append(ids)
-                start = i
+        inner, out, start = self.inner, [], 0
+        if self.single and len(word) <= _SHORT:  # a path leads through the cuts too; only the last is made, for what stands before it
+            if len(word) > 1 and word[-2:] not in inner:
+                return self.words[word[:-1]] + self.words[word[-1]]
+            if (ids := self._through(word)) is not None:
+                return self._raw(ids)
+        cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in inner]
+        if not cuts:
+            return self._raw(self._path(word))
+        for i in [*cuts, len(word)]:
+            out.append(self.words[word[start:i]])
+            start = i
         return b"".join(out)
 
+    def _again(self, word: str) -> bytes:
+        return self.older.get(word) or self._word(word)
+
     def _merged(self, run: str) -> list[int]:
         return [i for c, i0 in zip(self._names(run), self._merge(run)) for i in ([i0] if i0 >= 0 else self._spelt(c))]
 
@@ -225,39 +269,33 @@ class Transducer:
         return names
 
     def _raw(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.type).tobytes()
+        return array(self.type.char, ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian numbers."""
+        """Ids of a text as numbers of the transducer's type."""
         if not text:
             return b""
         if BLANK in text:
             text = text.replace(BLANK, " ")
         if self.model.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
-        words = text.split(" ")
-        if not self.model.prefix:
-            head, words = self._word(words[0]) if words[0] else b"", words[1:]
-        else:
-            head = b""
-        if "" in words:  # blanks side by side belong to the word behind them
-            joined = BLANK + BLANK.join(words)
+        if "  " in text or text[:1] == " ":  # blanks side by side belong to the word behind them
+            words = text.split(" ")
+            head = self._word(words[0]) if words[0] and not self.model.prefix else b""
+            joined = BLANK + BLANK.join(words if self.model.prefix else words[1:])
             return head + b"".join([self._word(run) for run in re.findall(f"{BLANK}+[^{BLANK}]*", joined)])
-        new, old = self.known
-        try:
-            return head + b"".join(map(new.__getitem__, words))
-        except KeyError:
-            for w in words:
-                if w not in new:
-                    new[w] = old.get(w) or self._word(BLANK + w)
-            return head + b"".join(map(new.__getitem__, words))
+        text = text.replace(" ", " " + BLANK)
+        for c in self.alone:
+            if c in text:
+                text = text.replace(c, f" {c} ")
+        return b"".join(map(self.words.__getitem__, ((BLANK if self.model.prefix else "") + text).split(" ")))
 
     def age(self) -> None:
         """Forget what was not used lately; between batches."""
-        if len(self.known[0]) > self.most:
-            self.known = {}, self.known[0]
-        if len(self.parts) > self.most:
-            self.parts.clear()
+        if len(self.words) > self.most:
+            self.words, self.older = _Made(self._again), self.words
+        if len(self.follows) > 2 * self.most:
+            self.follows.clear()
 
     def _plain(self, number: int) -> bytes:
         kind, piece = self.model.kinds[number], self.model.pieces[number]
@@ -270,6 +308,7 @@ class Transducer:
         return text[1:] if self.model.prefix and text[:1] == " " else text
 
 
+_SHORT = 32  # characters of a word that is not cut up before its path is sought
 _ROWS = 500  # texts a worker holds decoded, with their ids, at a time
 _TRANSDUCERS: dict[str, Transducer] = {}  # one per worker process and model
 

@@ -51,3 +51,25 @@ def test_frames(docs, coder):
     back = sorted(((r.doc_id or 0), r.text) for r in decode(found, piece_bpe()).collect())
     assert back == sorted(((i or 0), (t or "").replace("▁", " ")) for i, t in rows)
     assert encode(docs((1, "a")).limit(0), piece_bpe()).count() == 0
+
+
+def test_tables_of_a_worker_are_bounded():
+    """Words, parts and pairs of pieces are remembered within a bound, and ids do not depend on what is remembered."""
+    model, draw = Model(piece_bpe()), random.Random(5)
+    small, large = Transducer(model, 100), Transducer(model)
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_bpe())
+    for _ in range(40):
+        small.age()
+        assert len(small.follows) <= 200 and len(small.words) + len(small.older) <= 1000
+        text = " ".join("".join(draw.choice("abcdeéston,.\n\t你") for _ in range(draw.randrange(1, 45))) for _ in range(60))
+        assert small.encode(text) == large.encode(text)
+        assert np.frombuffer(small.encode(text), small.type).tolist() == library.encode(text)
+
+
+def test_a_repeated_word_is_composed_once(monkeypatch):
+    """The body of a word is known with and without marks and line ends at its ends."""
+    coder, sought = Transducer(Model(piece_bpe())), []
+    through = coder._through
+    monkeypatch.setattr(coder, "_through", lambda part: sought.append(part) or through(part))
+    coder.encode("x Quillfeather Quillfeather, Quillfeather.\nQuillfeather,\nend Quillfeather\n")
+    assert sought.count("▁Quillfeather") == 1 and not any("\n" in part and len(part) > 1 for part in sought)
