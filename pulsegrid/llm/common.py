@@ -13,6 +13,7 @@ from pulsegrid.session import scratch_path
 
 # words are runs of anything but the six ASCII blanks; bytes.split() cuts at exactly these
 WORD = r"[^\x20\x09-\x0D]+"
+TEXTS = 500  # texts that a worker holds as Python objects at a time; Arrow hands over up to 10,000 rows
 
 
 def words(text: bytes) -> list[bytes]:
@@ -75,5 +76,7 @@ def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int
             for at in range(0, batch.num_rows, rows or batch.num_rows or 1):
                 if (out := work(batch.slice(at, rows))) is not None:
                     yield out
+            batch = out = None  # else held while the next one is read
+        pa.default_memory_pool().release_unused()  # a worker lives on
 
     return run

@@ -35,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Stored, binary_text, per_batch, words
+from .common import TEXTS, Stored, binary_text, per_batch, words
 from .links import components
 
 
@@ -117,7 +117,7 @@ def signatures(docs: DataFrame, of: NearDedup) -> DataFrame:
             names=["doc_id", "n_shingles", "same", "signature"])
 
     return docs.where("doc_id IS NOT NULL").select("doc_id", binary_text().alias("utf8")).mapInArrow(
-        per_batch(work), "doc_id long, n_shingles long, same binary, signature binary")
+        per_batch(work, TEXTS), "doc_id long, n_shingles long, same binary, signature binary")
 
 
 def least_matches(of: NearDedup, total: int | None = None) -> list[tuple[int, int]]:
@@ -226,7 +226,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, of: NearDedup) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch["a"].take(kept), batch["b"].take(kept)], names=["a", "b"])
 
     a, b = (texts.select(F.col("rep").alias(c), F.col("utf8").alias(f"t{c}")) for c in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(per_batch(work), "a long, b long")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(per_batch(work, TEXTS), "a long, b long")
 
 
 def _more(texts: DataFrame, of: NearDedup) -> DataFrame:
@@ -237,7 +237,7 @@ def _more(texts: DataFrame, of: NearDedup) -> DataFrame:
         values = [hasher(shingles(t, of.width)).tobytes() for t in batch["utf8"].to_pylist()]
         return pa.RecordBatch.from_arrays([batch["rep"], pa.array(values, pa.binary())], names=["rep", "more"])
 
-    return texts.select("rep", "utf8").mapInArrow(per_batch(work), "rep long, more binary")
+    return texts.select("rep", "utf8").mapInArrow(per_batch(work, TEXTS), "rep long, more binary")
 
 
 def _shared(texts: DataFrame, of: NearDedup) -> DataFrame:
@@ -245,16 +245,18 @@ def _shared(texts: DataFrame, of: NearDedup) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            reps = batch["rep"].to_numpy()
-            sets = [shingles(t, of.width) for t in batch["utf8"].to_pylist()]
-            low, sizes = 0, np.cumsum([len(s) for s in sets])
-            while low < len(sets):  # a bounded number of rows at a time
-                high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + 500_000, "right")))
-                part = sets[low:high]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(reps[low:high], [len(s) for s in part])), pa.array(np.concatenate(part).view(np.int64))],
-                    names=["rep", "shingle"])
-                low = high
+            for at in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(at, TEXTS)
+                reps = some["rep"].to_numpy()
+                sets = [shingles(t, of.width) for t in some["utf8"].to_pylist()]
+                low, sizes = 0, np.cumsum([len(s) for s in sets])
+                while low < len(sets):  # a bounded number of rows at a time
+                    high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + 500_000, "right")))
+                    part = sets[low:high]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(reps[low:high], [len(s) for s in part])), pa.array(np.concatenate(part).view(np.int64))],
+                        names=["rep", "shingle"])
+                    low = high
 
     rows = texts.select("rep", "utf8").mapInArrow(work, "rep long, shingle long")
     common = rows.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Stored, binary_text, per_batch
+from .common import TEXTS, Stored, binary_text, per_batch
 
 FEATURES = (
     "length", "blank", "upper", "lower", "digit", "beyond_ascii", "stop_marks", "other_marks", "pipe", "exclaim",
@@ -88,7 +88,7 @@ def descriptions(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array(values[:, i]) for i in range(len(FEATURES))]],
                                           names=["doc_id", *FEATURES])
 
-    return docs.select("doc_id", binary_text().alias("utf8")).mapInArrow(per_batch(work), f"doc_id long, {_SCHEMA}")
+    return docs.select("doc_id", binary_text().alias("utf8")).mapInArrow(per_batch(work, TEXTS), f"doc_id long, {_SCHEMA}")
 
 
 class Model:
@@ -227,4 +227,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
         texts = batch.column(text).cast(pa.binary()).to_pylist()
         return batch.filter(pa.array(model.scores(np.array([describe(t or b"") for t in texts], np.float32)) >= threshold))
 
-    return docs.mapInArrow(per_batch(work), docs.schema)
+    return docs.mapInArrow(per_batch(work, TEXTS), docs.schema)
